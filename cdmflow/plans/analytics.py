@@ -157,15 +157,16 @@ def preview(df: DataFrame, order_by: list[str], n: int = 5) -> DataFrame:
 
 
 def catalog_counts(spark: SparkSession, database: str | None = None) -> DataFrame:
-    """A-CAT / O-SET2: row count of every table in a catalog database, sorted by name."""
-    tables = [t for t in spark.catalog.listTables(database) if t.tableType != "VIEW" or t.isTemporary]
+    """A-CAT / O-SET2: row count of every table in a catalog database, sorted by name.
+
+    The table list is catalog metadata (bounded); each count is its own small aggregate,
+    unioned into one result.
+    """
+    db = database or spark.catalog.currentDatabase()
+    tables = [t for t in spark.catalog.listTables(db)
+              if t.namespace and t.namespace[-1] == db and t.tableType in ("MANAGED", "EXTERNAL", "TEMPORARY")]
     if not tables:
         return spark.createDataFrame([], "table_schema string, table_name string, row_count long")
-    frames = {}
-    for t in tables:
-        name = t.name if t.isTemporary or not t.namespace else f"{'.'.join(t.namespace)}.{t.name}"
-        frames[name] = spark.table(name)
-    counts = labelled_counts(frames)
-    schema = F.lit(database or spark.catalog.currentDatabase())
-    return counts.select(schema.alias("table_schema"), "table_name", "row_count").orderBy("table_schema",
-                                                                                         "table_name")
+    counts = labelled_counts({t.name: spark.table(f"`{db}`.`{t.name}`") for t in tables})
+    return counts.select(F.lit(db).alias("table_schema"), "table_name", "row_count").orderBy(
+        "table_schema", "table_name")

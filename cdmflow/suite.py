@@ -12,11 +12,18 @@ import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import oracle as O
+from .functions.keys import next_key_start, with_dense_key
+from .operators import dictionary_checks as DC
+from .operators import quality as QO
 from .plans import analytics as A
-from .plans.etl import Cdm, run_etl
-from .sources.registry import derived_registry
+from .plans import quality as Q
+from .plans.etl import (Cdm, append_events, build_spine, load_observation_period, load_person, run_etl,
+                        visit_from_period)
+from .sources.dictionary import DICTIONARY_ROWS, dictionary_frame, numeric_ranges, required_fields
+from .sources.registry import REGISTRY_FIELDS, derived_registry
 from .sources.vocabulary import seed_concepts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +41,60 @@ def cdm(spark: SparkSession, sf_dir: str) -> Cdm:
     return _CDM[key]
 
 
+def _registry_check(fn: Callable[[DataFrame], DataFrame]) -> Query:
+    return lambda spark, sf: fn(registry(spark, sf))
+
+
+def preview_registry(spark: SparkSession, sf: str) -> DataFrame:
+    return A.preview(registry(spark, sf), ["record_id"], 5)
+
+
+def not_permitted(spark: SparkSession, sf: str) -> DataFrame:
+    return DC.not_permitted(registry(spark, sf), dictionary_frame(spark))
+
+
+def bad_dates(spark: SparkSession, sf: str) -> DataFrame:
+    return QO.bad_dates(registry(spark, sf), "date_of_birth")
+
+
+def duplicate_line_keys(spark: SparkSession, sf: str) -> DataFrame:
+    lineitem = spark.read.parquet(os.path.join(sf, "lineitem.parquet"))
+    return QO.duplicate_keys(lineitem, ["l_orderkey", "l_linenumber"])
+
+
+def dense_keys_lineitem(spark: SparkSession, sf: str) -> DataFrame:
+    """O-KEY1 on the largest table: row ids 1..N in whole-row order."""
+    lineitem = spark.read.parquet(os.path.join(sf, "lineitem.parquet"))
+    return with_dense_key(lineitem, list(lineitem.columns), "row_id", tiebreak=False, name="lineitem-key")
+
+
+def append_with_key_continuation(spark: SparkSession, sf: str) -> DataFrame:
+    """O-KEY2 + O-SNK2/3 + O-JN1..3: the registry arrives as two exports (older record ids first).
+
+    Batch 1 is loaded fresh; batch 2 gets person ids after max(person_id) and condition ids
+    after max(condition id), joining back through the stored person and visit tables.
+    """
+    reg = registry(spark, sf)
+    split = reg.agg(((F.min("record_id") + F.max("record_id")) / F.lit(2.0)).alias("s")).scalar()
+    first, second = reg.where(F.col("record_id") <= split), reg.where(~(F.col("record_id") <= split))
+    c1 = run_etl(first)
+    spine2 = build_spine(second, start=next_key_start(c1.person, "person_id"))
+    person2 = load_person(spine2)
+    visit2 = visit_from_period(load_observation_period(person2))
+    person_all = c1.person.unionByName(person2)
+    visit_all = c1.visit_occurrence.unionByName(visit2)
+    cond2 = append_events(second, person_all, visit_all, c1.condition_occurrence, "condition_occurrence")
+    return c1.condition_occurrence.unionByName(cond2)
+
+
+def catalog_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """A-CAT / O-SRC7 / O-SET2: row count of every table found in the catalog database."""
+    for name, df in cdm(spark, sf).tables().items():
+        df.createOrReplaceGlobalTempView(name)
+    db = spark.conf.get("spark.sql.globalTempDatabase", "global_temp")
+    return A.catalog_counts(spark, db)
+
+
 def _table(name: str) -> Query:
     return lambda spark, sf: getattr(cdm(spark, sf), name)
 
@@ -62,6 +123,24 @@ QUERIES: dict[str, Query] = {
     "verify_measurement": _question(A.verify_measurement),
     "verify_procedure": _question(A.verify_procedure),
     "verify_observation": _question(A.verify_observation),
+    "preview_registry": preview_registry,
+    "catalog_counts": catalog_counts,
+    "append_with_key_continuation": append_with_key_continuation,
+    "dense_keys_lineitem": dense_keys_lineitem,
+    "dq_unmapped": _question(Q.dq_unmapped),
+    "dq_coverage": _question(Q.dq_coverage),
+    "dq_orphans": _question(Q.dq_orphans),
+    "dq_duplicate_ids": _question(Q.dq_duplicate_ids),
+    "dq_mandatory_nulls": _question(Q.dq_mandatory_nulls),
+    "dq_bad_dates": bad_dates,
+    "dq_registry_nulls": _registry_check(lambda r: QO.null_counts(r)),
+    "dq_duplicate_keys": duplicate_line_keys,
+    "dict_ranges": _registry_check(DC.out_of_range),
+    "dict_date_ranges": _registry_check(DC.dates_out_of_range),
+    "dict_membership": not_permitted,
+    "dict_required": _registry_check(DC.missing_required),
+    "dict_conditional": _registry_check(DC.branching_violations),
+    "dict_deidentify": _registry_check(DC.deidentify),
 }
 
 _EVENTS = ("person", "visit_occurrence", "condition_occurrence", "observation", "measurement",
@@ -136,3 +215,97 @@ SELECT procedure_source_value, procedure_concept_id, COUNT(*) AS n
 FROM procedure_occurrence GROUP BY 1, 2 ORDER BY 3 DESC""", "procedure_occurrence"),
     "verify_observation": O.with_ctes("SELECT COUNT(*) AS observation_rows FROM observation", "observation"),
 }
+
+
+def _union_sql(parts: list[str]) -> str:
+    return "\nUNION ALL ".join(parts)
+
+
+_CHOICE_FIELDS = [r[0] for r in DICTIONARY_ROWS if r[2] in DC.CHOICE_TYPES and r[4] and r[0] in REGISTRY_FIELDS]
+_DICT_VALUES = ", ".join(
+    "({}, {}, {})".format(*["NULL" if v is None else "'" + v.replace("'", "''") + "'" for v in (r[0], r[2], r[4])])
+    for r in DICTIONARY_ROWS)
+_ORPHAN_PARTS = [
+    f"""SELECT '{t}' AS table_name,
+  (SELECT COUNT(*) FROM {t} e WHERE NOT EXISTS (SELECT 1 FROM person p WHERE p.person_id = e.person_id))
+    AS orphan_person_rows,
+  (SELECT COUNT(*) FROM {t} e WHERE NOT EXISTS (SELECT 1 FROM visit_occurrence v
+    WHERE v.visit_occurrence_id = e.visit_occurrence_id)) AS orphan_visit_rows"""
+    for t in Q.EVENT_CONCEPT_SOURCE]
+
+ORACLE.update({
+    "preview_registry": O.with_ctes("SELECT * FROM reg ORDER BY record_id LIMIT 5", "reg"),
+    "catalog_counts": O.with_ctes(_union_sql([
+        f"SELECT 'global_temp' AS table_schema, '{t}' AS table_name, COUNT(*) AS row_count FROM {t}"
+        for t in ("person", "observation_period", "visit_occurrence", "condition_occurrence", "observation",
+                  "measurement", "procedure_occurrence")]
+        + ["SELECT 'global_temp', 'drug_exposure', 0"]), *_EVENTS, "observation_period"),
+    "append_with_key_continuation": O.with_ctes("""
+SELECT CAST(row_number() OVER (
+         ORDER BY l.record_id > (SELECT (MIN(record_id) + MAX(record_id)) / 2.0 FROM reg), rule_no, r.person_id)
+       AS BIGINT) AS condition_occurrence_id,
+       r.person_id, CAST(concept_id AS INTEGER) AS condition_concept_id,
+       d AS condition_start_date, CAST(d AS TIMESTAMP) AS condition_start_datetime,
+       d AS condition_end_date, CAST(d AS TIMESTAMP) AS condition_end_datetime,
+       CAST(32865 AS INTEGER) AS condition_type_concept_id, r.visit_occurrence_id, src AS condition_source_value
+FROM (""" + O.CONDITION_RULES + """) AS r
+JOIN person p ON p.person_id = r.person_id JOIN reg l ON CAST(l.record_id AS VARCHAR) = p.person_source_value""",
+        "reg", "person", "visit_occurrence"),
+    "dense_keys_lineitem": """
+SELECT *, CAST(row_number() OVER (ORDER BY l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity,
+       l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate) AS BIGINT) AS row_id
+FROM lineitem""",
+    "dq_unmapped": O.with_ctes(_union_sql([
+        f"SELECT '{t}' AS table_name, {s} AS source_value, COUNT(*) AS n FROM {t} WHERE {c} = 0 GROUP BY {s}"
+        for t, (c, s) in Q.EVENT_CONCEPT_SOURCE.items()]), *_EVENTS),
+    "dq_coverage": O.with_ctes(_union_sql([
+        f"SELECT '{t}' AS table_name, COUNT(DISTINCT person_id) AS n_persons, "
+        f"(SELECT COUNT(*) FROM person) AS total_persons, "
+        f"CAST(ROUND(COUNT(DISTINCT person_id) * 100.0 / (SELECT COUNT(*) FROM person), 1) AS DOUBLE) "
+        f"AS pct_persons FROM {t}" for t in Q.EVENT_CONCEPT_SOURCE]), *_EVENTS),
+    "dq_orphans": O.with_ctes(_union_sql(_ORPHAN_PARTS), *_EVENTS),
+    "dq_duplicate_ids": O.with_ctes(_union_sql([
+        f"SELECT '{t}' AS table_name, (SELECT COUNT(*) FROM (SELECT {k} FROM {t} GROUP BY {k} "
+        f"HAVING COUNT(*) > 1)) AS duplicate_ids"
+        for t, k in {"person": "person_id", "condition_occurrence": "condition_occurrence_id",
+                     "observation": "observation_id", "measurement": "measurement_id",
+                     "procedure_occurrence": "procedure_occurrence_id"}.items()]), *_EVENTS),
+    "dq_mandatory_nulls": O.with_ctes(_union_sql([
+        f"SELECT '{t}' AS table_name, '{c}' AS column_name, COUNT(*) FILTER (WHERE {c} IS NULL) AS n_null FROM {t}"
+        for t, cols in Q.MANDATORY.items() for c in cols]), *_EVENTS),
+    "dq_bad_dates": O.with_ctes("""
+SELECT record_id, date_of_birth AS raw_value, 'date_of_birth' AS column_name FROM reg
+WHERE date_of_birth IS NOT NULL AND try_strptime(date_of_birth, '%d/%m/%Y') IS NULL""", "reg"),
+    "dq_registry_nulls": O.with_ctes(_union_sql([
+        f"SELECT '{c}' AS column_name, COUNT(*) FILTER (WHERE {c} IS NULL) AS n_null FROM reg"
+        for c in REGISTRY_FIELDS]), "reg"),
+    "dq_duplicate_keys": """
+SELECT l_orderkey, l_linenumber, COUNT(*) AS n FROM lineitem GROUP BY 1, 2 HAVING COUNT(*) > 1""",
+    "dict_ranges": O.with_ctes("SELECT * FROM (" + _union_sql([
+        f"SELECT record_id, '{c}' AS variable, CAST({c} AS DOUBLE) AS value, CAST({lo} AS DOUBLE) AS lo, "
+        f"CAST({hi} AS DOUBLE) AS hi FROM reg" for c, (lo, hi) in numeric_ranges().items()])
+        + ") WHERE value IS NOT NULL AND (value < lo OR value > hi)", "reg"),
+    "dict_date_ranges": O.with_ctes("""
+SELECT record_id, 'date_of_birth' AS variable, date_of_birth AS value FROM reg
+WHERE try_strptime(date_of_birth, '%d/%m/%Y') IS NOT NULL
+  AND (CAST(try_strptime(date_of_birth, '%d/%m/%Y') AS DATE) < DATE '1930-01-01'
+       OR CAST(try_strptime(date_of_birth, '%d/%m/%Y') AS DATE) > current_date)""", "reg"),
+    "dict_membership": O.with_ctes(f"""
+, dict AS (SELECT * FROM (VALUES {_DICT_VALUES}) AS t(variable, field_type, choices)),
+parts AS (SELECT variable, unnest(string_split(choices, '|')) AS part FROM dict
+          WHERE field_type IN ('dropdown', 'radio', 'checkbox') AND choices IS NOT NULL),
+choice AS (SELECT variable, trim(substr(part, strpos(part, ',') + 1)) AS label FROM parts
+           WHERE trim(part) <> '' AND strpos(part, ',') > 0),
+answers AS (UNPIVOT (SELECT {", ".join(_CHOICE_FIELDS)} FROM reg) ON {", ".join(_CHOICE_FIELDS)}
+            INTO NAME variable VALUE value)
+SELECT variable, value, COUNT(*) AS n FROM answers a
+WHERE NOT EXISTS (SELECT 1 FROM choice c WHERE c.variable = a.variable AND c.label = a.value)
+GROUP BY 1, 2""".lstrip(), "reg").replace("\n, dict AS", ",\ndict AS"),
+    "dict_required": O.with_ctes(_union_sql([
+        f"SELECT '{c}' AS variable, COUNT(*) FILTER (WHERE {c} IS NULL) AS n_missing FROM reg"
+        for c in required_fields() if c in REGISTRY_FIELDS]), "reg"),
+    "dict_conditional": O.with_ctes("""
+SELECT record_id, chelation_treat, drug_compliance FROM reg
+WHERE drug_compliance IS NOT NULL AND NOT coalesce(chelation_treat = 'Yes', false)""", "reg"),
+    "dict_deidentify": O.with_ctes("SELECT * EXCLUDE (date_of_birth, gender) FROM reg", "reg"),
+})

@@ -20,8 +20,9 @@ REG_TYPED = ("SELECT CAST(record_id AS BIGINT) AS record_id, * EXCLUDE (record_i
 
 
 def _concept_values() -> str:
-    rows = ", ".join(f"({cid}, '{name}')" for cid, name, *_ in CONCEPT_ROWS)
-    return f"SELECT CAST(c AS INTEGER) AS concept_id, n AS concept_name FROM (VALUES {rows}) AS t(c, n)"
+    rows = ", ".join(f"({cid}, '{name}', '{domain}')" for cid, name, domain, *_ in CONCEPT_ROWS)
+    return (f"SELECT CAST(c AS INTEGER) AS concept_id, n AS concept_name, dom AS domain_id "
+            f"FROM (VALUES {rows}) AS t(c, n, dom)")
 
 
 PERSON = """

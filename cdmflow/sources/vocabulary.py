@@ -44,7 +44,7 @@ def read_vocabulary_file(spark: SparkSession, path: str, schema: T.StructType) -
     text NULLs filled with ``''``. Words such as ``None`` or ``NA`` stay text.
     """
     raw = (spark.read.option("sep", "\t").option("header", True).option("quote", "")
-           .option("escape", "\\").option("inferSchema", False).csv(path))
+           .option("inferSchema", False).csv(path))
     raw = raw.toDF(*[c.lower() for c in raw.columns])
     cols = []
     for f in schema.fields:

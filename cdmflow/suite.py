@@ -24,7 +24,10 @@ from .plans.etl import (Cdm, append_events, build_spine, load_observation_period
                         visit_from_period)
 from .sources.dictionary import DICTIONARY_ROWS, dictionary_frame, numeric_ranges, required_fields
 from .sources.registry import REGISTRY_FIELDS, derived_registry
-from .sources.vocabulary import seed_concepts
+from .operators import vocab as V
+from .schemas import CONCEPT
+from .sources import standins as G
+from .sources.vocabulary import read_vocabulary_file, seed_concepts
 
 Query = Callable[[SparkSession, str], DataFrame]
 _CDM: dict[tuple[int, str], Cdm] = {}
@@ -95,6 +98,61 @@ def catalog_counts(spark: SparkSession, sf: str) -> DataFrame:
     return A.catalog_counts(spark, db)
 
 
+def vocab_load(spark: SparkSession, sf: str) -> DataFrame:
+    """L-VOC: a vocabulary file (written from ``part``) scanned, typed and cleaned."""
+    folder = G.write_part_concept_file(spark, sf)
+    return read_vocabulary_file(spark, os.path.join(folder, "CONCEPT.csv"), CONCEPT)
+
+
+def vocab_descendants(spark: SparkSession, sf: str) -> DataFrame:
+    """T-VOC1: orders and customers under every region and nation concept."""
+    concepts = G.geo_concepts(spark, sf)
+    wanted = concepts.where(F.col("concept_class_id").isin("Region", "Nation")).select("concept_id")
+    return V.descendant_rollup(G.order_facts(spark, sf), "concept_id", "person_id", G.geo_ancestors(spark, sf),
+                               wanted)
+
+
+def vocab_map_to_standard(spark: SparkSession, sf: str) -> DataFrame:
+    """T-MAP1/T-MAP2: customers' source (nation) concept -> standard concept, unmapped -> 0."""
+    mapped = V.map_to_standard(G.customer_codes(spark, sf), "source_concept_id", G.geo_relationships(spark, sf),
+                               at="2026-05-12")
+    return mapped.groupBy("source_concept_id", "standard_concept_id").agg(F.count(F.lit(1)).alias("n_persons"))
+
+
+def vocab_standard_check(spark: SparkSession, sf: str) -> DataFrame:
+    """T-VOC2: orders coded with a mapped concept that is not standard."""
+    facts = G.order_facts_mapped(spark, sf, G.geo_relationships(spark, sf))
+    return V.non_standard_use(facts, "standard_concept_id", G.geo_concepts(spark, sf))
+
+
+def vocab_validity_check(spark: SparkSession, sf: str) -> DataFrame:
+    """T-VOC3: orders whose mapped concept was no longer valid on the order date."""
+    facts = G.order_facts_mapped(spark, sf, G.geo_relationships(spark, sf))
+    return V.expired_use(facts, "standard_concept_id", "event_date", G.geo_concepts(spark, sf))
+
+
+EXPECTED_DOMAIN = {"condition_occurrence": ("condition_concept_id", "Condition"),
+                   "observation": ("observation_concept_id", "Observation"),
+                   "measurement": ("measurement_concept_id", "Measurement"),
+                   "procedure_occurrence": ("procedure_concept_id", "Procedure")}
+
+
+def vocab_domain_check(spark: SparkSession, sf: str) -> DataFrame:
+    """T-VOC4: event rows whose concept belongs to another domain than the table's."""
+    c = cdm(spark, sf)
+    parts = [V.domain_mismatch(getattr(c, t), col, c.concept, dom).select(F.lit(t).alias("table_name"), "*")
+             for t, (col, dom) in EXPECTED_DOMAIN.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def vocab_specificity(spark: SparkSession, sf: str) -> DataFrame:
+    """T-VOC5: codes used although a more specific used code lies below them."""
+    return V.less_specific_use(G.used_codes(spark, sf), "concept_id", G.geo_ancestors(spark, sf))
+
+
 def _table(name: str) -> Query:
     return lambda spark, sf: getattr(cdm(spark, sf), name)
 
@@ -141,6 +199,13 @@ QUERIES: dict[str, Query] = {
     "dict_required": _registry_check(DC.missing_required),
     "dict_conditional": _registry_check(DC.branching_violations),
     "dict_deidentify": _registry_check(DC.deidentify),
+    "vocab_load": vocab_load,
+    "vocab_descendants": vocab_descendants,
+    "vocab_map_to_standard": vocab_map_to_standard,
+    "vocab_standard_check": vocab_standard_check,
+    "vocab_validity_check": vocab_validity_check,
+    "vocab_domain_check": vocab_domain_check,
+    "vocab_specificity": vocab_specificity,
 }
 
 _EVENTS = ("person", "visit_occurrence", "condition_occurrence", "observation", "measurement",
@@ -309,3 +374,79 @@ SELECT record_id, chelation_treat, drug_compliance FROM reg
 WHERE drug_compliance IS NOT NULL AND NOT coalesce(chelation_treat = 'Yes', false)""", "reg"),
     "dict_deidentify": O.with_ctes("SELECT * EXCLUDE (date_of_birth, gender) FROM reg", "reg"),
 })
+
+
+_GEO = """
+geo_concept AS (
+  SELECT CAST(1000 + r_regionkey AS INTEGER) AS concept_id, r_name AS concept_name, 'Region' AS concept_class_id,
+         CASE WHEN r_regionkey <> 4 THEN 'S' END AS standard_concept, DATE '1970-01-01' AS valid_start_date,
+         CASE WHEN r_regionkey = 3 THEN DATE '1995-06-30' ELSE DATE '2099-12-31' END AS valid_end_date FROM region
+  UNION ALL SELECT CAST(2000 + n_nationkey AS INTEGER), n_name, 'Nation', NULL, DATE '1970-01-01',
+         DATE '2099-12-31' FROM nation
+  UNION ALL SELECT CAST(1000000 + c_custkey AS INTEGER), c_name, 'Customer', 'S', DATE '1970-01-01',
+         DATE '2099-12-31' FROM customer),
+geo_rel AS (SELECT CAST(2000 + n_nationkey AS INTEGER) AS src, CAST(1000 + n_regionkey AS INTEGER) AS dst,
+                   n_nationkey = 24 AS deprecated FROM nation),
+edges1 AS (SELECT CAST(1000 + n_regionkey AS INTEGER) AS p, CAST(2000 + n_nationkey AS INTEGER) AS c FROM nation),
+edges2 AS (SELECT CAST(2000 + c_nationkey AS INTEGER) AS p, CAST(1000000 + c_custkey AS INTEGER) AS c FROM customer),
+nodes AS (SELECT p AS x FROM edges1 UNION SELECT c FROM edges1 UNION SELECT p FROM edges2 UNION SELECT c FROM edges2),
+geo_anc AS (
+  SELECT x AS ancestor_concept_id, x AS descendant_concept_id, 0 AS min_levels_of_separation FROM nodes
+  UNION ALL SELECT p, c, 1 FROM edges1
+  UNION ALL SELECT p, c, 1 FROM edges2
+  UNION ALL SELECT e1.p, e2.c, 2 FROM edges1 e1 JOIN edges2 e2 ON e2.p = e1.c),
+mapped AS (
+  SELECT CAST(o.o_orderdate AS DATE) AS d, CAST(COALESCE(r.dst, 0) AS INTEGER) AS std
+  FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey
+  LEFT JOIN geo_rel r ON r.src = 2000 + c.c_nationkey AND NOT r.deprecated)
+"""
+
+
+def _geo(body: str) -> str:
+    return "WITH " + _GEO.strip() + "\n" + body
+
+
+_PART = G.PART_CONCEPT_TEXT
+ORACLE.update({
+    "vocab_load": f"""
+SELECT CAST(p_partkey AS INTEGER) AS concept_id, COALESCE({_PART["CONCEPT_NAME"]}, '') AS concept_name,
+       'Device' AS domain_id, 'PART' AS vocabulary_id, COALESCE(p_type, '') AS concept_class_id,
+       COALESCE({_PART["STANDARD_CONCEPT"]}, '') AS standard_concept, COALESCE(p_brand, '') AS concept_code,
+       CAST(try_strptime(CAST(20000101 + p_size AS VARCHAR), '%Y%m%d') AS DATE) AS valid_start_date,
+       DATE '2099-12-31' AS valid_end_date, '' AS invalid_reason
+FROM part""",
+    "vocab_descendants": _geo("""
+SELECT a.ancestor_concept_id, COUNT(*) AS n_records, COUNT(DISTINCT o.o_custkey) AS n_persons
+FROM orders o JOIN geo_anc a ON a.descendant_concept_id = 1000000 + o.o_custkey
+WHERE a.ancestor_concept_id IN (SELECT concept_id FROM geo_concept WHERE concept_class_id IN ('Region', 'Nation'))
+GROUP BY 1"""),
+    "vocab_map_to_standard": _geo("""
+SELECT CAST(2000 + c_nationkey AS INTEGER) AS source_concept_id,
+       CAST(COALESCE(r.dst, 0) AS INTEGER) AS standard_concept_id, COUNT(*) AS n_persons
+FROM customer c LEFT JOIN geo_rel r ON r.src = 2000 + c.c_nationkey AND NOT r.deprecated
+GROUP BY 1, 2"""),
+    "vocab_standard_check": _geo("""
+SELECT m.std AS concept_id, g.concept_name, g.standard_concept, COUNT(*) AS n
+FROM mapped m LEFT JOIN geo_concept g ON g.concept_id = m.std
+WHERE m.std <> 0 AND COALESCE(g.standard_concept, '') <> 'S'
+GROUP BY 1, 2, 3"""),
+    "vocab_validity_check": _geo("""
+SELECT m.std AS concept_id, COUNT(*) AS n
+FROM mapped m JOIN geo_concept g ON g.concept_id = m.std
+WHERE m.std <> 0 AND (m.d > g.valid_end_date OR m.d < g.valid_start_date)
+GROUP BY 1"""),
+    "vocab_domain_check": O.with_ctes(_union_sql([
+        f"SELECT '{t}' AS table_name, e.{col} AS concept_id, c.domain_id, COUNT(*) AS n FROM {t} e "
+        f"LEFT JOIN concept c ON c.concept_id = e.{col} WHERE e.{col} <> 0 "
+        f"AND NOT COALESCE(c.domain_id = '{dom}', false) GROUP BY 1, 2, 3"
+        for t, (col, dom) in EXPECTED_DOMAIN.items()]), *_EVENTS),
+    "vocab_specificity": _geo("""
+, used AS (SELECT DISTINCT CAST(CASE WHEN c_acctbal < 0 THEN 1000 + n_regionkey ELSE 2000 + c_nationkey END
+                                AS INTEGER) AS x
+           FROM customer JOIN nation ON n_nationkey = c_nationkey)
+SELECT a.ancestor_concept_id AS concept_id, COUNT(*) AS n_more_specific_used
+FROM geo_anc a
+WHERE a.min_levels_of_separation >= 1 AND a.ancestor_concept_id IN (SELECT x FROM used)
+  AND a.descendant_concept_id IN (SELECT x FROM used)
+GROUP BY 1""").replace("\n, used AS", ",\nused AS"),
+})

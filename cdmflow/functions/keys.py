@@ -58,8 +58,10 @@ def partition_offsets(staged: DataFrame, weight: Column | None = None) -> DataFr
 
 
 def _attach_offsets(staged: DataFrame, offsets: DataFrame) -> DataFrame:
-    n = offsets.limit(_MAX_PARTITIONS_BROADCAST + 1).count()
-    side = F.broadcast(offsets) if n <= _MAX_PARTITIONS_BROADCAST else offsets
+    """Join the per-partition offsets back. A range sort yields at most
+    ``spark.sql.shuffle.partitions`` partitions, so that is a proven bound on the frame."""
+    bound = int(staged.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    side = F.broadcast(offsets) if bound <= _MAX_PARTITIONS_BROADCAST else offsets
     return staged.join(side, "_pos_part")
 
 
@@ -70,11 +72,15 @@ def with_dense_key(
     start: int | Column = 1,
     tiebreak: bool = True,
     name: str = "dense-key",
+    restart_by: Sequence[str] = (),
 ) -> DataFrame:
     """Add ``key`` = ``start`` + (0-based rank of the row in ``order_by`` order).
 
     With ``tiebreak`` the remaining columns join the sort key, so rows that tie on
     ``order_by`` are ordered by content and only identical rows can swap ids.
+    ``restart_by`` (leading columns of ``order_by``) numbers every group from ``start``
+    again - several tables keyed by one sort: the group starts come from the same
+    small (partition, group) count frame as the partition offsets.
     """
     columns = list(df.columns)
     order = _cols(order_by)
@@ -82,12 +88,74 @@ def with_dense_key(
         named = {c for c in order_by if isinstance(c, str)}
         order += [F.col(c) for c in columns if c not in named]
     staged = sorted_positions(df, order, name)
-    keyed = _attach_offsets(staged, partition_offsets(staged))
     start_col = start if isinstance(start, Column) else F.lit(start).cast("long")
-    return keyed.select(
-        *[F.col(c) for c in columns],
-        (start_col + F.col("_pos_offset") + F.col("_pos_local")).alias(key),
-    )
+    if not restart_by:
+        keyed = _attach_offsets(staged, partition_offsets(staged))
+        rank = F.col("_pos_offset") + F.col("_pos_local")
+    else:
+        groups = list(restart_by)
+        # one row per (sort partition, group): bounded by partitions x groups
+        counts = staged.groupBy("_pos_part", *groups).agg(F.count(F.lit(1)).alias("_n"))
+        run_p = Window.orderBy("_pos_part").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        per_part = counts.groupBy("_pos_part").agg(F.sum("_n").alias("_t"))
+        part_off = per_part.select("_pos_part", (F.sum("_t").over(run_p) - F.col("_t")).alias("_pos_offset"))
+        run_g = Window.orderBy(*groups).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        per_group = counts.groupBy(*groups).agg(F.sum("_n").alias("_g"))
+        group_off = per_group.select(*groups, (F.sum("_g").over(run_g) - F.col("_g")).alias("_group_start"))
+        keyed = _attach_offsets(staged, part_off)
+        keyed = keyed.join(F.broadcast(group_off), groups) if fits_bounded(group_off) else keyed.join(group_off,
+                                                                                                     groups)
+        rank = F.col("_pos_offset") + F.col("_pos_local") - F.col("_group_start")
+    return keyed.select(*[F.col(c) for c in columns], (start_col + rank).alias(key))
+
+
+def with_key_in_id_order(
+    df: DataFrame,
+    groups: Sequence[str],
+    id_col: str,
+    key: str,
+    id_max: int,
+    start: int | Column = 1,
+    restart_by: Sequence[str] = (),
+    buckets: int | None = None,
+    max_groups: int | None = None,
+) -> DataFrame:
+    """Dense key in (``groups``..., ``id_col``) order when ``id_col`` is a positive integer.
+
+    No global sort and no lineage cut: rows fall into fixed-width id buckets (pure
+    arithmetic, so a recomputed task lands every row in the same bucket), a small
+    (groups, bucket) count frame gives running offsets, and ``row_number`` inside each
+    (groups, bucket) - at most ``width`` ids, so no bucket can be hot when ``id_col`` is
+    unique per group - adds the rank. ``restart_by`` (leading ``groups``) numbers every
+    such group from ``start`` again. Remaining columns break ties deterministically.
+    ``max_groups`` (an upper bound on distinct ``groups`` values, e.g. the rule count)
+    proves the offset frame's size (groups x buckets) so it is broadcast without a check.
+    """
+    spark = df.sparkSession
+    n_buckets = buckets or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    width = max(1, -(-int(id_max) // max(1, n_buckets)))
+    cols = list(df.columns)
+    g = list(groups)
+    tagged = df.withColumn("_kb", F.floor((F.col(id_col) - F.lit(1)) / F.lit(width)).cast("long"))
+    counts = tagged.groupBy(*g, "_kb").agg(F.count(F.lit(1)).alias("_n"))
+    run = Window.orderBy(*g, "_kb").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    offs = counts.select(*g, "_kb", (F.sum("_n").over(run) - F.col("_n")).alias("_off"))
+    if restart_by:
+        offs = offs.withColumn("_off", F.col("_off") - F.min("_off").over(Window.partitionBy(*restart_by)))
+    if max_groups is not None:
+        small = max_groups * (-(-int(id_max) // width)) <= _MAX_PARTITIONS_BROADCAST
+    else:
+        small = fits_bounded(offs)
+    side = F.broadcast(offs) if small else offs
+    ties = [F.col(c) for c in cols if c not in g and c != id_col]
+    rn = F.row_number().over(Window.partitionBy(*g, "_kb").orderBy(F.col(id_col), *ties))
+    start_col = start if isinstance(start, Column) else F.lit(start).cast("long")
+    keyed = tagged.join(side, [*g, "_kb"])
+    return keyed.select(*[F.col(c) for c in cols], (start_col + F.col("_off") + rn - F.lit(1)).alias(key))
+
+
+def fits_bounded(df: DataFrame, max_rows: int = _MAX_PARTITIONS_BROADCAST) -> bool:
+    return df.limit(max_rows + 1).count() <= max_rows
 
 
 def next_key_start(existing: DataFrame, key: str) -> Column:

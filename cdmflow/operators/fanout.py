@@ -14,9 +14,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.values import to_number, value_map
-from .rules import ANSWER, EVENT_TYPE_CONCEPT, Rule, rules_for
+from .rules import ANSWER, EVENT_TYPE_CONCEPT, TARGET_NO, Rule, rules_for
 
-EVENT_FIELDS = ("rule_no", "concept_id", "type_concept_id", "value_as_number", "value_as_string",
+EVENT_FIELDS = ("target_no", "rule_no", "concept_id", "type_concept_id", "value_as_number", "value_as_string",
                 "unit_concept_id", "source_value")
 
 
@@ -43,6 +43,7 @@ def _event_struct(rule: Rule) -> Column:
         source = F.lit(rule.source)
     return F.struct(
         _keep(rule).alias("keep"),
+        F.lit(TARGET_NO[rule.target]).cast("int").alias("target_no"),
         F.lit(rule.rule_no).cast("int").alias("rule_no"),
         concept.cast("int").alias("concept_id"),
         F.lit(EVENT_TYPE_CONCEPT[rule.target]).cast("int").alias("type_concept_id"),
@@ -53,10 +54,10 @@ def _event_struct(rule: Rule) -> Column:
     )
 
 
-def fan_out(spine: DataFrame, target: str, carry: Sequence[str] = ("person_id", "visit_occurrence_id",
-                                                                      "visit_start_date"),
+def fan_out(spine: DataFrame, target: str | None = None,
+            carry: Sequence[str] = ("person_id", "visit_occurrence_id", "visit_start_date"),
             rules: Sequence[Rule] | None = None) -> DataFrame:
-    """One row per (registry row, rule of ``target`` that fires).
+    """One row per (registry row, rule that fires) for the rules of ``target`` (or the given rules).
 
     Output columns: ``carry`` + ``EVENT_FIELDS``.
     """

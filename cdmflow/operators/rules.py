@@ -116,6 +116,7 @@ RULES: tuple[Rule, ...] = (
 )
 
 EVENT_TARGETS = ("condition_occurrence", "observation", "measurement", "procedure_occurrence")
+TARGET_NO = {t: i for i, t in enumerate(EVENT_TARGETS)}
 
 # Concept rows for every id the rules use (names as given with the mapping).
 # (concept_id, concept_name, domain_id, vocabulary_id, concept_class_id)

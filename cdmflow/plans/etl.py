@@ -3,8 +3,9 @@
 Fresh load (``run_etl``): the registry is keyed once (dense ``person_id`` in record-id
 order, written under the checkpoint root). Person, period and visit are projections of
 that keyed spine - one period and one visit per person, numbered in person order, so
-their ids equal ``person_id`` and no join is needed. The four event tables are fanned
-out from the same spine, each with one scan and one key pass.
+their ids equal ``person_id`` and no join is needed. Each event table is one fan-out
+of its rules over the spine (reading only those rules' columns) and one key pass in
+person-id buckets - no global sort, no second copy of the events.
 
 Incremental load against stored tables (``spine_from_tables``): the reference's join
 chain registry -> person (on the text key) -> visit, then the same fan-out, with ids
@@ -20,11 +21,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..functions.keys import next_key_start, with_dense_key
+from ..functions.keys import next_key_start, with_dense_key, with_key_in_id_order
 from ..functions.values import parse_dmy, value_map
 from ..operators.fanout import fan_out
 from ..operators.rules import (
-    ETHNICITY_CONCEPT, EVENT_TARGETS, GENDER_DEFAULT, GENDER_MAP, PERIOD_TYPE_CONCEPT, PROXY_DATE,
+    ETHNICITY_CONCEPT, EVENT_TARGETS, RULES, TARGET_NO, GENDER_DEFAULT, GENDER_MAP, PERIOD_TYPE_CONCEPT, PROXY_DATE,
     RACE_CONCEPT, VISIT_CONCEPT, VISIT_TYPE_CONCEPT,
 )
 
@@ -138,11 +139,26 @@ def spine_from_tables(registry: DataFrame, person: DataFrame, visit: DataFrame)
     return keyed.join(v, "person_id")
 
 
-def load_events(spine: DataFrame, target: str, start: int | Column = 1) -> DataFrame:
-    """L-C*/L-O*/L-M*/L-P*: fan-out of every rule of ``target`` + dense ids in (rule, person) order."""
-    events = fan_out(spine, target)
-    keyed = with_dense_key(events, ["rule_no", "person_id", "visit_occurrence_id"], "_event_id",
-                           start=start, tiebreak=True, name=f"{target}-key")
+def key_events(spine: DataFrame, targets: tuple[str, ...] = EVENT_TARGETS,
+               start: int | Column = 1, id_max: int | None = None) -> DataFrame:
+    """Fan-out of every rule of ``targets`` in one pass, keyed in one shuffle.
+
+    Ids are dense per target in (rule, person) order: person ids are positive integers,
+    unique per rule, so the key pass uses fixed person-id buckets instead of a global sort;
+    the numbering restarts per target. ``max(person_id)`` (one column of the spine, a
+    single number to the driver) sets the bucket width.
+    """
+    rules = [r for r in RULES if r.target in targets]
+    events = fan_out(spine, rules=rules)
+    if id_max is None:
+        id_max = spine.agg(F.max("person_id")).first()[0] or 1
+    return with_key_in_id_order(events, ["target_no", "rule_no"], "person_id", "_event_id", id_max,
+                                start=start, restart_by=["target_no"], max_groups=len(rules))
+
+
+def event_table(keyed: DataFrame, target: str) -> DataFrame:
+    """Project the keyed events of one target to its table schema (reads only that target's rows)."""
+    keyed = keyed.where(F.col("target_no") == TARGET_NO[target])
     d = F.col("visit_start_date")
     ts = d.cast("timestamp_ntz")
     if target == "condition_occurrence":
@@ -182,6 +198,11 @@ def load_events(spine: DataFrame, target: str, start: int | Column = 1) -> DataF
     raise ValueError(f"unknown event table {target!r}")
 
 
+def load_events(spine: DataFrame, target: str, start: int | Column = 1) -> DataFrame:
+    """L-C*/L-O*/L-M*/L-P*: one target's fan-out + dense ids in (rule, person) order."""
+    return event_table(key_events(spine, (target,), start), target)
+
+
 @dataclass
 class Cdm:
     """The loaded clinical tables (lazy frames) plus the vocabulary used by the analytics."""
@@ -212,7 +233,9 @@ def run_etl(registry: DataFrame, concept: DataFrame | None = None) -> Cdm:
     period = load_observation_period(person)
     visit = visit_from_period(period)
     events = event_spine(spine)
-    loaded = {t: load_events(events, t) for t in EVENT_TARGETS}
+    id_max = spine.agg(F.max("person_id")).first()[0] or 1
+    # one fan-out per table: each scan reads only the columns of that table's rules
+    loaded = {t: event_table(key_events(events, (t,), id_max=id_max), t) for t in EVENT_TARGETS}
     return Cdm(person=person, observation_period=period, visit_occurrence=visit,
                condition_occurrence=loaded["condition_occurrence"], observation=loaded["observation"],
                measurement=loaded["measurement"], procedure_occurrence=loaded["procedure_occurrence"],

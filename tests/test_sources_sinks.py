@@ -190,3 +190,27 @@ def test_entry_runs(spark):
     rows = df.collect()
     assert df.columns == ["diagnosis", "n_patients"] and len(rows) == 3
     assert set(E.queries()) >= set(E.oracle_sql())
+
+
+def test_end_to_end_job(spark, tmpdir_path):
+    from cdmflow.plans.job import run_job
+    data = os.path.join(tmpdir_path, "data")
+    os.makedirs(data)
+    _write_dictionary_csv(os.path.join(data, "dictionary.csv"))
+    labels = {r[0]: r[3] for r in DICTIONARY_ROWS}
+    with open(os.path.join(data, "patients.csv"), "w", encoding="utf-8", newline="") as fh:
+        w = csv.writer(fh)
+        w.writerow([labels["record_id"], labels["gender"], labels["orpha_code_id"], labels["ferritin_result"],
+                    labels["chelation_treat"]])
+        w.writerow(["3", "Male", "Alpha-thalassemia", "1500", "Yes"])
+        w.writerow(["1", "Female", "Beta-thalassemia", "", "No"])
+    out = os.path.join(tmpdir_path, "out")
+    reports = run_job(spark, data, out)
+    counts = {r["table_name"]: r["row_count"] for r in reports["overview"].collect()}
+    assert counts["person"] == 2 and counts["measurement"] == 1 and counts["procedure_occurrence"] == 1
+    assert spark.read.parquet(os.path.join(out, "import", "mappings")).count() == 24
+    assert spark.read.parquet(os.path.join(out, "import", "dictionary")).count() == 27
+    assert spark.read.parquet(os.path.join(out, "omop", "cdm_source")).count() == 1
+    person = spark.read.parquet(os.path.join(out, "omop", "person"))
+    assert sorted((r["person_id"], r["person_source_value"]) for r in person.collect()) == [(1, "1"), (2, "3")]
+    assert reports["quality"].count() > 0

@@ -84,3 +84,24 @@ def test_percentile_several_group_columns(spark):
     got = {(r["a"], r["b"]): r["m"] for r in grouped_percentile_cont(df, ["a", "b"], "v", 0.5, out="m").collect()}
     for (a, b), m in got.items():
         assert m == pytest.approx(_pct(list(range(a + b + 1)), 0.5))
+
+
+def test_hot_identical_rows_are_split(spark, tmpdir_path):
+    """A third of the rows identical: with a Parquet input the file position splits them."""
+    rows = [(7, "same")] * 3000 + [(i, f"r{i}") for i in range(6000)]
+    path = tmpdir_path + "/t"
+    spark.createDataFrame(rows, "k long, v string").repartition(4).write.parquet(path)
+    old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        from cdmflow.functions.keys import input_position, sorted_positions
+        df = spark.read.parquet(path)
+        staged = sorted_positions(df, ["k", "v", *input_position(df)], "hot")
+        sizes = [r[1] for r in staged.groupBy("_pos_part").count().collect()]
+        assert max(sizes) < 3000 and sum(sizes) == 9000
+        keyed = with_dense_key(df, ["k"], "id")
+        ids = sorted(r[0] for r in keyed.select("id").collect())
+        assert ids == list(range(1, 9001))
+        assert list(keyed.columns) == ["k", "v", "id"]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)

@@ -15,7 +15,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -59,18 +58,14 @@ def partition_offsets(staged: DataFrame, weight: Column | None = None) -> DataFr
 
 
 def input_position(df: DataFrame) -> list[Column]:
-    """(file, row index) of each row when ``df`` reads a Parquet scan directly, else [].
+    """(file, row index) of each row of a frame that reads one Parquet scan directly.
 
     A deterministic, unique last tie-break: even a group of identical rows holding a third
     of the input is then split by the range partitioner, and a recomputed task sees the
     same values (unlike a random salt).
     """
-    pos = [F.col("_metadata.file_path"), F.col("_metadata.row_index")]
-    try:
-        df.select(*pos)
-    except AnalysisException:
-        return []
-    return pos
+    meta = df.metadataColumn("_metadata")
+    return [meta.getField("file_path"), meta.getField("row_index")]
 
 
 def _attach_offsets(staged: DataFrame, offsets: DataFrame) -> DataFrame:
@@ -89,12 +84,14 @@ def with_dense_key(
     tiebreak: bool = True,
     name: str = "dense-key",
     restart_by: Sequence[str] = (),
+    file_position: bool = False,
 ) -> DataFrame:
     """Add ``key`` = ``start`` + (0-based rank of the row in ``order_by`` order).
 
     With ``tiebreak`` the remaining columns join the sort key, so rows that tie on
-    ``order_by`` are ordered by content and only identical rows can swap ids; for a
-    Parquet input the row's file position comes last, so even identical rows are split.
+    ``order_by`` are ordered by content and only identical rows can swap ids. With
+    ``file_position`` (``df`` reads one Parquet scan) the row's file position comes last,
+    so even a hot group of identical rows is split across sort partitions.
     ``restart_by`` (leading columns of ``order_by``) numbers every group from ``start``
     again - several tables keyed by one sort: the group starts come from the same
     small (partition, group) count frame as the partition offsets.
@@ -103,7 +100,9 @@ def with_dense_key(
     order = _cols(order_by)
     if tiebreak:
         named = {c for c in order_by if isinstance(c, str)}
-        order += [F.col(c) for c in columns if c not in named] + input_position(df)
+        order += [F.col(c) for c in columns if c not in named]
+    if file_position:
+        order += input_position(df)
     staged = sorted_positions(df, order, name)
     start_col = start if isinstance(start, Column) else F.lit(start).cast("long")
     if not restart_by:

@@ -64,9 +64,14 @@ def cdm_source(spark: SparkSession, name: str, abbreviation: str | None = None,
     return spark.createDataFrame([row], schemas.CDM_SOURCE)
 
 
-def build_spine(registry: DataFrame, start: int | Column = 1) -> DataFrame:
-    """Registry rows with a dense ``person_id`` (O-KEY1), written once under the checkpoint root."""
-    return with_dense_key(registry, record_order(registry), "person_id", start=start, name="person-key")
+def build_spine(registry: DataFrame, start: int | Column = 1, file_position: bool = False) -> DataFrame:
+    """Registry rows with a dense ``person_id`` (O-KEY1), written once under the checkpoint root.
+
+    ``file_position``: the registry is a direct Parquet scan (the staged import table), so
+    duplicated registry rows are split across sort partitions by their file position.
+    """
+    return with_dense_key(registry, record_order(registry), "person_id", start=start, name="person-key",
+                          file_position=file_position)
 
 
 def load_person(spine: DataFrame) -> DataFrame:
@@ -225,10 +230,10 @@ def empty_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.createDataFrame([], schemas.ALL_CDM[name])
 
 
-def run_etl(registry: DataFrame, concept: DataFrame | None = None) -> Cdm:
+def run_etl(registry: DataFrame, concept: DataFrame | None = None, file_position: bool = False) -> Cdm:
     """L-ALL: the whole load in dependency order (person -> period -> visit -> events)."""
     spark = registry.sparkSession
-    spine = build_spine(registry)
+    spine = build_spine(registry, file_position=file_position)
     person = load_person(spine)
     period = load_observation_period(person)
     visit = visit_from_period(period)

@@ -60,9 +60,9 @@ def run_job(spark: SparkSession, data_dir: str, out_root: str, vocab_dir: str |
         raise FileNotFoundError(f"no patients.csv in {data_dir}")
     vocab = load_vocabulary(spark, vocab_dir, out_root=os.path.join(out_root, "omop"), mode="overwrite") \
         if vocab_dir else {}
-    concept = vocab.get("concept") or seed_concepts(spark)
+    concept = vocab["concept"] if "concept" in vocab else seed_concepts(spark)
     sinks.write_table(cdm_source(spark, source_name), out_root, "cdm_source")
-    cdm = sinks.write_cdm(run_etl(staged["labels"], concept=concept), out_root)
+    cdm = sinks.write_cdm(run_etl(staged["labels"], concept=concept, file_position=True), out_root)
     return {"overview": overview_counts(cdm), "quality": quality_report(cdm)}
 
 

@@ -99,7 +99,7 @@ def test_hot_identical_rows_are_split(spark, tmpdir_path):
         staged = sorted_positions(df, ["k", "v", *input_position(df)], "hot")
         sizes = [r[1] for r in staged.groupBy("_pos_part").count().collect()]
         assert max(sizes) < 3000 and sum(sizes) == 9000
-        keyed = with_dense_key(df, ["k"], "id")
+        keyed = with_dense_key(df, ["k"], "id", file_position=True)
         ids = sorted(r[0] for r in keyed.select("id").collect())
         assert ids == list(range(1, 9001))
         assert list(keyed.columns) == ["k", "v", "id"]

@@ -14,6 +14,20 @@ def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
+def small_side(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """``broadcast(df)`` when it has at most ``max_rows`` rows, else ``df`` unchanged.
+
+    The probe ``df.limit(max_rows + 1)`` is cached (it holds at most max_rows + 1 rows);
+    when it proves the frame small it *is* the whole frame, so the broadcast reuses it
+    instead of computing the frame a second time.
+    """
+    probe = df.limit(max_rows + 1).cache()
+    if probe.count() <= max_rows:
+        return F.broadcast(probe)
+    probe.unpersist()
+    return df
+
+
 def lookup_join(
     fact: DataFrame,
     dim: DataFrame,
@@ -25,5 +39,4 @@ def lookup_join(
 
     Only the dimension side is ever broadcast (left/inner/semi/anti keep the fact on the left).
     """
-    side = F.broadcast(dim) if fits_broadcast(dim, max_rows) else dim
-    return fact.join(side, on, how)
+    return fact.join(small_side(dim, max_rows), on, how)

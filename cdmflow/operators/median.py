@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.keys import partition_offsets, sorted_positions
-from .lookup import fits_broadcast
+from .lookup import small_side
 
 
 def grouped_percentile_cont(
@@ -51,11 +51,10 @@ def grouped_percentile_cont(
                   .withColumn("_lo", F.col("_first") + F.floor("_r"))
                   .withColumn("_hi", F.col("_first") + F.ceil("_r"))
                   .withColumn("_frac", F.col("_r") - F.floor("_r")))
-    s = stats.alias("s")
     r = pos.alias("r")
     cond = reduce(lambda a, b: a & b, [F.col(f"r.{g}").eqNullSafe(F.col(f"s.{g}")) for g in gcols],
                   F.lit(True))
-    side = F.broadcast(s) if fits_broadcast(stats) else s
+    side = small_side(stats).alias("s")
     hit_lo = (F.col("r._begin") <= F.col("s._lo")) & (F.col("s._lo") < F.col("r._end"))
     hit_hi = (F.col("r._begin") <= F.col("s._hi")) & (F.col("s._hi") < F.col("r._end"))
     picked = r.join(side, cond).where(hit_lo | hit_hi).select(

@@ -29,12 +29,12 @@ def orphan_rows(child: DataFrame, parent: DataFrame, key: str) -> Column:
     """T-DQ4 / T-JN7: number of ``child`` rows whose ``key`` has no ``parent`` row (scalar).
 
     The child is first reduced to (key, rows) - partial aggregation map-side - so the anti
-    join moves one row per distinct key instead of every event.
+    join moves one row per distinct key instead of every event. A NULL key never matches,
+    so the anti join keeps it and it counts as an orphan.
     """
-    per_key = child.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
+    per_key = child.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
     missing = per_key.join(parent.select(key), key, "left_anti")
-    nulls = child.where(F.col(key).isNull()).agg(F.count(F.lit(1))).scalar()
-    return F.coalesce(missing.agg(F.sum("_rows")).scalar(), F.lit(0)).cast("long") + nulls
+    return F.coalesce(missing.agg(F.sum("_rows")).scalar(), F.lit(0)).cast("long")
 
 
 def orphans(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:

@@ -32,24 +32,37 @@ def total_persons(person: DataFrame) -> Column:
     return person.agg(F.count(F.lit(1)).alias("n")).scalar()
 
 
-def q1_patients_per_diagnosis(cdm: Cdm) -> DataFrame:
-    """A-Q1: distinct patients per primary diagnosis."""
+def _distinct_persons(approx_rsd: float | None) -> Column:
+    """Exact COUNT(DISTINCT person_id), or HyperLogLog++ with relative error ``approx_rsd``."""
+    return F.count_distinct("person_id") if approx_rsd is None else F.approx_count_distinct("person_id", approx_rsd)
+
+
+def q1_patients_per_diagnosis(cdm: Cdm, approx_rsd: float | None = None) -> DataFrame:
+    """A-Q1: distinct patients per primary diagnosis (``approx_rsd``: the large-data option)."""
     ids = list(PRIMARY_DIAGNOSIS_CONCEPTS)
     facts = cdm.condition_occurrence.where(F.col("condition_concept_id").isin(ids)).select(
         "person_id", "condition_concept_id")
     dim = cdm.concept.where(F.col("concept_id").isin(ids)).select("concept_id", "concept_name")
     joined = lookup_join(facts, dim, facts["condition_concept_id"] == dim["concept_id"])
     return (joined.groupBy(F.col("concept_name").alias("diagnosis"))
-                  .agg(F.count_distinct("person_id").alias("n_patients"))
+                  .agg(_distinct_persons(approx_rsd).alias("n_patients"))
                   .orderBy(F.desc("n_patients"), "diagnosis"))
 
 
-def q2_median_ferritin_by_sex(cdm: Cdm) -> DataFrame:
-    """A-Q2: exact median ferritin (1 decimal) and number of measurements per sex."""
+def q2_median_ferritin_by_sex(cdm: Cdm, approx_accuracy: int | None = None) -> DataFrame:
+    """A-Q2: exact median ferritin (1 decimal) and number of measurements per sex.
+
+    ``approx_accuracy`` switches to ``percentile_approx`` (a mergeable sketch, no sort;
+    returns an observed value instead of the interpolated one) for very large data.
+    """
     m = cdm.measurement.where((F.col("measurement_concept_id") == FERRITIN_CONCEPT)
                               & F.col("value_as_number").isNotNull()).select("person_id", "value_as_number")
     p = cdm.person.select("person_id", F.col("gender_source_value").alias("sex"))
     joined = m.join(p, "person_id")
+    if approx_accuracy is not None:
+        return joined.groupBy("sex").agg(
+            F.round(F.percentile_approx("value_as_number", 0.5, approx_accuracy), 1).alias("median_ferritin"),
+            F.count(F.lit(1)).alias("n_measurements")).orderBy("sex")
     med = grouped_percentile_cont(joined, ["sex"], "value_as_number", 0.5, out="_median",
                                   count_out="n_measurements")
     return med.select("sex", F.round("_median", 1).alias("median_ferritin"), "n_measurements").orderBy("sex")

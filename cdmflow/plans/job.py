@@ -23,6 +23,7 @@ from ..sources.vocabulary import load_vocabulary, seed_concepts
 from .analytics import overview_counts
 from .etl import cdm_source, run_etl
 from .quality import quality_report
+from ..session import path_exists
 
 
 def stage_registry_files(spark: SparkSession, data_dir: str, out_root: str) -> dict[str, DataFrame]:
@@ -34,7 +35,7 @@ def stage_registry_files(spark: SparkSession, data_dir: str, out_root: str) -> d
     staged: dict[str, DataFrame] = {}
     dict_path = os.path.join(data_dir, "dictionary.csv")
     labels = None
-    if os.path.exists(dict_path):
+    if path_exists(spark, dict_path):
         dictionary = read_dictionary(spark, dict_path)
         staged["dictionary"] = sinks.write_table(dictionary, out_root, "dictionary", "overwrite", schema="import")
         labels = variables_from_frame(staged["dictionary"])
@@ -42,10 +43,10 @@ def stage_registry_files(spark: SparkSession, data_dir: str, out_root: str) -> d
         print("WARNING: dictionary.csv not found, skipping", file=sys.stderr)
     map_path = os.path.join(data_dir, "omop_mappings.csv")
     mappings = (spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(map_path)
-                if os.path.exists(map_path) else rule_frame(spark))
+                if path_exists(spark, map_path) else rule_frame(spark))
     staged["mappings"] = sinks.write_table(mappings, out_root, "mappings", "overwrite", schema="import")
     reg_path = os.path.join(data_dir, "patients.csv")
-    if os.path.exists(reg_path):
+    if path_exists(spark, reg_path):
         staged["labels"] = sinks.write_table(read_registry_csv(spark, reg_path, labels), out_root, "labels",
                                              "overwrite", schema="import")
     else:

@@ -6,6 +6,7 @@ import os
 import tempfile
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 
 _LOCAL_STAGE: dict[int, str] = {}
@@ -65,3 +66,17 @@ def checkpoint_root(spark: SparkSession) -> str:
 def stage_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the checkpoint root for one lineage cut."""
     return os.path.join(checkpoint_root(spark), "cdmflow-stage", f"{name}-{uuid.uuid4().hex}")
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Does a file or folder exist on the session's file system (local, HDFS, object store)?
+
+    Local paths are checked directly; any other URI by letting Spark list it.
+    """
+    if "://" not in path or path.startswith("file:"):
+        return os.path.exists(path.removeprefix("file://").removeprefix("file:"))
+    try:
+        spark.read.format("binaryFile").load(path)
+        return True
+    except AnalysisException:
+        return False

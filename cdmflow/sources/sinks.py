@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..plans.etl import Cdm
+from ..session import path_exists
 
 RESET_ORDER = ("procedure_occurrence", "drug_exposure", "measurement", "observation", "condition_occurrence",
                "visit_occurrence", "observation_period", "person")
@@ -32,7 +33,7 @@ def write_table(df: DataFrame, root: str, table: str, mode: str = "overwrite", s
 def read_table(spark: SparkSession, root: str, table: str, schema: str = "omop") -> DataFrame:
     """O-SRC5 + O-SRC6: scan a stored table; a missing table reads as empty with its fixed schema."""
     path = table_path(root, table, schema)
-    if not os.path.exists(path):
+    if not path_exists(spark, path):
         return spark.createDataFrame([], schemas.ALL_CDM[table]) if table in schemas.ALL_CDM else None
     return spark.read.parquet(path)
 
@@ -63,12 +64,14 @@ def reset_clinical_tables(spark: SparkSession, root: str) -> None:
             table_path(root, name))
 
 
-def save_tables(frames: dict[str, DataFrame], database: str, mode: str = "overwrite") -> None:
+def save_tables(frames: dict[str, DataFrame], database: str, mode: str = "overwrite",
+                location: str | None = None) -> None:
     """Catalog variant of the sink: ``CREATE DATABASE IF NOT EXISTS`` + ``saveAsTable`` per frame."""
     if not frames:
         return
     spark = next(iter(frames.values())).sparkSession
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+    where = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`{where}")
     for name, df in frames.items():
         df.write.mode(mode).saveAsTable(f"`{database}`.`{name}`")
 

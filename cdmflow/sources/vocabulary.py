@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from .. import schemas
 from ..functions.values import parse_ymd
 from ..operators.rules import CONCEPT_ROWS
+from ..session import path_exists
 
 DATE_COLUMNS = ("valid_start_date", "valid_end_date")
 _VALID_FROM = dt.date(1970, 1, 1)
@@ -69,7 +70,7 @@ def load_vocabulary(spark: SparkSession, vocab_dir: str, out_root: str | None =
     out: dict[str, DataFrame] = {}
     for fname, (table, schema) in schemas.VOCABULARY_FILES.items():
         path = os.path.join(vocab_dir, fname)
-        if not os.path.exists(path):
+        if not path_exists(spark, path):
             print(f"WARNING: {fname} not found, skipping", file=sys.stderr)
             continue
         df = read_vocabulary_file(spark, path, schema)

@@ -20,7 +20,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..operators.rules import EVENT_TARGETS
 from ..plans.etl import (EVENT_ID, build_spine, event_spine, event_table, key_events, load_observation_period,
                          load_person, visit_from_period)
-from ..session import checkpoint_root
+from ..session import checkpoint_root, path_exists
 from ..sources.dictionary import rename_labels
 from ..sources.registry import type_registry
 
@@ -33,7 +33,7 @@ def batch_path(root: str, table: str, batch_id: int) -> str:
 
 def read_batched(spark: SparkSession, root: str, table: str) -> DataFrame | None:
     path = os.path.join(root, "omop", table)
-    if not os.path.exists(path):
+    if not path_exists(spark, path):
         return None
     return spark.read.parquet(path)
 

@@ -214,3 +214,14 @@ def test_end_to_end_job(spark, tmpdir_path):
     person = spark.read.parquet(os.path.join(out, "omop", "person"))
     assert sorted((r["person_id"], r["person_source_value"]) for r in person.collect()) == [(1, "1"), (2, "3")]
     assert reports["quality"].count() > 0
+
+
+def test_catalog_database_sink(spark, tmpdir_path):
+    c = run_etl(_small_registry(spark, range(1, 8)))
+    sinks.save_tables(c.tables(), "omop_sink_test", location=os.path.join(tmpdir_path, "omop.db"))
+    listed = [r["table_name"] for r in sinks.list_tables(spark, "omop_sink_test").collect()]
+    assert listed == sorted(listed) and "visit_occurrence" in listed and len(listed) == 8
+    counts = {r["table_name"]: r["row_count"] for r in catalog_counts(spark, "omop_sink_test").collect()}
+    assert counts["person"] == 7 and counts["condition_occurrence"] == 7 and counts["drug_exposure"] == 0
+    sinks.save_tables(c.tables(), "omop_sink_test")  # overwrite: idempotent re-run
+    assert spark.table("omop_sink_test.person").count() == 7

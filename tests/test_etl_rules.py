@@ -153,3 +153,14 @@ def test_large_data_options(spark):
     assert all(abs(approx[k] - exact[k]) <= 2 for k in exact)
     n = q1_patients_per_diagnosis(c, approx_rsd=0.01).first()["n_patients"]
     assert abs(n - 200) <= 10
+
+
+def test_visit_load_from_stored_tables(spark):
+    """L-VIS against stored person/period tables: inner join, ids dense in person order."""
+    from cdmflow.plans.etl import load_observation_period, load_person, load_visit_occurrence, build_spine
+    spine = build_spine(registry(spark, [reg_row(i, gender="Male") for i in (30, 10, 20)]), start=5)
+    person = load_person(spine)
+    period = load_observation_period(person).where("person_id <> 6")  # a person without a period gets no visit
+    visits = load_visit_occurrence(person, period, start=100).orderBy("visit_occurrence_id").collect()
+    assert [(v["visit_occurrence_id"], v["person_id"]) for v in visits] == [(100, 5), (101, 7)]
+    assert all(v["visit_start_date"] == D and v["visit_type_concept_id"] == 32809 for v in visits)

@@ -32,6 +32,8 @@ def build_session(
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", driver_memory)
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # batch jobs: no Python call-site capture on every Column operation (debugging aid)
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     if checkpoint_dir:
         builder = builder.config("spark.checkpoint.dir", checkpoint_dir)

@@ -6,7 +6,6 @@ import re
 import unicodedata
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Column headers of a REDCap data-dictionary export, in file order.

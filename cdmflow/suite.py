@@ -27,6 +27,8 @@ from .sources.registry import REGISTRY_FIELDS, derived_registry
 from .operators import vocab as V
 from .schemas import CONCEPT
 from .sources import standins as G
+from .session import stage_path
+from .sources.sinks import write_cdm
 from .sources.vocabulary import read_vocabulary_file, seed_concepts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,9 +40,12 @@ def registry(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cdm(spark: SparkSession, sf_dir: str) -> Cdm:
+    """The loaded CDM for ``sf_dir``: loaded once per session and written under the shared
+    checkpoint root; the questions then read stored Parquet (filters reach the scans)."""
     key = (id(spark.sparkContext), os.path.abspath(sf_dir))
     if key not in _CDM:
-        _CDM[key] = run_etl(registry(spark, sf_dir), concept=seed_concepts(spark))
+        loaded = run_etl(registry(spark, sf_dir), concept=seed_concepts(spark))
+        _CDM[key] = write_cdm(loaded, stage_path(spark, "cdm"))
     return _CDM[key]
 
 

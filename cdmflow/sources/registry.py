@@ -29,13 +29,17 @@ REGISTRY_SCHEMA = T.StructType(
 
 
 def type_registry(raw: DataFrame) -> DataFrame:
-    """Typed staging: ids and numbers parsed tolerantly (bad text -> NULL, see quality.bad_values).
+    """Typed staging: numbers parsed tolerantly (bad text -> NULL, see quality.bad_numbers).
 
-    Missing columns are added as NULL so every rule has its input.
+    The record id stays the exact text of the export (leading zeros, letters); keys order
+    numeric ids numerically and text ids after them. Missing columns are added as NULL so
+    every rule has its input.
     """
     cols = []
     for f in REGISTRY_SCHEMA.fields:
-        if f.name in raw.columns:
+        if f.name == "record_id" and f.name in raw.columns:
+            cols.append(F.col(f.name).cast("string").alias(f.name))
+        elif f.name in raw.columns:
             c = F.col(f.name)
             cols.append((c.try_cast(f.dataType) if f.dataType != T.StringType() else c.cast("string")).alias(f.name))
         else:

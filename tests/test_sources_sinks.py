@@ -67,11 +67,11 @@ def test_registry_csv_labels_renamed_and_typed(spark, tmpdir_path):
         w.writerow(["11639873", "31/02/2000", "Male", "", "", "900", "", "Yes (Regular)"])
     df = read_registry_csv(spark, path)
     rows = {r["record_id"]: r for r in df.collect()}
-    assert set(rows) == {9047185, 11639873}
-    assert rows[9047185]["cardiac_t2"] == 12.5 and rows[9047185]["ferritin_result"] is None
-    assert rows[11639873]["ferritin_result"] == 900.0
-    assert rows[9047185]["country_of_birth"] == "Greece" and rows[11639873]["country_of_birth"] is None
-    assert rows[9047185]["transfusion_status_present"] == "No"
+    assert set(rows) == {"9047185", "11639873"}
+    assert rows["9047185"]["cardiac_t2"] == 12.5 and rows["9047185"]["ferritin_result"] is None
+    assert rows["11639873"]["ferritin_result"] == 900.0
+    assert rows["9047185"]["country_of_birth"] == "Greece" and rows["11639873"]["country_of_birth"] is None
+    assert rows["9047185"]["transfusion_status_present"] == "No"
     assert df.schema["iron_result"].dataType.simpleString() == "double"
     raw = spark.read.option("header", True).csv(path)
     from cdmflow.sources.dictionary import rename_labels
@@ -204,15 +204,19 @@ def test_end_to_end_job(spark, tmpdir_path):
                     labels["chelation_treat"]])
         w.writerow(["3", "Male", "Alpha-thalassemia", "1500", "Yes"])
         w.writerow(["1", "Female", "Beta-thalassemia", "", "No"])
+        w.writerow(["P-7", "Female", "Sickle cell disease", "", "No"])
+        w.writerow(["012", "Male", "Sickle cell disease", "", "No"])
     out = os.path.join(tmpdir_path, "out")
     reports = run_job(spark, data, out)
     counts = {r["table_name"]: r["row_count"] for r in reports["overview"].collect()}
-    assert counts["person"] == 2 and counts["measurement"] == 1 and counts["procedure_occurrence"] == 1
+    assert counts["person"] == 4 and counts["measurement"] == 1 and counts["procedure_occurrence"] == 1
     assert spark.read.parquet(os.path.join(out, "import", "mappings")).count() == 24
     assert spark.read.parquet(os.path.join(out, "import", "dictionary")).count() == 27
     assert spark.read.parquet(os.path.join(out, "omop", "cdm_source")).count() == 1
     person = spark.read.parquet(os.path.join(out, "omop", "person"))
-    assert sorted((r["person_id"], r["person_source_value"]) for r in person.collect()) == [(1, "1"), (2, "3")]
+    # numeric ids in numeric order (text kept exactly, "012" stays "012"), then text ids
+    assert sorted((r["person_id"], r["person_source_value"]) for r in person.collect()) == [
+        (1, "1"), (2, "3"), (3, "012"), (4, "P-7")]
     assert reports["quality"].count() > 0
 
 

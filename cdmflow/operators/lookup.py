@@ -9,11 +9,6 @@ from pyspark.sql import functions as F
 BROADCAST_MAX_ROWS = 2_000_000
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows + 1 rows)."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
 def small_side(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """``broadcast(df)`` when it has at most ``max_rows`` rows, else ``df`` unchanged.
 

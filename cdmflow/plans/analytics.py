@@ -171,17 +171,29 @@ def preview(df: DataFrame, order_by: list[str], n: int = 5) -> DataFrame:
     return df.orderBy(*order_by).limit(n)
 
 
-def catalog_counts(spark: SparkSession, database: str | None = None) -> DataFrame:
-    """A-CAT / O-SET2: row count of every table in a catalog database, sorted by name.
+def catalog_counts(spark: SparkSession, database: str | list[str] | None = None) -> DataFrame:
+    """A-CAT / O-SET2 / O-FLT7: row count of every base table, sorted by (schema, table).
 
-    The table list is catalog metadata (bounded); each count is its own small aggregate,
-    unioned into one result.
+    ``database``: one database, a list, or None for every database of the catalog (the
+    reference counts every user schema). Views are skipped; temporary views count only in
+    the global temporary database. The table list is catalog metadata (bounded); each count
+    is its own small aggregate, unioned into one result.
     """
-    db = database or spark.catalog.currentDatabase()
-    tables = [t for t in spark.catalog.listTables(db)
-              if t.namespace and t.namespace[-1] == db and t.tableType in ("MANAGED", "EXTERNAL", "TEMPORARY")]
-    if not tables:
+    if database is None:
+        dbs = [d.name for d in spark.catalog.listDatabases()]
+    else:
+        dbs = [database] if isinstance(database, str) else list(database)
+    frames, schema_of = {}, {}
+    for db in dbs:
+        for t in spark.catalog.listTables(db):
+            if t.namespace and t.namespace[-1] == db and t.tableType in ("MANAGED", "EXTERNAL", "TEMPORARY"):
+                label = f"{db}.{t.name}"
+                frames[label] = spark.table(f"`{db}`.`{t.name}`")
+                schema_of[label] = db
+    if not frames:
         return spark.createDataFrame([], "table_schema string, table_name string, row_count long")
-    counts = labelled_counts({t.name: spark.table(f"`{db}`.`{t.name}`") for t in tables})
-    return counts.select(F.lit(db).alias("table_schema"), "table_name", "row_count").orderBy(
-        "table_schema", "table_name")
+    counts = labelled_counts(frames, label="_label")
+    return counts.select(
+        F.substring_index("_label", ".", 1).alias("table_schema"),
+        F.expr("substring(_label, length(substring_index(_label, '.', 1)) + 2)").alias("table_name"),
+        "row_count").orderBy("table_schema", "table_name")

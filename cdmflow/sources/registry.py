@@ -65,12 +65,6 @@ def read_registry_csv(spark: SparkSession, path: str, labels: dict[str, str] | N
     return type_registry(rename_labels(raw, labels))
 
 
-def raw_registry_csv(spark: SparkSession, path: str) -> DataFrame:
-    """The untyped, renamed registry (for quarantine of unparsable values)."""
-    raw = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
-    return rename_labels(raw)
-
-
 # ---------------------------------------------------------------------------
 # Stand-in registry: one record per order (orders x customer x nation). The
 # expressions are valid in both Spark SQL and DuckDB so the oracle derives the

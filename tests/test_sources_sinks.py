@@ -229,3 +229,12 @@ def test_catalog_database_sink(spark, tmpdir_path):
     assert counts["person"] == 7 and counts["condition_occurrence"] == 7 and counts["drug_exposure"] == 0
     sinks.save_tables(c.tables(), "omop_sink_test")  # overwrite: idempotent re-run
     assert spark.table("omop_sink_test.person").count() == 7
+
+
+def test_catalog_counts_every_database(spark, tmpdir_path):
+    c = run_etl(_small_registry(spark, range(1, 4)))
+    sinks.save_tables({"person": c.person}, "omop_all_a", location=os.path.join(tmpdir_path, "a.db"))
+    sinks.save_tables({"measurement": c.measurement}, "omop_all_b", location=os.path.join(tmpdir_path, "b.db"))
+    rows = [(r["table_schema"], r["table_name"], r["row_count"]) for r in catalog_counts(spark).collect()]
+    assert ("omop_all_a", "person", 3) in rows and ("omop_all_b", "measurement", 3) in rows
+    assert rows == sorted(rows)

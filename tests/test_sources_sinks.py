@@ -238,3 +238,21 @@ def test_catalog_counts_every_database(spark, tmpdir_path):
     rows = [(r["table_schema"], r["table_name"], r["row_count"]) for r in catalog_counts(spark).collect()]
     assert ("omop_all_a", "person", 3) in rows and ("omop_all_b", "measurement", 3) in rows
     assert rows == sorted(rows)
+
+
+def test_job_command_line(spark, tmpdir_path, capsys):
+    from cdmflow.plans.job import main
+    data = os.path.join(tmpdir_path, "data")
+    os.makedirs(data)
+    labels = {r[0]: r[3] for r in DICTIONARY_ROWS}
+    with open(os.path.join(data, "patients.csv"), "w", encoding="utf-8", newline="") as fh:
+        w = csv.writer(fh)
+        w.writerow([labels["record_id"], labels["gender"]])
+        w.writerow(["5", "Male"])
+    out = os.path.join(tmpdir_path, "out")
+    assert main(["--data", data, "--out", out, "--source-name", "Test registry"]) == 0
+    assert "person" in capsys.readouterr().out
+    src = spark.read.parquet(os.path.join(out, "omop", "cdm_source")).first()
+    assert src["cdm_source_name"] == "Test registry"
+    # the mapping sheet is missing -> the rule table is staged; dictionary missing -> skipped
+    assert spark.read.parquet(os.path.join(out, "import", "mappings")).count() == 24

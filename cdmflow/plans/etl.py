@@ -227,7 +227,7 @@ class Cdm:
 
 
 def empty_table(spark: SparkSession, name: str) -> DataFrame:
-    return spark.createDataFrame([], schemas.ALL_CDM[name])
+    return schemas.empty_frame(spark, schemas.ALL_CDM[name])
 
 
 def run_etl(registry: DataFrame, concept: DataFrame | None = None, file_position: bool = False) -> Cdm:

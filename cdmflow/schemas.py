@@ -12,6 +12,12 @@ L, I, S, D, DBL = T.LongType(), T.IntegerType(), T.StringType(), T.DateType(), T
 TS = T.TimestampNTZType()
 
 
+def empty_frame(spark, schema: T.StructType):
+    """An empty DataFrame of ``schema`` without shipping local data (``range(0)`` + typed NULLs)."""
+    from pyspark.sql import functions as F
+    return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
 def _schema(*fields: tuple[str, T.DataType]) -> T.StructType:
     return T.StructType([T.StructField(n, t, True) for n, t in fields])
 

@@ -34,14 +34,14 @@ def read_table(spark: SparkSession, root: str, table: str, schema: str = "omop")
     """O-SRC5 + O-SRC6: scan a stored table; a missing table reads as empty with its fixed schema."""
     path = table_path(root, table, schema)
     if not path_exists(spark, path):
-        return spark.createDataFrame([], schemas.ALL_CDM[table]) if table in schemas.ALL_CDM else None
+        return schemas.empty_frame(spark, schemas.ALL_CDM[table]) if table in schemas.ALL_CDM else None
     return spark.read.parquet(path)
 
 
 def create_empty_tables(spark: SparkSession, root: str, tables: dict | None = None, schema: str = "omop") -> None:
     """O-SNK5/O-SNK6: create the namespace and every CDM table empty, from the fixed schemas."""
     for name, struct in (tables or schemas.ALL_CDM).items():
-        spark.createDataFrame([], struct).write.mode("ignore").parquet(table_path(root, name, schema))
+        schemas.empty_frame(spark, struct).write.mode("ignore").parquet(table_path(root, name, schema))
 
 
 def write_cdm(cdm: Cdm, root: str, mode: str = "overwrite") -> Cdm:
@@ -60,7 +60,7 @@ def reset_clinical_tables(spark: SparkSession, root: str) -> None:
     Ids restart at 1 on the next load because they are derived from the data, not a sequence.
     """
     for name in RESET_ORDER:
-        spark.createDataFrame([], schemas.CLINICAL_TABLES[name]).write.mode("overwrite").parquet(
+        schemas.empty_frame(spark, schemas.CLINICAL_TABLES[name]).write.mode("overwrite").parquet(
             table_path(root, name))
 
 

@@ -23,6 +23,7 @@ from ..session import stage_path
 _POS_BITS = 33  # monotonically_increasing_id: partition index << 33 | row position
 _POS_MASK = (1 << _POS_BITS) - 1
 _MAX_PARTITIONS_BROADCAST = 1_000_000
+_MAX_BUCKET_IDS = 10_000_000  # ids per (rule, bucket) window group: one task's share, far below 2^31
 
 
 def _cols(cols: Sequence[str | Column]) -> list[Column]:
@@ -50,7 +51,13 @@ def partition_offsets(staged: DataFrame, weight: Column | None = None) -> DataFr
     The frame has one row per sort partition; the window over it is tiny.
     """
     w = F.count(F.lit(1)) if weight is None else F.sum(weight)
-    totals = staged.groupBy("_pos_part").agg(w.cast("long").alias("_pos_total"))
+    totals = staged.groupBy("_pos_part").agg(w.cast("long").alias("_pos_total"),
+                                             F.count(F.lit(1)).alias("_pos_rows"))
+    # row positions live in the low 33 bits of monotonically_increasing_id: fail loudly, never wrap
+    guarded = F.when(F.col("_pos_rows") < F.lit(1 << _POS_BITS), F.col("_pos_total")).otherwise(
+        F.raise_error(F.lit("a sort partition holds 2^33 rows or more; raise spark.sql.shuffle.partitions"))
+        .cast("long"))
+    totals = totals.select("_pos_part", guarded.alias("_pos_total"))
     run = Window.orderBy("_pos_part").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return totals.select(
         "_pos_part", (F.sum("_pos_total").over(run) - F.col("_pos_total")).alias("_pos_offset"), "_pos_total"
@@ -114,6 +121,8 @@ def with_dense_key(
         counts = staged.groupBy("_pos_part", *groups).agg(F.count(F.lit(1)).alias("_n"))
         run_p = Window.orderBy("_pos_part").rowsBetween(Window.unboundedPreceding, Window.currentRow)
         per_part = counts.groupBy("_pos_part").agg(F.sum("_n").alias("_t"))
+        per_part = per_part.withColumn("_t", F.when(F.col("_t") < F.lit(1 << _POS_BITS), F.col("_t")).otherwise(
+            F.raise_error(F.lit("a sort partition holds 2^33 rows or more")).cast("long")))
         part_off = per_part.select("_pos_part", (F.sum("_t").over(run_p) - F.col("_t")).alias("_pos_offset"))
         run_g = Window.orderBy(*groups).rowsBetween(Window.unboundedPreceding, Window.currentRow)
         per_group = counts.groupBy(*groups).agg(F.sum("_n").alias("_g"))
@@ -149,6 +158,7 @@ def with_key_in_id_order(
     """
     spark = df.sparkSession
     n_buckets = buckets or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n_buckets = max(n_buckets, -(-int(id_max) // _MAX_BUCKET_IDS))
     width = max(1, -(-int(id_max) // max(1, n_buckets)))
     cols = list(df.columns)
     g = list(groups)

@@ -105,3 +105,13 @@ def test_hot_identical_rows_are_split(spark, tmpdir_path):
         assert list(keyed.columns) == ["k", "v", "id"]
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
+
+
+def test_dense_key_restart_by_group(spark):
+    df = spark.createDataFrame([(i % 3, i) for i in range(500)], "g long, v long").repartition(5)
+    keyed = with_dense_key(df, ["g", "v"], "key", restart_by=["g"])
+    per: dict[int, list[tuple[int, int]]] = {}
+    for r in keyed.collect():
+        per.setdefault(r["g"], []).append((r["v"], r["key"]))
+    for rows in per.values():
+        assert [k for _, k in sorted(rows)] == list(range(1, len(rows) + 1))

@@ -28,7 +28,7 @@ from .operators import vocab as V
 from .schemas import CONCEPT
 from .sources import standins as G
 from .session import stage_path
-from .sources.sinks import write_cdm
+from .sources.sinks import read_cdm, reset_clinical_tables, write_cdm
 from .sources.vocabulary import read_vocabulary_file, seed_concepts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -158,6 +158,14 @@ def vocab_specificity(spark: SparkSession, sf: str) -> DataFrame:
     return V.less_specific_use(G.used_codes(spark, sf), "concept_id", G.geo_ancestors(spark, sf))
 
 
+def reset_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """L-RST / O-SNK7: a copy of the whole load is reset; its eight clinical tables then count zero."""
+    root = stage_path(spark, "reset")
+    write_cdm(cdm(spark, sf), root)
+    reset_clinical_tables(spark, root)
+    return A.overview_counts(read_cdm(spark, root))
+
+
 def _table(name: str) -> Query:
     return lambda spark, sf: getattr(cdm(spark, sf), name)
 
@@ -182,6 +190,7 @@ QUERIES: dict[str, Query] = {
     "q5_chelation_no_transfusion": _question(A.q5_chelation_without_transfusion),
     "q6_completeness": _question(A.q6_measurement_completeness),
     "overview_counts": _question(A.overview_counts),
+    "reset_counts": reset_counts,
     "verify_condition": _question(A.verify_condition),
     "verify_measurement": _question(A.verify_measurement),
     "verify_procedure": _question(A.verify_procedure),
@@ -274,6 +283,9 @@ UNION ALL SELECT 'observation', COUNT(*) FROM observation
 UNION ALL SELECT 'procedure_occurrence', COUNT(*) FROM procedure_occurrence
 UNION ALL SELECT 'drug_exposure', 0
 ORDER BY table_name""", *_EVENTS, "observation_period"),
+    "reset_counts": "\nUNION ALL ".join(
+        f"SELECT '{t}' AS table_name, CAST(0 AS BIGINT) AS row_count" for t in A.OVERVIEW_TABLES)
+        + "\nORDER BY table_name",
     "verify_condition": O.with_ctes("""
 SELECT condition_concept_id, condition_source_value, COUNT(*) AS n
 FROM condition_occurrence GROUP BY 1, 2 ORDER BY 3 DESC""", "condition_occurrence"),

@@ -26,6 +26,14 @@ _MAX_PARTITIONS_BROADCAST = 1_000_000
 _MAX_BUCKET_IDS = 10_000_000  # ids per (rule, bucket) window group: one task's share, far below 2^31
 
 
+def shuffle_partitions(spark) -> int:
+    """``spark.sql.shuffle.partitions`` as a number (200, Spark's default, if it is not numeric)."""
+    try:
+        return int(spark.conf.get("spark.sql.shuffle.partitions"))
+    except (TypeError, ValueError):
+        return 200
+
+
 def _cols(cols: Sequence[str | Column]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in cols]
 
@@ -78,7 +86,7 @@ def input_position(df: DataFrame) -> list[Column]:
 def _attach_offsets(staged: DataFrame, offsets: DataFrame) -> DataFrame:
     """Join the per-partition offsets back. A range sort yields at most
     ``spark.sql.shuffle.partitions`` partitions, so that is a proven bound on the frame."""
-    bound = int(staged.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    bound = shuffle_partitions(staged.sparkSession)
     side = F.broadcast(offsets) if bound <= _MAX_PARTITIONS_BROADCAST else offsets
     return staged.join(side, "_pos_part")
 
@@ -157,7 +165,7 @@ def with_key_in_id_order(
     proves the offset frame's size (groups x buckets) so it is broadcast without a check.
     """
     spark = df.sparkSession
-    n_buckets = buckets or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n_buckets = buckets or 4 * shuffle_partitions(spark)
     n_buckets = max(n_buckets, -(-int(id_max) // _MAX_BUCKET_IDS))
     width = max(1, -(-int(id_max) // max(1, n_buckets)))
     cols = list(df.columns)

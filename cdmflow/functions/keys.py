@@ -26,12 +26,12 @@ _MAX_PARTITIONS_BROADCAST = 1_000_000
 _MAX_BUCKET_IDS = 10_000_000  # ids per (rule, bucket) window group: one task's share, far below 2^31
 
 
-def shuffle_partitions(spark) -> int:
-    """``spark.sql.shuffle.partitions`` as a number (200, Spark's default, if it is not numeric)."""
+def shuffle_partitions(spark) -> int | None:
+    """``spark.sql.shuffle.partitions`` as a number, or None when it is not numeric."""
     try:
         return int(spark.conf.get("spark.sql.shuffle.partitions"))
     except (TypeError, ValueError):
-        return 200
+        return None
 
 
 def _cols(cols: Sequence[str | Column]) -> list[Column]:
@@ -87,7 +87,8 @@ def _attach_offsets(staged: DataFrame, offsets: DataFrame) -> DataFrame:
     """Join the per-partition offsets back. A range sort yields at most
     ``spark.sql.shuffle.partitions`` partitions, so that is a proven bound on the frame."""
     bound = shuffle_partitions(staged.sparkSession)
-    side = F.broadcast(offsets) if bound <= _MAX_PARTITIONS_BROADCAST else offsets
+    small = bound <= _MAX_PARTITIONS_BROADCAST if bound is not None else fits_bounded(offsets)
+    side = F.broadcast(offsets) if small else offsets
     return staged.join(side, "_pos_part")
 
 
@@ -165,7 +166,7 @@ def with_key_in_id_order(
     proves the offset frame's size (groups x buckets) so it is broadcast without a check.
     """
     spark = df.sparkSession
-    n_buckets = buckets or 4 * shuffle_partitions(spark)
+    n_buckets = buckets or 4 * (shuffle_partitions(spark) or 200)
     n_buckets = max(n_buckets, -(-int(id_max) // _MAX_BUCKET_IDS))
     width = max(1, -(-int(id_max) // max(1, n_buckets)))
     cols = list(df.columns)

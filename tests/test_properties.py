@@ -33,3 +33,26 @@ def test_dense_key_matches_sort_with_duplicates(spark, rows):
     got = sorted((r["k"], r["g"], r["i"], r["v"]) for r in keyed.collect())
     assert [k for k, *_ in got] == list(range(1, len(rows) + 1))
     assert [t[1:] for t in got] == sorted(rows)
+
+
+PCT_ROWS = st.lists(st.tuples(st.sampled_from(["a", "b", None]),
+                              st.one_of(st.none(), st.integers(-5, 5).map(float), st.floats(-1e3, 1e3))),
+                    min_size=1, max_size=60)
+
+
+@SETTINGS
+@given(rows=PCT_ROWS, p=st.sampled_from([0.0, 0.1, 0.5, 0.75, 1.0]))
+def test_percentile_cont_matches_numpy(spark, rows, p):
+    import numpy as np
+    from cdmflow.operators.median import grouped_percentile_cont
+    df = spark.createDataFrame(rows, "g string, v double")
+    got = {r["g"]: (r["pc"], r["n"]) for r in grouped_percentile_cont(df, ["g"], "v", p, "pc", "n").collect()}
+    groups: dict = {}
+    for g, v in rows:
+        if v is not None:
+            groups.setdefault(g, []).append(v)
+    assert set(got) == set(groups)
+    for g, vals in groups.items():
+        expect = float(np.percentile(np.array(vals), p * 100, method="linear"))
+        assert got[g][1] == len(vals)
+        assert abs(got[g][0] - expect) <= 1e-9 * max(1.0, abs(expect))

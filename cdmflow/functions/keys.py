@@ -143,6 +143,53 @@ def with_dense_key(
     return keyed.select(*[F.col(c) for c in columns], (start_col + rank).alias(key))
 
 
+def id_bucket_width(spark, id_max: int, buckets: int | None = None) -> int:
+    """Ids per bucket: about 4 buckets per shuffle partition, at most 10M ids each."""
+    n_buckets = buckets or 4 * (shuffle_partitions(spark) or 200)
+    n_buckets = max(n_buckets, -(-int(id_max) // _MAX_BUCKET_IDS))
+    return max(1, -(-int(id_max) // max(1, n_buckets)))
+
+
+def _bucket(id_col: str, width: int) -> Column:
+    return F.floor((F.col(id_col) - F.lit(1)) / F.lit(width)).cast("long")
+
+
+def id_order_offsets(df: DataFrame, groups: Sequence[str], id_col: str, width: int,
+                     restart_by: Sequence[str] = ()) -> DataFrame:
+    """Start offset of every (``groups``, id bucket): a small frame, one row per non-empty bucket.
+
+    The count is a partial aggregation; the running sum runs over the small frame only.
+    ``restart_by`` (leading ``groups``) restarts the numbering for every such group.
+    """
+    g = list(groups)
+    counts = df.select(*g, _bucket(id_col, width).alias("_kb")).groupBy(*g, "_kb").agg(
+        F.count(F.lit(1)).alias("_n"))
+    run = Window.orderBy(*g, "_kb").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    offs = counts.select(*g, "_kb", (F.sum("_n").over(run) - F.col("_n")).alias("_off"))
+    if restart_by:
+        offs = offs.withColumn("_off", F.col("_off") - F.min("_off").over(Window.partitionBy(*restart_by)))
+    return offs
+
+
+def apply_id_order(df: DataFrame, groups: Sequence[str], id_col: str, key: str, width: int,
+                   offsets: DataFrame, start: int | Column = 1, small: bool | None = None) -> DataFrame:
+    """Number rows by (bucket offset + ``row_number`` inside the (``groups``, bucket)).
+
+    ``small`` states whether ``offsets`` is proven small enough to broadcast; None probes it.
+    """
+    g = list(groups)
+    cols = list(df.columns)
+    tagged = df.withColumn("_kb", _bucket(id_col, width))
+    if small is None:
+        small = fits_bounded(offsets)
+    side = F.broadcast(offsets) if small else offsets
+    ties = [F.col(c) for c in cols if c not in g and c != id_col]
+    rn = F.row_number().over(Window.partitionBy(*g, "_kb").orderBy(F.col(id_col), *ties))
+    start_col = start if isinstance(start, Column) else F.lit(start).cast("long")
+    keyed = tagged.join(side, [*g, "_kb"])
+    return keyed.select(*[F.col(c) for c in cols], (start_col + F.col("_off") + rn - F.lit(1)).alias(key))
+
+
 def with_key_in_id_order(
     df: DataFrame,
     groups: Sequence[str],
@@ -165,28 +212,12 @@ def with_key_in_id_order(
     ``max_groups`` (an upper bound on distinct ``groups`` values, e.g. the rule count)
     proves the offset frame's size (groups x buckets) so it is broadcast without a check.
     """
-    spark = df.sparkSession
-    n_buckets = buckets or 4 * (shuffle_partitions(spark) or 200)
-    n_buckets = max(n_buckets, -(-int(id_max) // _MAX_BUCKET_IDS))
-    width = max(1, -(-int(id_max) // max(1, n_buckets)))
-    cols = list(df.columns)
-    g = list(groups)
-    tagged = df.withColumn("_kb", F.floor((F.col(id_col) - F.lit(1)) / F.lit(width)).cast("long"))
-    counts = tagged.groupBy(*g, "_kb").agg(F.count(F.lit(1)).alias("_n"))
-    run = Window.orderBy(*g, "_kb").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    offs = counts.select(*g, "_kb", (F.sum("_n").over(run) - F.col("_n")).alias("_off"))
-    if restart_by:
-        offs = offs.withColumn("_off", F.col("_off") - F.min("_off").over(Window.partitionBy(*restart_by)))
+    width = id_bucket_width(df.sparkSession, id_max, buckets)
+    offs = id_order_offsets(df, groups, id_col, width, restart_by)
+    small = None
     if max_groups is not None:
         small = max_groups * (-(-int(id_max) // width)) <= _MAX_PARTITIONS_BROADCAST
-    else:
-        small = fits_bounded(offs)
-    side = F.broadcast(offs) if small else offs
-    ties = [F.col(c) for c in cols if c not in g and c != id_col]
-    rn = F.row_number().over(Window.partitionBy(*g, "_kb").orderBy(F.col(id_col), *ties))
-    start_col = start if isinstance(start, Column) else F.lit(start).cast("long")
-    keyed = tagged.join(side, [*g, "_kb"])
-    return keyed.select(*[F.col(c) for c in cols], (start_col + F.col("_off") + rn - F.lit(1)).alias(key))
+    return apply_id_order(df, groups, id_col, key, width, offs, start, small)
 
 
 def fits_bounded(df: DataFrame, max_rows: int = _MAX_PARTITIONS_BROADCAST) -> bool:

@@ -21,7 +21,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..functions.keys import next_key_start, with_dense_key, with_key_in_id_order
+from ..functions.keys import (apply_id_order, id_bucket_width, id_order_offsets, next_key_start, with_dense_key,
+                              with_key_in_id_order)
 from ..functions.values import parse_dmy, value_map
 from ..operators.fanout import fan_out
 from ..operators.rules import (
@@ -239,8 +240,21 @@ def run_etl(registry: DataFrame, concept: DataFrame | None = None, file_position
     visit = visit_from_period(period)
     events = event_spine(spine)
     id_max = spine.agg(F.max("person_id")).first()[0] or 1
+    width = id_bucket_width(spark, id_max)
+    groups = ["target_no", "rule_no"]
+    # one counting pass over all rules gives every table's (rule, bucket) offsets; the frame
+    # has at most rules x buckets rows, so it is cached once and broadcast to each table's pass
+    offsets = id_order_offsets(fan_out(events, rules=list(RULES)), groups, "person_id", width,
+                               restart_by=["target_no"]).cache()
+    offsets.count()
+    small = len(RULES) * (-(-int(id_max) // width)) <= 1_000_000
     # one fan-out per table: each scan reads only the columns of that table's rules
-    loaded = {t: event_table(key_events(events, (t,), id_max=id_max), t) for t in EVENT_TARGETS}
+    loaded = {}
+    for t in EVENT_TARGETS:
+        rules = [r for r in RULES if r.target == t]
+        keyed = apply_id_order(fan_out(events, rules=rules), groups, "person_id", "_event_id", width,
+                               offsets.where(F.col("target_no") == TARGET_NO[t]), small=small)
+        loaded[t] = event_table(keyed, t)
     return Cdm(person=person, observation_period=period, visit_occurrence=visit,
                condition_occurrence=loaded["condition_occurrence"], observation=loaded["observation"],
                measurement=loaded["measurement"], procedure_occurrence=loaded["procedure_occurrence"],

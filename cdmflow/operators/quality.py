@@ -25,14 +25,16 @@ def person_coverage(events: DataFrame, person: DataFrame) -> DataFrame:
                       F.round(n * F.lit(100.0) / total, 1).cast("double").alias("pct_persons"))
 
 
-def orphan_rows(child: DataFrame, parent: DataFrame, key: str) -> Column:
+def orphan_rows(child: DataFrame, parent: DataFrame, key: str, weight: str | None = None) -> Column:
     """T-DQ4 / T-JN7: number of ``child`` rows whose ``key`` has no ``parent`` row (scalar).
 
     The child is first reduced to (key, rows) - partial aggregation map-side - so the anti
     join moves one row per distinct key instead of every event. A NULL key never matches,
-    so the anti join keeps it and it counts as an orphan.
+    so the anti join keeps it and it counts as an orphan. ``weight``: the child is already
+    pre-aggregated and this column holds its row counts.
     """
-    per_key = child.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
+    rows = F.count(F.lit(1)) if weight is None else F.sum(weight)
+    per_key = child.groupBy(key).agg(rows.alias("_rows"))
     missing = per_key.join(parent.select(key), key, "left_anti")
     return F.coalesce(missing.agg(F.sum("_rows")).scalar(), F.lit(0)).cast("long")
 

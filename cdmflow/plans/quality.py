@@ -91,10 +91,9 @@ def quality_report(cdm: Cdm) -> DataFrame:
                                 F.col("source_value").alias("item"), F.col("n").alias("value")),
         dq_coverage(cdm).select(F.lit("coverage").alias("check"), "table_name",
                                 F.lit("n_persons").alias("item"), F.col("n_persons").alias("value")),
-        dq_orphans(cdm).select(F.lit("orphans").alias("check"), "table_name", F.lit("person").alias("item"),
-                               F.col("orphan_person_rows").alias("value")),
-        dq_orphans(cdm).select(F.lit("orphans").alias("check"), "table_name", F.lit("visit").alias("item"),
-                               F.col("orphan_visit_rows").alias("value")),
+        dq_orphans(cdm).selectExpr(
+            "'orphans' AS check", "table_name",
+            "stack(2, 'person', orphan_person_rows, 'visit', orphan_visit_rows) AS (item, value)"),
         dq_duplicate_ids(cdm).select(F.lit("duplicate_ids").alias("check"), "table_name",
                                      F.lit("id").alias("item"), F.col("duplicate_ids").alias("value")),
         dq_mandatory_nulls(cdm).select(F.lit("mandatory_nulls").alias("check"), "table_name",

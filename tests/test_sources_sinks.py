@@ -256,3 +256,12 @@ def test_job_command_line(spark, tmpdir_path, capsys):
     assert src["cdm_source_name"] == "Test registry"
     # the mapping sheet is missing -> the rule table is staged; dictionary missing -> skipped
     assert spark.read.parquet(os.path.join(out, "import", "mappings")).count() == 24
+
+
+def test_path_exists_forms(spark, tmpdir_path):
+    from cdmflow.session import path_exists
+    folder = os.path.join(tmpdir_path, "here")
+    os.makedirs(folder)
+    assert path_exists(spark, folder) and path_exists(spark, "file://" + folder)
+    assert not path_exists(spark, os.path.join(tmpdir_path, "missing"))
+    assert not path_exists(spark, "file://" + os.path.join(tmpdir_path, "missing"))

@@ -28,7 +28,7 @@ from .operators import vocab as V
 from .schemas import CONCEPT
 from .sources import standins as G
 from .session import stage_path
-from .sources.sinks import read_cdm, reset_clinical_tables, write_cdm
+from .sources.sinks import read_cdm, reset_clinical_tables, write_cdm, write_table
 from .sources.vocabulary import read_vocabulary_file, seed_concepts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,8 +44,12 @@ def cdm(spark: SparkSession, sf_dir: str) -> Cdm:
     checkpoint root; the questions then read stored Parquet (filters reach the scans)."""
     key = (id(spark.sparkContext), os.path.abspath(sf_dir))
     if key not in _CDM:
-        loaded = run_etl(registry(spark, sf_dir), concept=seed_concepts(spark))
-        _CDM[key] = write_cdm(loaded, stage_path(spark, "cdm"))
+        root = stage_path(spark, "cdm")
+        # L-STG as in the job: the registry is staged as the import table, then keyed with its
+        # file position as the last tie-break
+        staged = write_table(registry(spark, sf_dir), root, "labels", schema="import")
+        loaded = run_etl(staged, concept=seed_concepts(spark), file_position=True)
+        _CDM[key] = write_cdm(loaded, root)
     return _CDM[key]
 
 

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from cdmflow.llm import packing, url_filter
+from cdmflow.llm import packing, simhash, url_filter
 from cdmflow.llm.common import table
 
 # The rules that the URL query judges by.
@@ -44,11 +45,17 @@ SELECT page_id, host, path, r_host || r_path AS rule, coalesce(r_verdict, 'allow
 FROM fits WHERE rank = 1
 """
 
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
 QUERIES = {
+    "op2_simhash": op2_simhash,
     "op9_packing": op9_packing,
     "op10_url_filter": op10_url_filter,
 }

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cdmflow.llm import packing, simhash, url_filter
+from cdmflow.llm import decontaminate, packing, simhash, url_filter
 from cdmflow.llm.common import table
 
 # The rules that the URL query judges by.
@@ -50,13 +50,55 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
+                        F.sha2(F.concat_ws(",", "item_ids"), 256).alias("items_sha256"),
+                        (F.col("n_hit") > 0).alias("contaminated"))
+
+
+OP6_SQL = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                          '[0-9a-z\x{80}-\x{10FFFF}]+'), []) AS w
+  FROM documents),
+b AS (
+  SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                          '[0-9a-z\x{80}-\x{10FFFF}]+') AS w
+  FROM benchmark),
+gram AS (
+  SELECT DISTINCT item_id, least(10, len(w)) AS size,
+         array_to_string(w[s:s + 9], ' ') AS phrase
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS s FROM b WHERE len(w) > 0)),
+place AS (
+  SELECT doc_id, z.size, s, array_to_string(w[s:s + z.size - 1], ' ') AS phrase
+  FROM (SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS s
+        FROM d, (SELECT DISTINCT size FROM gram) sizes) z),
+hit AS (SELECT doc_id, s, place.size, item_id FROM place JOIN gram USING (phrase, size)),
+covered AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit
+  FROM (SELECT doc_id, unnest(range(s, s + size)) AS p FROM hit) GROUP BY doc_id),
+listed AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM hit) GROUP BY doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+       coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN listed USING (doc_id)
+"""
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
 QUERIES = {
     "op2_simhash": op2_simhash,
+    "op6_decontaminate": op6_decontaminate,
     "op9_packing": op9_packing,
     "op10_url_filter": op10_url_filter,
 }
-ORACLE = {"op10_url_filter": OP10_SQL}
+ORACLE = {
+    "op6_decontaminate": OP6_SQL,
+    "op10_url_filter": OP10_SQL,
+}

@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cdmflow.llm import decontaminate, packing, simhash, url_filter
-from cdmflow.llm.common import table
+from cdmflow.llm import decontaminate, langid, packing, quality_rules, simhash, toxicity, url_filter
+from cdmflow.llm.common import held_out, table
 
 # The rules that the URL query judges by.
 URL_RULES = [
@@ -45,11 +45,78 @@ SELECT page_id, host, path, r_host || r_path AS rule, coalesce(r_verdict, 'allow
 FROM fits WHERE rank = 1
 """
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality_rules.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                        "base_failed", "kept")
+
+
+OP1_SQL = r"""
+WITH t AS (
+  SELECT doc_id, CASE WHEN lang IN ('en', 'de', 'fr', 'es') THEN lang ELSE '' END AS stratum, coalesce(text, '') AS text
+  FROM documents),
+w AS (SELECT *, regexp_extract_all(text, '[^\x09-\x0D\x20]+') AS words,
+             list_filter(string_split(text, chr(10)), x -> regexp_matches(x, '[^\x09-\x0D\x20]')) AS lines FROM t),
+tri AS (
+  SELECT doc_id, i, array_to_string(words[i:i + 2], ' ') AS v
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - 1)) AS i FROM w)),
+repeated AS (
+  SELECT doc_id, count(DISTINCT p) AS n_repeat_words
+  FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p
+        FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, v) AS n FROM tri) WHERE n > 1)
+  GROUP BY doc_id),
+m AS (
+  SELECT w.doc_id, stratum, len(words)::BIGINT AS n_words,
+         length(array_to_string(words, ''))::BIGINT AS word_chars,
+         length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+         length(regexp_replace(text, '[^A-Z]', '', 'g'))::BIGINT AS n_capitals,
+         length(regexp_replace(text, '[^!]', '', 'g'))::BIGINT AS n_exclamations,
+         len(lines)::BIGINT AS n_lines,
+         (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
+         coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words
+  FROM w LEFT JOIN repeated USING (doc_id)),
+b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m),
+v AS (
+  SELECT doc_id, stratum, base_failed,
+         unnest([{'rule': 1, 'value': if(word_chars > 0, n_symbols / word_chars, 0)},
+                 {'rule': 2, 'value': if(word_chars > 0, n_capitals / word_chars, 0)},
+                 {'rule': 3, 'value': if(word_chars > 0, n_exclamations / word_chars, 0)},
+                 {'rule': 4, 'value': if(n_words > 0, n_repeat_words / n_words, 0)},
+                 {'rule': 5, 'value': if(n_lines > 0, n_dup_lines / n_lines, 0)}], recursive := true)
+  FROM b),
+l AS (SELECT doc_id, min(quality) AS quality FROM labels WHERE quality IS NOT NULL GROUP BY doc_id),
+tests AS (
+  SELECT stratum, rule, c, count(*) FILTER (quality > 0) AS n,
+         count(*) FILTER (quality > 0 AND value > c) AS k, count(*) FILTER (quality <= 0 AND value > c) AS caught
+  FROM v JOIN l USING (doc_id),
+       (SELECT unnest([0.02, 0.05, 0.08, 0.12, 0.16, 0.2, 0.25, 0.3, 0.4, 0.5, 0.65, 0.8])::DOUBLE AS c)
+  WHERE NOT base_failed GROUP BY stratum, rule, c),
+certified AS (
+  SELECT * FROM tests
+  WHERE n > 0 AND k < n * 0.01 AND
+        list_sum(list_transform(range(0, k + 1), i ->
+          exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln(0.01) + (n - i) * ln(0.99)))) <= 0.05 / 300),
+best AS (
+  SELECT stratum, rule, c FROM certified WHERE caught - 10 * k > 0
+  QUALIFY row_number() OVER (PARTITION BY stratum, rule ORDER BY caught - 10 * k DESC, c DESC) = 1),
+rejected AS (SELECT DISTINCT doc_id FROM v JOIN best USING (stratum, rule) WHERE value > c)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND doc_id NOT IN (SELECT doc_id FROM rejected) AS kept
+FROM b
+"""
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = langid.predict(docs, langid.trained(docs))
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "accepted")
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
@@ -88,17 +155,29 @@ FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN listed USING (doc_id)
 """
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.trained(docs, table(spark, sf_dir, "labels"))
+    found = toxicity.score(docs, model, out_col="score")
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
+                        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
 QUERIES = {
+    "op1_quality": op1_quality,
     "op2_simhash": op2_simhash,
+    "op3_language": op3_language,
     "op6_decontaminate": op6_decontaminate,
+    "op8_toxicity": op8_toxicity,
     "op9_packing": op9_packing,
     "op10_url_filter": op10_url_filter,
 }
 ORACLE = {
+    "op1_quality": OP1_SQL,
     "op6_decontaminate": OP6_SQL,
     "op10_url_filter": OP10_SQL,
 }

@@ -51,21 +51,30 @@ def counts(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lan
         F.length(F.translate("t", " \t\n\x0b\x0c\r", "")).cast("long").alias("word_chars"),
         _removed(F.col("t"), SYMBOLS).cast("long").alias("n_symbols"),
         _removed(F.col("t"), "ABCDEFGHIJKLMNOPQRSTUVWXYZ").cast("long").alias("n_capitals"),
-        _removed(F.col("t"), "!").cast("long").alias("n_exclamations"))
-    window = lambda i: F.struct(F.concat_ws(" ", F.get("w", i), F.get("w", i + 1), F.get("w", i + 2)).alias("v"), i.alias("i"))
+        (F.length("t") - F.length(F.replace(F.col("t"), F.lit("!")))).cast("long").alias("n_exclamations"))
+    place = F.lit((1 << 30) - 1).cast("long")  # a window's hash in the upper bits, its place in the lower 30
+    packed = lambda i: F.xxhash64(F.get("w", i), F.get("w", i + 1), F.get("w", i + 2)).bitwiseAND(F.bitwise_not(place)).bitwiseOR(i.cast("long"))
     starts = F.when(F.size("w") >= 3, F.sequence(F.lit(0), F.size("w") - 3)).otherwise(F.array().cast("array<int>"))
     numbers = ("word_chars", "n_symbols", "n_capitals", "n_exclamations")
     ranked = parts.select(
-        id_col, "stratum", *numbers, F.size("w").cast("long").alias("n_words"), F.size("lines").cast("long").alias("n_lines"),
+        id_col, "stratum", *numbers, "w", F.size("w").cast("long").alias("n_words"), F.size("lines").cast("long").alias("n_lines"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
-        F.sort_array(F.transform(starts, window)).alias("windows"))  # equal windows side by side
+        F.sort_array(F.transform(starts, packed)).alias("hashed"))
+    # windows whose hash has a neighbour: all that repeat, and a few that do not
+    hash_of = lambda x: F.shiftright(x, 30)
+    beside = lambda x, j: (hash_of(x).eqNullSafe(hash_of(F.get("hashed", j - 1)))
+                           | hash_of(x).eqNullSafe(hash_of(F.get("hashed", j + 1))))
+    words_at = lambda i: F.struct(F.concat_ws(" ", F.get("w", i), F.get("w", i + 1), F.get("w", i + 2)).alias("v"), i.alias("i"))
+    others = [c for c in ranked.columns if c not in ("w", "hashed")]
+    likely = ranked.select(*others, F.sort_array(F.transform(
+        F.filter("hashed", beside), lambda x: words_at(x.bitwiseAND(place).cast("int")))).alias("windows"))
     twin = lambda x, j: x["v"].eqNullSafe(F.get("windows", j - 1)["v"]) | x["v"].eqNullSafe(F.get("windows", j + 1)["v"])
     found = F.transform(F.filter("windows", twin), lambda x: x["i"])
     cover = F.aggregate(
         F.sort_array(found), F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).alias("end")),
         lambda acc, i: F.struct((acc["n"] + i + 3 - F.greatest(i, acc["end"])).cast("long").alias("n"), (i + 3).alias("end")),
         lambda acc: acc["n"])
-    return ranked.select(id_col, "stratum", "n_words", "n_lines", "n_dup_lines", *numbers, cover.alias("n_repeat_words"))
+    return likely.select(*others, cover.alias("n_repeat_words"))
 
 
 def _share(part: str, whole: str) -> Column:

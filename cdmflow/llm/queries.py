@@ -56,7 +56,7 @@ WITH t AS (
   SELECT doc_id, CASE WHEN lang IN ('en', 'de', 'fr', 'es') THEN lang ELSE '' END AS stratum, coalesce(text, '') AS text
   FROM documents),
 w AS (SELECT *, regexp_extract_all(text, '[^\x09-\x0D\x20]+') AS words,
-             list_filter(string_split(text, chr(10)), x -> regexp_matches(x, '[^\x09-\x0D\x20]')) AS lines FROM t),
+             list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x09-\x0D\x20]')) AS lines FROM t),
 tri AS (
   SELECT doc_id, i, array_to_string(words[i:i + 2], ' ') AS v
   FROM (SELECT doc_id, words, unnest(range(1, len(words) - 1)) AS i FROM w)),
@@ -94,7 +94,7 @@ tests AS (
 certified AS (
   SELECT * FROM tests
   WHERE n > 0 AND k < n * 0.01 AND
-        list_sum(list_transform(range(0, k + 1), i ->
+        list_sum(list_transform(range(0, k + 1), lambda i:
           exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln(0.01) + (n - i) * ln(0.99)))) <= 0.05 / 300),
 best AS (
   SELECT stratum, rule, c FROM certified WHERE caught - 10 * k > 0

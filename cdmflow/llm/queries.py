@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cdmflow.llm import decontaminate, langid, packing, quality_rules, simhash, toxicity, url_filter
+from cdmflow.llm import (
+    decontaminate, html_extract, langid, licenses, packing, pii, quality_rules, simhash, toxicity, url_filter)
 from cdmflow.llm.common import held_out, table
 
 # The rules that the URL query judges by.
@@ -117,6 +118,46 @@ def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "accepted")
 
 
+def op4_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_extract.extract(table(spark, sf_dir, "pages"))
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
+def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "digest", "whole_license", F.array_join("licenses", ",").alias("licenses"))
+
+
+OP5_SQL = r"""
+WITH known(license, text) AS (VALUES
+  ('CC-BY-NC-4.0', 'licensed under cc by nc 4 0'),
+  ('GPL-3.0', 'this work is licensed under the gnu general public license version 3'),
+  ('Apache-2.0', 'licensed under the apache license version 2 0'),
+  ('MIT', 'released under the mit license'),
+  ('ISC', 'permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies'),
+  ('0BSD', 'permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted')),
+units AS (
+  SELECT doc_id, text AS unit, true AS entire FROM documents UNION ALL
+  SELECT doc_id, unnest(regexp_split_to_array(text, '\n[ \t]*\n')), false FROM documents UNION ALL
+  SELECT doc_id, unnest(string_split(text, chr(10))), false FROM documents),
+plain AS (
+  SELECT doc_id, entire, array_to_string(list_filter(string_split(translate(coalesce(unit, ''),
+           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), chr(10)),
+           lambda x: NOT regexp_matches(x, '^[ \t>#*/-]*(copyright|\(c\)|©)')), chr(10)) AS c
+  FROM units),
+form AS (
+  SELECT doc_id, entire, trim(regexp_replace(replace(replace(replace(replace(replace(replace(replace(c,
+           'licence', 'license'), 'licenced', 'licensed'), 'sub-license', 'sublicense'),
+           'non-commercial', 'noncommercial'), 'merchantibility', 'merchantability'), 'http://', 'https://'),
+           '&', ' and '), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+', ' ', 'g'), ' ') AS c
+  FROM plain)
+SELECT doc_id, max(sha256(c)) FILTER (entire) AS digest, max(license) FILTER (entire) AS whole_license,
+       coalesce(string_agg(DISTINCT license, ',' ORDER BY license), '') AS licenses
+FROM form LEFT JOIN known ON form.c = known.text
+GROUP BY doc_id
+"""
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
@@ -155,6 +196,14 @@ FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN listed USING (doc_id)
 """
 
 
+PII_KEY = "key of the registered query"
+
+
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.pseudonymise(docs, PII_KEY, count_col="n_replaced")
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.trained(docs, table(spark, sf_dir, "labels"))
@@ -171,13 +220,17 @@ QUERIES = {
     "op1_quality": op1_quality,
     "op2_simhash": op2_simhash,
     "op3_language": op3_language,
+    "op4_html": op4_html,
+    "op5_licenses": op5_licenses,
     "op6_decontaminate": op6_decontaminate,
+    "op7_pii": op7_pii,
     "op8_toxicity": op8_toxicity,
     "op9_packing": op9_packing,
     "op10_url_filter": op10_url_filter,
 }
 ORACLE = {
     "op1_quality": OP1_SQL,
+    "op5_licenses": OP5_SQL,
     "op6_decontaminate": OP6_SQL,
     "op10_url_filter": OP10_SQL,
 }

@@ -7,7 +7,7 @@ inflections share most n-grams with the words seen in training.
 
 Embeddings and softmax are trained jointly. For scoring, both linear maps are folded into one table
 (n-gram -> class logits), so a distinct word is scored once per batch, and texts are sums over their words.
-Work is done on distinct words of at most ``_BATCH`` characters of text at a time, whatever the length
+Work is done on distinct words of about ``_BATCH`` characters of text at a time, whatever the length
 of a text: memory is bounded and no text is cut short.
 """
 
@@ -22,7 +22,8 @@ import pandas as pd
 
 from cdmflow.llm.common import text_chunks
 
-_BATCH = 4_000_000
+_BATCH = 2_000_000
+_WORDS = 20_000
 _EDGE = re.compile(r"^[\W\d_]+|[\W\d_]+$")
 
 
@@ -107,9 +108,9 @@ class Model:
     extra: dict = field(default_factory=dict)
 
     def word_logits(self, words: Sequence[str]) -> np.ndarray:
-        """Logits of every word, without the bias."""
-        index, starts = ngrams(words, self.bits, self.sizes)
-        return _mean_rows(self.table, index, starts)
+        """Logits of every word, without the bias; n-grams of ``_WORDS`` words are held at a time."""
+        parts = [_mean_rows(self.table, *ngrams(words[k:k + _WORDS], self.bits, self.sizes)) for k in range(0, len(words), _WORDS)]
+        return np.concatenate(parts) if parts else np.zeros((0, self.table.shape[1]))
 
 
 def train(bags: Sequence[Sequence[str]], labels: np.ndarray, classes: list, *, bits: int = 16,

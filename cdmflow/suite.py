@@ -226,6 +226,113 @@ QUERIES: dict[str, Query] = {
     "vocab_specificity": vocab_specificity,
 }
 
+_EVENTS = ("person", "visit_occurrence", "condition_occurrence", "observation", "measurement",
+           "procedure_occurrence", "concept")
+
+ORACLE: dict[str, str] = {
+    "stage_registry": O.with_ctes("SELECT * FROM reg", "reg"),
+    "load_person": O.with_ctes("SELECT * FROM person", "person"),
+    "load_observation_period": O.with_ctes("SELECT * FROM observation_period", "observation_period"),
+    "load_visit_occurrence": O.with_ctes("SELECT * FROM visit_occurrence", "visit_occurrence"),
+    "load_condition": O.with_ctes("SELECT * FROM condition_occurrence", "condition_occurrence"),
+    "load_observation": O.with_ctes("SELECT * FROM observation", "observation"),
+    "load_measurement": O.with_ctes("SELECT * FROM measurement", "measurement"),
+    "load_procedure": O.with_ctes("SELECT * FROM procedure_occurrence", "procedure_occurrence"),
+    "q1_diagnosis": O.with_ctes("""
+, patient_diagnosis AS (
+  SELECT DISTINCT person_id, condition_concept_id AS concept_id FROM condition_occurrence
+  WHERE condition_concept_id IN (25518, 4278669, 4287844)),
+named AS (SELECT DISTINCT person_id, concept_name FROM patient_diagnosis INNER JOIN concept USING (concept_id))
+SELECT concept_name AS diagnosis, count(*) AS n_patients FROM named GROUP BY ALL""", *_EVENTS),
+    "q2_median_ferritin": O.with_ctes("""
+, ferritin AS (
+  SELECT gender_source_value AS sex, value_as_number AS v
+  FROM person INNER JOIN measurement USING (person_id)
+  WHERE value_as_number IS NOT NULL AND measurement_concept_id = 37208753),
+ranked AS (
+  SELECT sex, v, row_number() OVER (PARTITION BY sex ORDER BY v) - 1 AS place,
+         count(*) OVER (PARTITION BY sex) AS size FROM ferritin)
+SELECT sex, CAST(round(avg(v), 1) AS DOUBLE) AS median_ferritin, CAST(any_value(size) AS BIGINT) AS n_measurements
+FROM ranked WHERE place IN ((size - 1) // 2, size // 2) GROUP BY sex""", *_EVENTS),
+    "q3_transfusion": O.with_ctes("""
+, status AS (
+  SELECT DISTINCT person_id, value_source_value AS transfusion_status FROM observation
+  WHERE observation_concept_id = 40758326 AND value_source_value IS NOT NULL),
+diagnosed AS (
+  SELECT DISTINCT d.person_id, k.concept_name AS diagnosis
+  FROM concept k, condition_occurrence d
+  WHERE k.concept_id = d.condition_concept_id AND k.concept_id IN (25518, 4278669, 4287844))
+SELECT diagnosis, transfusion_status, count(*) AS n_patients
+FROM diagnosed INNER JOIN status USING (person_id) GROUP BY ALL""", *_EVENTS),
+    "q4_comorbidity": O.with_ctes("""
+, cohort AS (SELECT count(*) AS size FROM person),
+other AS (
+  SELECT DISTINCT person_id, concept_name AS comorbidity
+  FROM concept INNER JOIN condition_occurrence ON condition_concept_id = concept_id
+  WHERE concept_id NOT IN (0, 25518, 4278669, 4287844)),
+tally AS (SELECT comorbidity, count(*) AS n_patients FROM other GROUP BY ALL)
+SELECT comorbidity, n_patients, CAST(round(100.0 * n_patients / size, 1) AS DOUBLE) AS pct
+FROM tally, cohort""", *_EVENTS),
+    "q5_chelation_no_transfusion": O.with_ctes("""
+, chelated AS (SELECT person_id FROM procedure_occurrence WHERE procedure_concept_id = 4068544),
+untransfused AS (
+  SELECT person_id FROM observation WHERE observation_concept_id = 40758326 AND value_source_value = 'No')
+SELECT count(*) AS n_chelation_no_transfusion
+FROM (SELECT person_id FROM chelated INTERSECT SELECT person_id FROM untransfused)""", *_EVENTS),
+    "q6_completeness": O.with_ctes("""
+, cohort AS (SELECT count(*) AS size FROM person),
+measured AS (
+  SELECT DISTINCT person_id,
+         CASE WHEN concept_name IS NULL OR concept_name = '' THEN value_source_value ELSE concept_name END AS measurement
+  FROM (SELECT * FROM measurement WHERE value_as_number IS NOT NULL)
+  LEFT JOIN concept ON measurement_concept_id = concept_id),
+tally AS (SELECT measurement, count(*) AS n_with_value FROM measured GROUP BY ALL)
+SELECT measurement, n_with_value, size - n_with_value AS n_missing,
+       CAST(round(100.0 * n_with_value / size, 1) AS DOUBLE) AS pct_complete
+FROM tally, cohort""", *_EVENTS),
+    "overview_counts": O.with_ctes("""
+, sizes AS (
+  SELECT (SELECT count(*) FROM person) AS person,
+         (SELECT count(*) FROM observation_period) AS observation_period,
+         (SELECT count(*) FROM visit_occurrence) AS visit_occurrence,
+         (SELECT count(*) FROM condition_occurrence) AS condition_occurrence,
+         (SELECT count(*) FROM measurement) AS measurement,
+         (SELECT count(*) FROM observation) AS observation,
+         (SELECT count(*) FROM procedure_occurrence) AS procedure_occurrence,
+         CAST(0 AS BIGINT) AS drug_exposure)
+UNPIVOT sizes ON COLUMNS(*) INTO NAME table_name VALUE row_count""", *_EVENTS, "observation_period"),
+    "reset_counts": reset_counts,
+    "verify_condition": _question(A.verify_condition),
+    "verify_measurement": _question(A.verify_measurement),
+    "verify_procedure": _question(A.verify_procedure),
+    "verify_observation": _question(A.verify_observation),
+    "preview_registry": preview_registry,
+    "catalog_counts": catalog_counts,
+    "append_with_key_continuation": append_with_key_continuation,
+    "dense_keys_lineitem": dense_keys_lineitem,
+    "dq_unmapped": _question(Q.dq_unmapped),
+    "dq_coverage": _question(Q.dq_coverage),
+    "dq_orphans": _question(Q.dq_orphans),
+    "dq_duplicate_ids": _question(Q.dq_duplicate_ids),
+    "dq_mandatory_nulls": _question(Q.dq_mandatory_nulls),
+    "dq_bad_dates": bad_dates,
+    "dq_registry_nulls": _registry_check(lambda r: QO.null_counts(r)),
+    "dq_duplicate_keys": duplicate_line_keys,
+    "dict_ranges": _registry_check(DC.out_of_range),
+    "dict_date_ranges": _registry_check(DC.dates_out_of_range),
+    "dict_membership": not_permitted,
+    "dict_required": _registry_check(DC.missing_required),
+    "dict_conditional": _registry_check(DC.branching_violations),
+    "dict_deidentify": _registry_check(DC.deidentify),
+    "vocab_load": vocab_load,
+    "vocab_descendants": vocab_descendants,
+    "vocab_map_to_standard": vocab_map_to_standard,
+    "vocab_standard_check": vocab_standard_check,
+    "vocab_validity_check": vocab_validity_check,
+    "vocab_domain_check": vocab_domain_check,
+    "vocab_specificity": vocab_specificity,
+}
+
 _EVENTS = ("person", "visit_occurrence", "condition_occurrence", "observation", "measurement",
            "procedure_occurrence", "concept")
 
@@ -291,14 +398,17 @@ ORDER BY table_name""", *_EVENTS, "observation_period"),
         f"SELECT '{t}' AS table_name, CAST(0 AS BIGINT) AS row_count" for t in A.OVERVIEW_TABLES)
         + "\nORDER BY table_name",
     "verify_condition": O.with_ctes("""
-SELECT condition_concept_id, condition_source_value, COUNT(*) AS n
-FROM condition_occurrence GROUP BY 1, 2 ORDER BY 3 DESC""", "condition_occurrence"),
+SELECT DISTINCT condition_concept_id, condition_source_value,
+       count(*) OVER (PARTITION BY condition_concept_id, condition_source_value) AS n
+FROM condition_occurrence""", "condition_occurrence"),
     "verify_measurement": O.with_ctes("""
-SELECT value_source_value, measurement_concept_id, unit_concept_id, COUNT(*) AS n
-FROM measurement GROUP BY 1, 2, 3 ORDER BY 4 DESC""", "measurement"),
+SELECT DISTINCT value_source_value, measurement_concept_id, unit_concept_id,
+       count(*) OVER (PARTITION BY value_source_value, measurement_concept_id, unit_concept_id) AS n
+FROM measurement""", "measurement"),
     "verify_procedure": O.with_ctes("""
-SELECT procedure_source_value, procedure_concept_id, COUNT(*) AS n
-FROM procedure_occurrence GROUP BY 1, 2 ORDER BY 3 DESC""", "procedure_occurrence"),
+SELECT DISTINCT procedure_source_value, procedure_concept_id,
+       count(*) OVER (PARTITION BY procedure_source_value, procedure_concept_id) AS n
+FROM procedure_occurrence""", "procedure_occurrence"),
     "verify_observation": O.with_ctes("SELECT COUNT(*) AS observation_rows FROM observation", "observation"),
 }
 

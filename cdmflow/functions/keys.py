@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import stage_path
+from .values import quoted
 
 _POS_BITS = 33  # monotonically_increasing_id: partition index << 33 | row position
 _POS_MASK = (1 << _POS_BITS) - 1
@@ -116,7 +117,7 @@ def with_dense_key(
     order = _cols(order_by)
     if tiebreak:
         named = {c for c in order_by if isinstance(c, str)}
-        order += [F.col(c) for c in columns if c not in named]
+        order += [F.col(quoted(c)) for c in columns if c not in named]
     if file_position:
         order += input_position(df)
     staged = sorted_positions(df, order, name)
@@ -140,7 +141,7 @@ def with_dense_key(
         keyed = keyed.join(F.broadcast(group_off), groups) if fits_bounded(group_off) else keyed.join(group_off,
                                                                                                      groups)
         rank = F.col("_pos_offset") + F.col("_pos_local") - F.col("_group_start")
-    return keyed.select(*[F.col(c) for c in columns], (start_col + rank).alias(key))
+    return keyed.select(*[F.col(quoted(c)) for c in columns], (start_col + rank).alias(key))
 
 
 def id_bucket_width(spark, id_max: int, buckets: int | None = None) -> int:
@@ -183,11 +184,11 @@ def apply_id_order(df: DataFrame, groups: Sequence[str], id_col: str, key: str,
     if small is None:
         small = fits_bounded(offsets)
     side = F.broadcast(offsets) if small else offsets
-    ties = [F.col(c) for c in cols if c not in g and c != id_col]
+    ties = [F.col(quoted(c)) for c in cols if c not in g and c != id_col]
     rn = F.row_number().over(Window.partitionBy(*g, "_kb").orderBy(F.col(id_col), *ties))
     start_col = start if isinstance(start, Column) else F.lit(start).cast("long")
     keyed = tagged.join(side, [*g, "_kb"])
-    return keyed.select(*[F.col(c) for c in cols], (start_col + F.col("_off") + rn - F.lit(1)).alias(key))
+    return keyed.select(*[F.col(quoted(c)) for c in cols], (start_col + F.col("_off") + rn - F.lit(1)).alias(key))
 
 
 def with_key_in_id_order(

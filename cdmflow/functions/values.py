@@ -49,3 +49,8 @@ def pct(n: Column, total: Column) -> Column:
 def blank_to_null(c: str | Column) -> Column:
     """``NULLIF(c, '')``."""
     return F.nullif(col(c), F.lit(""))
+
+
+def quoted(name: str) -> str:
+    """A column name as Spark reads it literally (dots, blanks and back quotes included)."""
+    return "`" + name.replace("`", "``") + "`"

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.values import DMY
+from ..functions.values import DMY, quoted
 
 
 def unmapped_values(df: DataFrame, concept_col: str, source_col: str) -> DataFrame:
@@ -52,9 +52,10 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 def null_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """T-DQ7: NULLs per column in one pass over the table -> (column_name, n_null)."""
     cols = list(columns or df.columns)
-    wide = df.agg(*[F.sum(F.col(c).isNull().cast("long")).alias(f"_{i}") for i, c in enumerate(cols)])
-    pairs = ", ".join(f"'{c}', coalesce(_{i}, 0L)" for i, c in enumerate(cols))
-    return wide.selectExpr(f"stack({len(cols)}, {pairs}) AS (column_name, n_null)")
+    wide = df.agg(*[F.sum(F.col(quoted(c)).isNull().cast("long")).alias(f"_{i}") for i, c in enumerate(cols)])
+    rows = [F.struct(F.lit(c).alias("column_name"), F.coalesce(F.col(f"_{i}"), F.lit(0).cast("long")).alias("n_null"))
+            for i, c in enumerate(cols)]
+    return wide.select(F.inline(F.array(*rows)))
 
 
 def bad_dates(df: DataFrame, column: str, fmt: str = DMY, keep: Sequence[str] = ("record_id",)) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.values import quoted
 from ..operators.lookup import lookup_join
 from .dictionary import rename_labels
 
@@ -28,6 +29,17 @@ REGISTRY_SCHEMA = T.StructType(
 )
 
 
+# The words that stand for a missing value in registry exports.
+NA_WORDS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A",
+            "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
+
+
+def clean_export(raw: DataFrame) -> DataFrame:
+    """Text columns of an export without the carriage return of a CRLF line end and with NA words as NULL."""
+    text = {c: F.regexp_replace(F.col(quoted(c)), "\r$", "") for c in raw.columns}
+    return raw.select(*[F.when(~v.isin(*NA_WORDS), v).alias(c.rstrip("\r")) for c, v in text.items()])
+
+
 def type_registry(raw: DataFrame) -> DataFrame:
     """Typed staging: numbers parsed tolerantly (bad text -> NULL, see quality.bad_numbers).
 
@@ -45,7 +57,7 @@ def type_registry(raw: DataFrame) -> DataFrame:
         else:
             cols.append(F.lit(None).cast(f.dataType).alias(f.name))
     extra = [c for c in raw.columns if c not in REGISTRY_SCHEMA.fieldNames()]
-    return raw.select(*cols, *extra)
+    return raw.select(*cols, *[F.col(quoted(c)) for c in extra])
 
 
 def read_registry_csv(spark: SparkSession, path: str, labels: dict[str, str] | None = None) -> DataFrame:
@@ -62,7 +74,7 @@ def read_registry_csv(spark: SparkSession, path: str, labels: dict[str, str] | N
         .option("encoding", "UTF-8")
         .csv(path)
     )
-    return type_registry(rename_labels(raw, labels))
+    return type_registry(rename_labels(clean_export(raw), labels))
 
 
 # ---------------------------------------------------------------------------

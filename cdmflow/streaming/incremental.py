@@ -11,6 +11,7 @@ at-least-once sink.
 
 from __future__ import annotations
 
+import hashlib
 import os
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,9 +21,9 @@ from pyspark.sql.streaming import StreamingQuery
 from ..operators.rules import EVENT_TARGETS
 from ..plans.etl import (EVENT_ID, build_spine, event_spine, event_table, key_events, load_observation_period,
                          load_person, visit_from_period)
-from ..session import checkpoint_root, path_exists
+from ..session import path_exists
 from ..sources.dictionary import rename_labels
-from ..sources.registry import type_registry
+from ..sources.registry import clean_export, type_registry
 
 BATCH_COL = "_batch"
 
@@ -50,7 +51,7 @@ def _next_id(spark: SparkSession, root: str, table: str, key: str, batch_id: int
 def load_registry_batch(batch: DataFrame, batch_id: int, root: str) -> None:
     """Load one export (label-headed text columns) into the batch-partitioned CDM tables."""
     spark = batch.sparkSession
-    registry = type_registry(rename_labels(batch))
+    registry = type_registry(rename_labels(clean_export(batch)))
     if registry.isEmpty():
         return
     start = _next_id(spark, root, "person", "person_id", batch_id)
@@ -83,7 +84,8 @@ def start_registry_stream(spark: SparkSession, input_dir: str, root: str, checkp
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.csv(input_dir)
-    cp = checkpoint or os.path.join(checkpoint_root(spark), "cdmflow-registry-stream")
+    inbox = hashlib.sha256(input_dir.rstrip("/").encode()).hexdigest()[:16]
+    cp = checkpoint or os.path.join(root, "_stream_checkpoint", inbox)  # one per (inbox, root)
     writer = stream.writeStream.foreachBatch(lambda df, bid: load_registry_batch(df, bid, root)).option(
         "checkpointLocation", cp)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")

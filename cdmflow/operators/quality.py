@@ -65,14 +65,11 @@ def bad_dates(df: DataFrame, column: str, fmt: str = DMY, keep: Sequence[str] =
 
 
 def bad_numbers(raw: DataFrame, columns: Sequence[str], keep: Sequence[str] = ("record_id",)) -> DataFrame:
-    """Numeric text that does not parse (quarantine), unpivoted over ``columns``."""
-    parts = [raw.where(F.col(c).isNotNull() & F.col(c).try_cast("double").isNull())
-                .select(*keep, F.col(c).cast("string").alias("raw_value"), F.lit(c).alias("column_name"))
-             for c in columns]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """Numeric text that does not parse (quarantine): one pass over all ``columns``."""
+    values = F.array(*[F.struct(F.col(quoted(c)).cast("string").alias("raw_value"), F.lit(c).alias("column_name"))
+                       for c in columns])
+    bad = F.filter(values, lambda v: v["raw_value"].isNotNull() & v["raw_value"].try_cast("double").isNull())
+    return raw.select(*keep, F.inline(bad))
 
 
 def split_valid_dates(df: DataFrame, column: str, fmt: str = DMY) -> tuple[DataFrame, DataFrame]:

@@ -14,11 +14,13 @@ import os
 import sys
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ..operators.quality import bad_dates, bad_numbers
 from ..operators.rules import rule_frame
 from ..sources import sinks
 from ..sources.dictionary import read_dictionary, variables_from_frame
-from ..sources.registry import read_registry_csv
+from ..sources.registry import NUMERIC_FIELDS, read_registry_text, type_registry
 from ..sources.vocabulary import load_vocabulary, seed_concepts
 from .analytics import overview_counts
 from .etl import cdm_source, run_etl
@@ -47,13 +49,29 @@ def stage_registry_files(spark: SparkSession, data_dir: str, out_root: str) -> d
     staged["mappings"] = sinks.write_table(mappings, out_root, "mappings", "overwrite", schema="import")
     reg_path = os.path.join(data_dir, "patients.csv")
     if path_exists(spark, reg_path):
-        staged["labels"] = sinks.write_table(read_registry_csv(spark, reg_path, labels), out_root, "labels",
-                                             "overwrite", schema="import")
+        text = read_registry_text(spark, reg_path, labels)
+        staged["quarantine"] = sinks.write_table(unparsed_values(text), out_root, "unparsed_values", "overwrite",
+                                                 schema="quarantine")
+        staged["labels"] = sinks.write_table(type_registry(text), out_root, "labels", "overwrite", schema="import")
     else:
         print("WARNING: patients.csv not found, skipping", file=sys.stderr)
     return staged
 
 
+def unparsed_values(text: DataFrame) -> DataFrame:
+    """T-DQ6: (record_id, raw_value, column_name) of every number or date that typing turns into NULL."""
+    present = [c for c in NUMERIC_FIELDS if c in text.columns]
+    if "record_id" not in text.columns:
+        text = text.withColumn("record_id", F.lit(None).cast("string"))
+    found = bad_numbers(text, present) if present else None
+    if "date_of_birth" in text.columns:
+        dates = bad_dates(text, "date_of_birth")
+        found = found.unionByName(dates) if found is not None else dates
+    if found is None:
+        found = text.select("record_id", F.lit("").alias("raw_value"), F.lit("").alias("column_name")).limit(0)
+    return found
+
+
 def run_job(spark: SparkSession, data_dir: str, out_root: str, vocab_dir: str | None = None,
             source_name: str = "registry") -> dict[str, DataFrame]:
     staged = stage_registry_files(spark, data_dir, out_root)
@@ -64,7 +82,11 @@ def run_job(spark: SparkSession, data_dir: str, out_root: str, vocab_dir: str |
     concept = vocab["concept"] if "concept" in vocab else seed_concepts(spark)
     sinks.write_table(cdm_source(spark, source_name), out_root, "cdm_source")
     cdm = sinks.write_cdm(run_etl(staged["labels"], concept=concept, file_position=True), out_root)
-    return {"overview": overview_counts(cdm), "quality": quality_report(cdm)}
+    quality = sinks.write_table(quality_report(cdm), out_root, "quality_report", schema="report")
+    reports = {"overview": overview_counts(cdm), "quality": quality}
+    if "quarantine" in staged:
+        reports["quarantine"] = staged["quarantine"]
+    return reports
 
 
 def main(argv: list[str] | None = None) -> int:

@@ -60,11 +60,11 @@ def type_registry(raw: DataFrame) -> DataFrame:
     return raw.select(*cols, *[F.col(quoted(c)) for c in extra])
 
 
-def read_registry_csv(spark: SparkSession, path: str, labels: dict[str, str] | None = None) -> DataFrame:
-    """Scan a label-headed registry export as text, rename labels to variables, then type it.
+def read_registry_text(spark: SparkSession, path: str, labels: dict[str, str] | None = None) -> DataFrame:
+    """Scan a label-headed registry export as text and rename labels to variables.
 
-    Everything is read as string first (no inference pass over the data), so a dirty
-    value cannot change a column's type.
+    Everything is read as string (no inference pass over the data), so a dirty value cannot
+    change a column's type; what does not parse can be listed before typing.
     """
     raw = (
         spark.read.option("header", True)
@@ -74,7 +74,12 @@ def read_registry_csv(spark: SparkSession, path: str, labels: dict[str, str] | N
         .option("encoding", "UTF-8")
         .csv(path)
     )
-    return type_registry(rename_labels(clean_export(raw), labels))
+    return rename_labels(clean_export(raw), labels)
+
+
+def read_registry_csv(spark: SparkSession, path: str, labels: dict[str, str] | None = None) -> DataFrame:
+    """The typed registry of a label-headed export."""
+    return type_registry(read_registry_text(spark, path, labels))
 
 
 # ---------------------------------------------------------------------------

@@ -8,6 +8,7 @@ import os
 import pytest
 
 from cdmflow.operators.quality import null_counts
+from cdmflow.plans.job import run_job
 from cdmflow.sources.registry import read_registry_csv
 from cdmflow.streaming.incremental import read_batched, start_registry_stream
 
@@ -48,3 +49,14 @@ def test_one_inbox_into_two_roots(spark, tmpdir_path):
         root = os.path.join(tmpdir_path, name)
         start_registry_stream(spark, inbox, root).awaitTermination()
         assert read_batched(spark, root, "person").count() == 3
+
+
+def test_job_quarantines_what_does_not_parse(spark, tmpdir_path):
+    rows = [{"record_id": "1", "ferritin_result": "12", "date_of_birth": "01/02/1990"},
+            {"record_id": "2", "ferritin_result": "about 9", "date_of_birth": "31/02/1990"},
+            {"record_id": "3", "ferritin_result": "NA", "date_of_birth": ""}]
+    write_export(os.path.join(tmpdir_path, "patients.csv"), list(rows[0]), rows)
+    reports = run_job(spark, tmpdir_path, os.path.join(tmpdir_path, "out"))
+    got = {(r["record_id"], r["column_name"], r["raw_value"]) for r in reports["quarantine"].collect()}
+    assert got == {("2", "ferritin_result", "about 9"), ("2", "date_of_birth", "31/02/1990")}
+    assert os.path.isdir(os.path.join(tmpdir_path, "out", "report", "quality_report"))

@@ -23,8 +23,7 @@ from .values import quoted
 
 _POS_BITS = 33  # monotonically_increasing_id: partition index << 33 | row position
 _POS_MASK = (1 << _POS_BITS) - 1
-_MAX_PARTITIONS_BROADCAST = 1_000_000
-_MAX_BUCKET_IDS = 10_000_000  # ids per (rule, bucket) window group: one task's share, far below 2^31
+_MAX_BUCKET_IDS = 10_000_000  # ids per bucket: one window group, one task's share
 
 
 def shuffle_partitions(spark) -> int | None:
@@ -85,12 +84,9 @@ def input_position(df: DataFrame) -> list[Column]:
 
 
 def _attach_offsets(staged: DataFrame, offsets: DataFrame) -> DataFrame:
-    """Join the per-partition offsets back. A range sort yields at most
-    ``spark.sql.shuffle.partitions`` partitions, so that is a proven bound on the frame."""
-    bound = shuffle_partitions(staged.sparkSession)
-    small = bound <= _MAX_PARTITIONS_BROADCAST if bound is not None else fits_bounded(offsets)
-    side = F.broadcast(offsets) if small else offsets
-    return staged.join(side, "_pos_part")
+    """Join the per-partition offsets back: one 24-byte row per sort partition, and a range sort yields at
+    most ``spark.sql.shuffle.partitions`` of them, so the broadcast is bounded by that setting."""
+    return staged.join(F.broadcast(offsets), "_pos_part")
 
 
 def with_dense_key(
@@ -107,15 +103,16 @@ def with_dense_key(
 
     With ``tiebreak`` the remaining columns join the sort key, so rows that tie on
     ``order_by`` are ordered by content and only identical rows can swap ids. With
-    ``file_position`` (``df`` reads one Parquet scan) the row's file position comes last,
-    so even a hot group of identical rows is split across sort partitions.
+    ``file_position`` (``df`` reads one Parquet scan) the row's file position, which is unique,
+    breaks ties instead: the sort key stays narrow, and even a hot group of identical rows is
+    split across sort partitions.
     ``restart_by`` (leading columns of ``order_by``) numbers every group from ``start``
     again - several tables keyed by one sort: the group starts come from the same
     small (partition, group) count frame as the partition offsets.
     """
     columns = list(df.columns)
     order = _cols(order_by)
-    if tiebreak:
+    if tiebreak and not file_position:
         named = {c for c in order_by if isinstance(c, str)}
         order += [F.col(quoted(c)) for c in columns if c not in named]
     if file_position:
@@ -138,91 +135,73 @@ def with_dense_key(
         per_group = counts.groupBy(*groups).agg(F.sum("_n").alias("_g"))
         group_off = per_group.select(*groups, (F.sum("_g").over(run_g) - F.col("_g")).alias("_group_start"))
         keyed = _attach_offsets(staged, part_off)
-        keyed = keyed.join(F.broadcast(group_off), groups) if fits_bounded(group_off) else keyed.join(group_off,
-                                                                                                     groups)
+        keyed = keyed.join(group_off, groups)
         rank = F.col("_pos_offset") + F.col("_pos_local") - F.col("_group_start")
     return keyed.select(*[F.col(quoted(c)) for c in columns], (start_col + rank).alias(key))
 
 
-def id_bucket_width(spark, id_max: int, buckets: int | None = None) -> int:
-    """Ids per bucket: about 4 buckets per shuffle partition, at most 10M ids each."""
-    n_buckets = buckets or 4 * (shuffle_partitions(spark) or 200)
-    n_buckets = max(n_buckets, -(-int(id_max) // _MAX_BUCKET_IDS))
-    return max(1, -(-int(id_max) // max(1, n_buckets)))
-
+def id_bounds(df: DataFrame, id_col: str) -> tuple[int, int]:
+    """(least, largest) id of ``df``: two numbers to the driver; (1, 1) for an empty frame."""
+    low, high = df.agg(F.min(id_col), F.max(id_col)).first()
+    return (1, 1) if low is None else (int(low), int(high))
 
-def _bucket(id_col: str, width: int) -> Column:
-    return F.floor((F.col(id_col) - F.lit(1)) / F.lit(width)).cast("long")
 
+def id_bucket_width(spark, span: int, buckets: int | None = None) -> int:
+    """Ids per bucket for ``span`` consecutive ids: about 4 buckets per shuffle partition, at most 10M ids each."""
+    n_buckets = buckets or 4 * (shuffle_partitions(spark) or 200)
+    n_buckets = max(n_buckets, -(-int(span) // _MAX_BUCKET_IDS))
+    return max(1, -(-int(span) // max(1, n_buckets)))
 
-def id_order_offsets(df: DataFrame, groups: Sequence[str], id_col: str, width: int,
-                     restart_by: Sequence[str] = ()) -> DataFrame:
-    """Start offset of every (``groups``, id bucket): a small frame, one row per non-empty bucket.
 
-    The count is a partial aggregation; the running sum runs over the small frame only.
-    ``restart_by`` (leading ``groups``) restarts the numbering for every such group.
-    """
-    g = list(groups)
-    counts = df.select(*g, _bucket(id_col, width).alias("_kb")).groupBy(*g, "_kb").agg(
-        F.count(F.lit(1)).alias("_n"))
-    run = Window.orderBy(*g, "_kb").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    offs = counts.select(*g, "_kb", (F.sum("_n").over(run) - F.col("_n")).alias("_off"))
-    if restart_by:
-        offs = offs.withColumn("_off", F.col("_off") - F.min("_off").over(Window.partitionBy(*restart_by)))
-    return offs
+def _bucket(id_col: str, low: int, width: int) -> Column:
+    return F.floor((F.col(id_col) - F.lit(low)) / F.lit(width)).cast("long")
 
 
-def apply_id_order(df: DataFrame, groups: Sequence[str], id_col: str, key: str, width: int,
-                   offsets: DataFrame, start: int | Column = 1, small: bool | None = None) -> DataFrame:
-    """Number rows by (bucket offset + ``row_number`` inside the (``groups``, bucket)).
+def rule_offsets(rows: DataFrame, fires: Sequence[Column], id_col: str, low: int, width: int,
+                 restart: Sequence[int] = (0,)) -> DataFrame:
+    """(_kb, _offs): how many events come before each id bucket's first one, per rule.
 
-    ``small`` states whether ``offsets`` is proven small enough to broadcast; None probes it.
+    ``fires[i]`` says whether rule i emits an event for a row. One pass over ``rows`` sums the
+    predicates per bucket, without making any event row. ``restart`` lists the rules at which the numbering
+    starts at zero again. One row per non-empty bucket (bounded by ``id_bucket_width``).
     """
-    g = list(groups)
-    cols = list(df.columns)
-    tagged = df.withColumn("_kb", _bucket(id_col, width))
-    if small is None:
-        small = fits_bounded(offsets)
-    side = F.broadcast(offsets) if small else offsets
-    ties = [F.col(quoted(c)) for c in cols if c not in g and c != id_col]
-    rn = F.row_number().over(Window.partitionBy(*g, "_kb").orderBy(F.col(id_col), *ties))
-    start_col = start if isinstance(start, Column) else F.lit(start).cast("long")
-    keyed = tagged.join(side, [*g, "_kb"])
-    return keyed.select(*[F.col(quoted(c)) for c in cols], (start_col + F.col("_off") + rn - F.lit(1)).alias(key))
-
-
-def with_key_in_id_order(
-    df: DataFrame,
-    groups: Sequence[str],
-    id_col: str,
-    key: str,
-    id_max: int,
-    start: int | Column = 1,
-    restart_by: Sequence[str] = (),
-    buckets: int | None = None,
-    max_groups: int | None = None,
-) -> DataFrame:
-    """Dense key in (``groups``..., ``id_col``) order when ``id_col`` is a positive integer.
-
-    No global sort and no lineage cut: rows fall into fixed-width id buckets (pure
-    arithmetic, so a recomputed task lands every row in the same bucket), a small
-    (groups, bucket) count frame gives running offsets, and ``row_number`` inside each
-    (groups, bucket) - at most ``width`` ids, so no bucket can be hot when ``id_col`` is
-    unique per group - adds the rank. ``restart_by`` (leading ``groups``) numbers every
-    such group from ``start`` again. Remaining columns break ties deterministically.
-    ``max_groups`` (an upper bound on distinct ``groups`` values, e.g. the rule count)
-    proves the offset frame's size (groups x buckets) so it is broadcast without a check.
+    counts = rows.groupBy(_bucket(id_col, low, width).alias("_kb")).agg(
+        *[F.count_if(f).alias(f"_c{i}") for i, f in enumerate(fires)])
+    earlier = Window.orderBy("_kb").rowsBetween(Window.unboundedPreceding, -1)
+    every = Window.orderBy("_kb").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    sums = counts.select("_kb", *[F.coalesce(F.sum(f"_c{i}").over(earlier), F.lit(0)).alias(f"_b{i}")
+                                  for i in range(len(fires))],
+                         *[F.sum(f"_c{i}").over(every).alias(f"_t{i}") for i in range(len(fires))])
+    starts = []
+    for i in range(len(fires)):
+        first = max(r for r in restart if r <= i)
+        offset = F.col(f"_b{i}")
+        for j in range(first, i):
+            offset = offset + F.col(f"_t{j}")
+        starts.append(offset.cast("long"))
+    return sums.select("_kb", F.array(*starts).alias("_offs"))
+
+
+def with_event_ids(rows: DataFrame, fires: Sequence[Column], offsets: DataFrame, id_col: str, low: int, width: int,
+                   start: int | Column = 1, first_rule: int = 0, out: str = "_event_ids") -> DataFrame:
+    """Add the array ``out``: for each rule, the dense id that its event for this row gets.
+
+    Ids follow (rule, ``id_col``) order. The rank inside an id bucket is a running count of the predicate,
+    so only the narrow rows are shuffled (once, by bucket); events are made afterwards, already numbered.
+    A bucket spans ``width`` ids, so none is hot while ids are unique. Rows that share an id are ordered by
+    their content. ``offsets`` has one row per bucket (four per shuffle partition), so it is broadcast;
+    ``first_rule`` is the place of ``fires[0]`` in its arrays.
     """
-    width = id_bucket_width(df.sparkSession, id_max, buckets)
-    offs = id_order_offsets(df, groups, id_col, width, restart_by)
-    small = None
-    if max_groups is not None:
-        small = max_groups * (-(-int(id_max) // width)) <= _MAX_PARTITIONS_BROADCAST
-    return apply_id_order(df, groups, id_col, key, width, offs, start, small)
-
-
-def fits_bounded(df: DataFrame, max_rows: int = _MAX_PARTITIONS_BROADCAST) -> bool:
-    return df.limit(max_rows + 1).count() <= max_rows
+    columns = list(rows.columns)
+    ties = [F.col(quoted(c)) for c in columns if c != id_col]
+    upto = (Window.partitionBy("_kb").orderBy(F.col(id_col), *ties)
+            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    tagged = rows.withColumn("_kb", _bucket(id_col, low, width))
+    ranked = tagged.select("*", *[F.count_if(f).over(upto).alias(f"_r{i}") for i, f in enumerate(fires)])
+    start_col = start if isinstance(start, Column) else F.lit(start).cast("long")
+    ids = F.array(*[start_col + F.col("_offs")[first_rule + i] + F.col(f"_r{i}") - F.lit(1)
+                    for i in range(len(fires))])
+    return ranked.join(F.broadcast(offsets), "_kb").select(*[F.col(quoted(c)) for c in columns], ids.alias(out))
 
 
 def next_key_start(existing: DataFrame, key: str) -> Column:

@@ -20,7 +20,8 @@ EVENT_FIELDS = ("target_no", "rule_no", "concept_id", "type_concept_id", "value_
                 "unit_concept_id", "source_value")
 
 
-def _keep(rule: Rule) -> Column:
+def fires(rule: Rule) -> Column:
+    """Does the rule emit an event for a registry row? (never NULL)"""
     c = F.col(rule.column)
     if rule.when == "all":
         return F.lit(True)
@@ -32,7 +33,7 @@ def _keep(rule: Rule) -> Column:
     raise ValueError(f"unknown predicate kind {rule.when!r} in rule {rule.rule_id}")
 
 
-def _event_struct(rule: Rule) -> Column:
+def _event_struct(rule: Rule, event_id: Column) -> Column:
     c = F.col(rule.column)
     concept = value_map(c, rule.concept_map, rule.default_concept) if rule.concept_map else F.lit(rule.concept_id)
     if rule.source == ANSWER:
@@ -42,7 +43,7 @@ def _event_struct(rule: Rule) -> Column:
     else:
         source = F.lit(rule.source)
     return F.struct(
-        _keep(rule).alias("keep"),
+        fires(rule).alias("keep"),
         F.lit(TARGET_NO[rule.target]).cast("int").alias("target_no"),
         F.lit(rule.rule_no).cast("int").alias("rule_no"),
         concept.cast("int").alias("concept_id"),
@@ -51,18 +52,20 @@ def _event_struct(rule: Rule) -> Column:
         (c.cast("string") if rule.text else F.lit(None)).cast("string").alias("value_as_string"),
         F.lit(rule.unit_concept_id).cast("int").alias("unit_concept_id"),
         source.cast("string").alias("source_value"),
+        event_id.cast("long").alias("event_id"),
     )
 
 
 def fan_out(spine: DataFrame, target: str | None = None,
             carry: Sequence[str] = ("person_id", "visit_occurrence_id", "visit_start_date"),
-            rules: Sequence[Rule] | None = None) -> DataFrame:
+            rules: Sequence[Rule] | None = None, ids: str | None = None) -> DataFrame:
     """One row per (registry row, rule that fires) for the rules of ``target`` (or the given rules).
 
-    Output columns: ``carry`` + ``EVENT_FIELDS``.
+    ``ids`` names an array column that holds the event id of each rule, in their order.
+    Output columns: ``carry`` + ``EVENT_FIELDS`` + ``event_id``.
     """
     rs = tuple(rules) if rules is not None else rules_for(target)
     if not rs:
         raise ValueError(f"no rules for {target}")
-    events = F.filter(F.array(*[_event_struct(r) for r in rs]), lambda e: e["keep"])
+    events = F.filter(F.array(*[_event_struct(r, F.col(ids)[i] if ids else F.lit(None)) for i, r in enumerate(rs)]), lambda e: e["keep"])
     return spine.select(*carry, F.inline(events)).drop("keep")

@@ -3,9 +3,9 @@
 Fresh load (``run_etl``): the registry is keyed once (dense ``person_id`` in record-id
 order, written under the checkpoint root). Person, period and visit are projections of
 that keyed spine - one period and one visit per person, numbered in person order, so
-their ids equal ``person_id`` and no join is needed. Each event table is one fan-out
-of its rules over the spine (reading only those rules' columns) and one key pass in
-person-id buckets - no global sort, no second copy of the events.
+their ids equal ``person_id`` and no join is needed. Event ids are computed on the spine in
+person-id buckets; each event table is then one fan-out of its rules (reading only those
+rules' columns) whose rows already carry their ids - no event row is shuffled or sorted.
 
 Incremental load against stored tables (``spine_from_tables``): the reference's join
 chain registry -> person (on the text key) -> visit, then the same fan-out, with ids
@@ -15,20 +15,22 @@ continuing after the stored maximum.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..functions.keys import (apply_id_order, id_bucket_width, id_order_offsets, next_key_start, with_dense_key,
-                              with_key_in_id_order)
+from ..functions.keys import (id_bounds, id_bucket_width, next_key_start, rule_offsets, with_dense_key,
+                              with_event_ids)
 from ..functions.values import parse_dmy, value_map
-from ..operators.fanout import fan_out
+from ..operators.fanout import fan_out, fires
 from ..operators.rules import (
-    ETHNICITY_CONCEPT, EVENT_TARGETS, RULES, TARGET_NO, GENDER_DEFAULT, GENDER_MAP, PERIOD_TYPE_CONCEPT, PROXY_DATE,
-    RACE_CONCEPT, VISIT_CONCEPT, VISIT_TYPE_CONCEPT,
+    ETHNICITY_CONCEPT, EVENT_TARGETS, RULES, GENDER_DEFAULT, GENDER_MAP, PERIOD_TYPE_CONCEPT, PROXY_DATE,
+    RACE_CONCEPT, VISIT_CONCEPT, VISIT_TYPE_CONCEPT, rules_for,
 )
+from ..session import stage_path
 
 EVENT_ID = {
     "condition_occurrence": "condition_occurrence_id",
@@ -68,11 +70,21 @@ def cdm_source(spark: SparkSession, name: str, abbreviation: str | None = None,
 def build_spine(registry: DataFrame, start: int | Column = 1, file_position: bool = False) -> DataFrame:
     """Registry rows with a dense ``person_id`` (O-KEY1), written once under the checkpoint root.
 
-    ``file_position``: the registry is a direct Parquet scan (the staged import table), so
-    duplicated registry rows are split across sort partitions by their file position.
+    ``file_position``: the registry is a direct Parquet scan (the staged import table). Any other
+    frame is staged first, so duplicated registry rows are always split across sort partitions by
+    their file position, and a derived registry is computed once.
     """
+    if not file_position:
+        registry = staged(registry, "registry")
     return with_dense_key(registry, record_order(registry), "person_id", start=start, name="person-key",
-                          file_position=file_position)
+                          file_position=True)
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once under the checkpoint root and read back."""
+    path = stage_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def load_person(spine: DataFrame) -> DataFrame:
@@ -145,31 +157,40 @@ def spine_from_tables(registry: DataFrame, person: DataFrame, visit: DataFrame)
     return keyed.join(v, "person_id")
 
 
-def key_events(spine: DataFrame, targets: tuple[str, ...] = EVENT_TARGETS,
-               start: int | Column = 1, id_max: int | None = None) -> DataFrame:
-    """Fan-out of every rule of ``targets`` in one pass, keyed in one shuffle.
+def event_offsets(spine: DataFrame, targets: Sequence[str], low: int, width: int) -> DataFrame:
+    """First event number of every (rule, person-id bucket) of ``targets``; each target starts at zero."""
+    rules = [r for t in targets for r in rules_for(t)]
+    restart = [k for k, r in enumerate(rules) if k == 0 or rules[k - 1].target != r.target]
+    return rule_offsets(spine, [fires(r) for r in rules], "person_id", low, width, restart)
+
+
+def key_events(spine: DataFrame, target: str, start: int | Column = 1, bounds: tuple[int, int] | None = None,
+               offsets: DataFrame | None = None, first_rule: int = 0) -> DataFrame:
+    """Fan-out of the rules of ``target`` with dense ids in (rule, person) order.
 
-    Ids are dense per target in (rule, person) order: person ids are positive integers,
-    unique per rule, so the key pass uses fixed person-id buckets instead of a global sort;
-    the numbering restarts per target. ``max(person_id)`` (one column of the spine, a
-    single number to the driver) sets the bucket width.
+    The ids are computed on the spine (one shuffle of one narrow row per registry row); the
+    events that are then emitted carry them, so no event row is ever shuffled or sorted.
+    ``bounds`` are the least and largest person id; ``offsets`` (``event_offsets``) may be shared by
+    several targets, ``first_rule`` being the place of this target's first rule in them.
     """
-    rules = [r for r in RULES if r.target in targets]
-    events = fan_out(spine, rules=rules)
-    if id_max is None:
-        id_max = spine.agg(F.max("person_id")).first()[0] or 1
-    return with_key_in_id_order(events, ["target_no", "rule_no"], "person_id", "_event_id", id_max,
-                                start=start, restart_by=["target_no"], max_groups=len(rules))
+    rules = rules_for(target)
+    low, high = bounds or id_bounds(spine, "person_id")
+    width = id_bucket_width(spine.sparkSession, high - low + 1)
+    if offsets is None:
+        offsets = event_offsets(spine, (target,), low, width)
+    narrow = spine.select("person_id", "visit_occurrence_id", "visit_start_date",
+                          *dict.fromkeys(r.column for r in rules))
+    numbered = with_event_ids(narrow, [fires(r) for r in rules], offsets, "person_id", low, width, start, first_rule)
+    return fan_out(numbered, rules=rules, ids="_event_ids")
 
 
 def event_table(keyed: DataFrame, target: str) -> DataFrame:
-    """Project the keyed events of one target to its table schema (reads only that target's rows)."""
-    keyed = keyed.where(F.col("target_no") == TARGET_NO[target])
+    """Project the keyed events of one target to its table schema."""
     d = F.col("visit_start_date")
     ts = d.cast("timestamp_ntz")
     if target == "condition_occurrence":
         out = keyed.select(
-            F.col("_event_id").alias("condition_occurrence_id"), "person_id",
+            F.col("event_id").alias("condition_occurrence_id"), "person_id",
             F.col("concept_id").alias("condition_concept_id"),
             d.alias("condition_start_date"), ts.alias("condition_start_datetime"),
             d.alias("condition_end_date"), ts.alias("condition_end_datetime"),
@@ -178,7 +199,7 @@ def event_table(keyed: DataFrame, target: str) -> DataFrame:
         return _conform(out, schemas.CONDITION_OCCURRENCE)
     if target == "observation":
         out = keyed.select(
-            F.col("_event_id").alias("observation_id"), "person_id",
+            F.col("event_id").alias("observation_id"), "person_id",
             F.col("concept_id").alias("observation_concept_id"),
             d.alias("observation_date"), ts.alias("observation_datetime"),
             F.col("type_concept_id").alias("observation_type_concept_id"), "value_as_string",
@@ -186,7 +207,7 @@ def event_table(keyed: DataFrame, target: str) -> DataFrame:
         return _conform(out, schemas.OBSERVATION)
     if target == "measurement":
         out = keyed.select(
-            F.col("_event_id").alias("measurement_id"), "person_id",
+            F.col("event_id").alias("measurement_id"), "person_id",
             F.col("concept_id").alias("measurement_concept_id"),
             d.alias("measurement_date"), ts.alias("measurement_datetime"),
             F.col("type_concept_id").alias("measurement_type_concept_id"), "value_as_number",
@@ -194,7 +215,7 @@ def event_table(keyed: DataFrame, target: str) -> DataFrame:
         return _conform(out, schemas.MEASUREMENT)
     if target == "procedure_occurrence":
         out = keyed.select(
-            F.col("_event_id").alias("procedure_occurrence_id"), "person_id",
+            F.col("event_id").alias("procedure_occurrence_id"), "person_id",
             F.col("concept_id").alias("procedure_concept_id"),
             d.alias("procedure_date"), ts.alias("procedure_datetime"),
             d.alias("procedure_end_date"), ts.alias("procedure_end_datetime"),
@@ -206,7 +227,7 @@ def event_table(keyed: DataFrame, target: str) -> DataFrame:
 
 def load_events(spine: DataFrame, target: str, start: int | Column = 1) -> DataFrame:
     """L-C*/L-O*/L-M*/L-P*: one target's fan-out + dense ids in (rule, person) order."""
-    return event_table(key_events(spine, (target,), start), target)
+    return event_table(key_events(spine, target, start), target)
 
 
 @dataclass
@@ -239,22 +260,14 @@ def run_etl(registry: DataFrame, concept: DataFrame | None = None, file_position
     period = load_observation_period(person)
     visit = visit_from_period(period)
     events = event_spine(spine)
-    id_max = spine.agg(F.max("person_id")).first()[0] or 1
-    width = id_bucket_width(spark, id_max)
-    groups = ["target_no", "rule_no"]
-    # one counting pass over all rules gives every table's (rule, bucket) offsets; the frame
-    # has at most rules x buckets rows, so it is cached once and broadcast to each table's pass
-    offsets = id_order_offsets(fan_out(events, rules=list(RULES)), groups, "person_id", width,
-                               restart_by=["target_no"]).cache()
-    offsets.count()
-    small = len(RULES) * (-(-int(id_max) // width)) <= 1_000_000
-    # one fan-out per table: each scan reads only the columns of that table's rules
-    loaded = {}
+    bounds = id_bounds(spine, "person_id")
+    width = id_bucket_width(spark, bounds[1] - bounds[0] + 1)
+    # one counting pass over the spine gives the offsets of all four tables: one row per id bucket
+    offsets = staged(event_offsets(events, EVENT_TARGETS, bounds[0], width), "event-offsets")
+    loaded, first = {}, 0
     for t in EVENT_TARGETS:
-        rules = [r for r in RULES if r.target == t]
-        keyed = apply_id_order(fan_out(events, rules=rules), groups, "person_id", "_event_id", width,
-                               offsets.where(F.col("target_no") == TARGET_NO[t]), small=small)
-        loaded[t] = event_table(keyed, t)
+        loaded[t] = event_table(key_events(events, t, bounds=bounds, offsets=offsets, first_rule=first), t)
+        first += len(rules_for(t))
     return Cdm(person=person, observation_period=period, visit_occurrence=visit,
                condition_occurrence=loaded["condition_occurrence"], observation=loaded["observation"],
                measurement=loaded["measurement"], procedure_occurrence=loaded["procedure_occurrence"],

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..functions.keys import id_bounds
 from ..operators.rules import EVENT_TARGETS
 from ..plans.etl import (EVENT_ID, build_spine, event_spine, event_table, key_events, load_observation_period,
                          load_person, visit_from_period)
@@ -60,10 +61,10 @@ def load_registry_batch(batch: DataFrame, batch_id: int, root: str) -> None:
     period = load_observation_period(person)
     tables = {"person": person, "observation_period": period, "visit_occurrence": visit_from_period(period)}
     events = event_spine(spine)
-    id_max = spine.agg(F.max("person_id")).first()[0]
+    bounds = id_bounds(spine, "person_id")
     for target in EVENT_TARGETS:
         first = _next_id(spark, root, target, EVENT_ID[target], batch_id)
-        tables[target] = event_table(key_events(events, (target,), start=first, id_max=id_max), target)
+        tables[target] = event_table(key_events(events, target, start=first, bounds=bounds), target)
     for name, df in tables.items():
         df.write.mode("overwrite").parquet(batch_path(root, name, batch_id))
 

@@ -27,12 +27,15 @@ def _registry(spark, n=40):
                                     country_of_birth="Greece") for i in range(1, n + 1)])
 
 
-def test_event_keys_one_hash_shuffle_no_global_sort(spark):
-    events = key_events(event_spine(build_spine(_registry(spark))), ("measurement",), id_max=40)
-    plan = _plan(events)
+def test_events_are_never_shuffled(spark):
+    """Ids are computed on the spine: the fan-out comes after the last exchange, and nothing is range-sorted."""
+    events = key_events(event_spine(build_spine(_registry(spark))), "measurement", bounds=(1, 40))
+    plan = _plan(events).split("== Physical Plan ==")[1]
+    tree = plan.split("\n\n\n")[0]
+    assert "inline(filter(array(" in plan
+    assert tree.index("Generate") < tree.index("Exchange") and tree.count("Generate") == 1
     assert "rangepartitioning" not in plan
-    assert re.search(r"hashpartitioning\(target_no#\d+, rule_no#\d+, _kb#\d+L?", plan)
-    assert "Generate" in plan and "inline(filter(array(" in plan  # the single-pass fan-out
+    assert re.search(r"hashpartitioning\(_kb#\d+L?", plan)
 
 
 def test_scan_prunes_and_pushes_filters(spark, tmpdir_path):

@@ -5,7 +5,9 @@ from __future__ import annotations
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from cdmflow.functions.keys import with_dense_key, with_key_in_id_order
+from pyspark.sql import functions as F
+
+from cdmflow.functions.keys import id_bucket_width, rule_offsets, with_dense_key, with_event_ids
 
 ROWS = st.lists(st.tuples(st.integers(0, 3), st.integers(1, 60), st.sampled_from(["a", "b", "c"])),
                 min_size=0, max_size=80)
@@ -13,16 +15,23 @@ SETTINGS = settings(max_examples=8, deadline=None, suppress_health_check=list(He
 
 
 @SETTINGS
-@given(rows=ROWS, start=st.integers(1, 1000))
-def test_key_in_id_order_matches_sort(spark, rows, start):
-    uniq = sorted({(g, i): v for g, i, v in rows}.items())  # id unique within its group
-    data = [(g, i, v) for (g, i), v in uniq]
-    df = spark.createDataFrame(data, "g int, i long, v string")
-    id_max = max([i for _, i, _ in data], default=1)
-    keyed = with_key_in_id_order(df, ["g"], "i", "k", id_max, start=start, buckets=3, max_groups=4)
-    got = sorted((r["g"], r["i"], r["k"]) for r in keyed.collect())
-    expect = [(g, i, start + n) for n, (g, i, _) in enumerate(sorted(data))]
-    assert got == expect
+@given(rows=ROWS, start=st.integers(1, 1000), low=st.integers(-3, 1))
+def test_event_ids_match_sort(spark, rows, start, low):
+    """Ids in (rule, id) order, repeated ids and all, the numbering restarting at rule 2."""
+    df = spark.createDataFrame(rows, "g int, i long, v string")
+    fires = [F.col("g") > 0, F.lit(True), F.col("v") == "a"]
+    holds = [lambda r: r[0] > 0, lambda r: True, lambda r: r[2] == "a"]
+    width = id_bucket_width(spark, 64, buckets=5)
+    offsets = rule_offsets(df, fires, "i", low, width, restart=[0, 2])
+    got = [(tuple(r)[:3], r["_event_ids"]) for r in with_event_ids(df, fires, offsets, "i", low, width, start).collect()]
+    assert sorted(r for r, _ in got) == sorted(rows)
+    done = 0
+    for k, hold in enumerate(holds):
+        done = 0 if k == 2 else done
+        kept = sorted((ids[k], r[1]) for r, ids in got if hold(r))
+        assert [n for n, _ in kept] == list(range(start + done, start + done + len(kept)))
+        assert [i for _, i in kept] == sorted(i for _, i in kept)
+        done += len(kept)
 
 
 @SETTINGS

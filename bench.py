@@ -20,7 +20,7 @@ from cdmflow.plans import quality as Q  # noqa: E402
 from cdmflow.plans.etl import run_etl  # noqa: E402
 from cdmflow.session import build_session  # noqa: E402
 from cdmflow.sources.registry import derived_registry  # noqa: E402
-from cdmflow.sources.sinks import write_cdm  # noqa: E402
+from cdmflow.sources.sinks import write_cdm, write_table  # noqa: E402
 from cdmflow.sources.vocabulary import seed_concepts  # noqa: E402
 
 
@@ -40,7 +40,13 @@ def main() -> None:
 
     concept = seed_concepts(spark)
     registry = derived_registry(spark, sf_dir)
-    cdm = timed("etl_load", lambda: write_cdm(run_etl(registry, concept=concept), os.path.join(scratch, "out")))
+    out = os.path.join(scratch, "out")
+
+    def load():  # as the job does: the registry is staged as the import table, then loaded
+        staged = write_table(registry, out, "labels", schema="import")
+        return write_cdm(run_etl(staged, concept=concept, file_position=True), out)
+
+    cdm = timed("etl_load", load)
     questions = {
         "q1_diagnosis": A.q1_patients_per_diagnosis,
         "q2_median_ferritin": A.q2_median_ferritin_by_sex,

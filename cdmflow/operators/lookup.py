@@ -1,37 +1,14 @@
-"""Dimension lookups whose broadcast is guarded by a size check."""
+"""Dimension lookups."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
-# Largest lookup side we ship to every executor; beyond it the join shuffles.
-BROADCAST_MAX_ROWS = 2_000_000
 
+def lookup_join(fact: DataFrame, dim: DataFrame, on: str | list[str] | Column, how: str = "inner") -> DataFrame:
+    """Join a dimension on the right; Catalyst and AQE broadcast it when its bytes allow, else both sides shuffle.
 
-def small_side(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """``broadcast(df)`` when it has at most ``max_rows`` rows, else ``df`` unchanged.
-
-    The probe ``df.limit(max_rows + 1)`` is cached (it holds at most max_rows + 1 rows);
-    when it proves the frame small it *is* the whole frame, so the broadcast reuses it
-    instead of computing the frame a second time.
-    """
-    probe = df.limit(max_rows + 1).cache()
-    if probe.count() <= max_rows:
-        return F.broadcast(probe)
-    probe.unpersist()
-    return df
-
-
-def lookup_join(
-    fact: DataFrame,
-    dim: DataFrame,
-    on: str | list[str] | Column,
-    how: str = "inner",
-    max_rows: int = BROADCAST_MAX_ROWS,
-) -> DataFrame:
-    """Join a (filtered) dimension: broadcast when small enough, shuffle otherwise.
-
-    Only the dimension side is ever broadcast (left/inner/semi/anti keep the fact on the left).
+    Nothing is counted or cached while the plan is built. A busy key of a shuffled join is split by AQE's
+    skew handling (left, inner, semi and anti joins keep the fact, the skewed side, on the left).
     """
-    return fact.join(small_side(dim, max_rows), on, how)
+    return fact.join(dim, on, how)

@@ -5,11 +5,11 @@ task; with a handful of groups (median ferritin by sex) that is a third of the d
 per task. Here the selection is positional instead:
 
 1. pre-aggregate to (group, value, weight) - repeated values collapse map-side;
-2. range-partitioned sort on (group, value); weighted positions come from a running
-   sum inside each sort partition plus that partition's global offset;
-3. per group: n and first position (partial aggregation, skew-safe);
-4. keep only the rows whose position range holds rank floor(p*(n-1)) or ceil(p*(n-1))
-   (at most two per group) and interpolate as PostgreSQL/DuckDB do.
+2. range-partitioned sort on (group, value), staged once;
+3. the weights per (sort partition, group) locate the at most two partitions of each group
+   that hold the ranks floor(p*(n-1)) and ceil(p*(n-1)); only those are read on;
+4. a running sum inside them finds the rows at both ranks, which are interpolated as
+   PostgreSQL/DuckDB do.
 """
 
 from __future__ import annotations
@@ -17,11 +17,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.keys import partition_offsets, sorted_positions
-from .lookup import small_side
+from ..functions.keys import sorted_positions
+from ..session import stage_path
 
 
 def grouped_percentile_cont(
@@ -38,31 +38,38 @@ def grouped_percentile_cont(
     gcols = list(groups)
     vals = (df.where(F.col(value).isNotNull())
               .groupBy(*gcols, value).agg(F.count(F.lit(1)).alias("_w")))
+    spark = df.sparkSession
     staged = sorted_positions(vals, [*gcols, value], name="percentile")
-    offsets = partition_offsets(staged, weight=F.col("_w"))
-    run = Window.partitionBy("_pos_part").orderBy("_pos_local").rowsBetween(Window.unboundedPreceding,
-                                                                           Window.currentRow)
-    pos = (staged.join(F.broadcast(offsets.select("_pos_part", "_pos_offset")), "_pos_part")
-                 .withColumn("_end", F.col("_pos_offset") + F.sum("_w").over(run))
-                 .withColumn("_begin", F.col("_end") - F.col("_w")))
+    # weight of every (sort partition, group): the sort keeps a group together, so there are at most
+    # (partitions + groups) rows, and no group has more of them than there are partitions
+    parts = staged.groupBy("_pos_part", *gcols).agg(F.sum("_w").alias("_pw"))
+    whole = Window.partitionBy(*gcols)
+    before = whole.orderBy("_pos_part").rowsBetween(Window.unboundedPreceding, -1)
+    rank = F.lit(p) * (F.sum("_pw").over(whole) - 1)
+    parts = parts.select("_pos_part", *gcols, F.sum("_pw").over(whole).alias("_n"), "_pw",
+                         F.coalesce(F.sum("_pw").over(before), F.lit(0)).alias("_skip"),
+                         F.floor(rank).alias("_lo"), F.ceil(rank).alias("_hi"), (rank - F.floor(rank)).alias("_frac"))
 
-    stats = pos.groupBy(*gcols).agg(F.sum("_w").alias("_n"), F.min("_begin").alias("_first"))
-    stats = (stats.withColumn("_r", F.lit(p) * (F.col("_n") - 1))
-                  .withColumn("_lo", F.col("_first") + F.floor("_r"))
-                  .withColumn("_hi", F.col("_first") + F.ceil("_r"))
-                  .withColumn("_frac", F.col("_r") - F.floor("_r")))
-    r = pos.alias("r")
-    cond = reduce(lambda a, b: a & b, [F.col(f"r.{g}").eqNullSafe(F.col(f"s.{g}")) for g in gcols],
-                  F.lit(True))
-    side = small_side(stats).alias("s")
-    hit_lo = (F.col("r._begin") <= F.col("s._lo")) & (F.col("s._lo") < F.col("r._end"))
-    hit_hi = (F.col("r._begin") <= F.col("s._hi")) & (F.col("s._hi") < F.col("r._end"))
-    picked = r.join(side, cond).where(hit_lo | hit_hi).select(
-        *[F.col(f"s.{g}").alias(g) for g in gcols],
-        F.when(hit_lo, F.col(f"r.{value}")).alias("_vlo"),
-        F.when(hit_hi, F.col(f"r.{value}")).alias("_vhi"),
-        F.col("s._frac").alias("_frac"), F.col("s._n").alias("_n"),
-    )
+    def holds(rank_col: str, begin: Column, end: Column) -> Column:
+        return (begin <= F.col(rank_col)) & (F.col(rank_col) < end)
+
+    first, last = F.col("_skip"), F.col("_skip") + F.col("_pw")
+    path = stage_path(spark, "percentile-parts")  # stored, so the join below knows its size in bytes
+    parts.where(holds("_lo", first, last) | holds("_hi", first, last)).write.parquet(path)
+    wanted = spark.read.schema(parts.schema).parquet(path).alias("s")
+    # only the partitions that hold a rank (at most two per group) go on
+    same = reduce(lambda a, b: a & b, [F.col(f"r.{g}").eqNullSafe(F.col(f"s.{g}")) for g in gcols],
+                  F.col("r._pos_part") == F.col("s._pos_part"))
+    near = staged.alias("r").join(wanted, same).select(
+        *[F.col(f"r.{g}").alias(g) for g in gcols], "r._pos_part", F.col(f"r.{value}").alias("_v"), "r._w",
+        "_skip", "_lo", "_hi", "_frac", "_n")
+    upto = Window.partitionBy("_pos_part", *gcols).orderBy("_v").rowsBetween(Window.unboundedPreceding,
+                                                                            Window.currentRow)
+    near = near.withColumn("_end", F.col("_skip") + F.sum("_w").over(upto)).withColumn(
+        "_begin", F.col("_end") - F.col("_w"))
+    at_lo, at_hi = holds("_lo", F.col("_begin"), F.col("_end")), holds("_hi", F.col("_begin"), F.col("_end"))
+    picked = near.where(at_lo | at_hi).select(*gcols, F.when(at_lo, F.col("_v")).alias("_vlo"),
+                                              F.when(at_hi, F.col("_v")).alias("_vhi"), "_frac", "_n")
     res = picked.groupBy(*gcols).agg(
         F.max("_vlo").alias("_vlo"), F.max("_vhi").alias("_vhi"),
         F.first("_frac").alias("_frac"), F.first("_n").alias("_n"))

@@ -1,9 +1,8 @@
 """Vocabulary operators: source -> standard mapping, hierarchy roll-up through the
 pre-computed ancestor closure, and the standard / validity / domain / specificity checks.
 
-Every fact side is pre-aggregated to (concept, ...) before it meets the vocabulary, and
-the vocabulary side is first restricted to the concepts in use, so the lookup that
-follows is size-checked and usually broadcast.
+Every fact side is pre-aggregated to (concept, ...) before it meets the vocabulary, and is
+evaluated once: the vocabulary side is joined as it is.
 """
 
 from __future__ import annotations
@@ -16,12 +15,6 @@ from pyspark.sql import functions as F
 from .lookup import lookup_join
 
 
-def restrict_to_used(dim: DataFrame, dim_key: str, facts: DataFrame, fact_key: str) -> DataFrame:
-    """Rows of ``dim`` whose key occurs in ``facts`` (distinct ids: a partial aggregation)."""
-    ids = facts.select(F.col(fact_key).alias(dim_key)).distinct()
-    return dim.join(ids, dim_key, "left_semi")
-
-
 def _at(at: str | Column | None) -> Column:
     if at is None:
         return F.current_date()
@@ -44,7 +37,7 @@ def map_to_standard(facts: DataFrame, source_col: str, relationship: DataFrame,
 
     A source with several valid targets yields one row per target, as the SQL join would.
     """
-    pairs = restrict_to_used(maps_to(relationship, at), "_src", facts, source_col)
+    pairs = maps_to(relationship, at)
     joined = lookup_join(facts, pairs, facts[source_col] == pairs["_src"], how="left")
     return joined.withColumn(out, F.coalesce(F.col("_std"), F.lit(0)).cast("int")).drop("_src", "_std")
 
@@ -60,8 +53,7 @@ def descendant_rollup(facts: DataFrame, concept_col: str, person_col: str, ances
         F.count(F.lit(1)).alias("_n"))
     closure = ancestor.join(ancestors.select(F.col("concept_id").alias("ancestor_concept_id")),
                             "ancestor_concept_id", "left_semi")
-    closure = restrict_to_used(closure.select("ancestor_concept_id", "descendant_concept_id"),
-                               "descendant_concept_id", pre, "_c")
+    closure = closure.select("ancestor_concept_id", "descendant_concept_id")
     joined = lookup_join(pre, closure, pre["_c"] == closure["descendant_concept_id"])
     return joined.groupBy("ancestor_concept_id").agg(F.sum("_n").alias("n_records"),
                                                      F.count_distinct("_p").alias("n_persons"))
@@ -71,8 +63,7 @@ def non_standard_use(facts: DataFrame, concept_col: str, concept: DataFrame) ->
     """T-VOC2: mapped concepts (not 0) that are not standard -> (concept_id, concept_name, standard_concept, n)."""
     used = facts.where(F.col(concept_col) != 0).groupBy(F.col(concept_col).alias("concept_id")).agg(
         F.count(F.lit(1)).alias("n"))
-    dim = restrict_to_used(concept.select("concept_id", "concept_name", "standard_concept"), "concept_id",
-                           used, "concept_id")
+    dim = concept.select("concept_id", "concept_name", "standard_concept")
     joined = lookup_join(used, dim, "concept_id", how="left")
     return joined.where(F.coalesce(F.col("standard_concept"), F.lit("")) != "S").select(
         "concept_id", "concept_name", "standard_concept", "n")
@@ -83,8 +74,7 @@ def expired_use(facts: DataFrame, concept_col: str, date_col: str, concept: Data
     used = facts.where(F.col(concept_col) != 0).groupBy(
         F.col(concept_col).alias("concept_id"), F.col(date_col).cast("date").alias("_d")).agg(
         F.count(F.lit(1)).alias("_n"))
-    dim = restrict_to_used(concept.select("concept_id", "valid_start_date", "valid_end_date"), "concept_id",
-                           used, "concept_id")
+    dim = concept.select("concept_id", "valid_start_date", "valid_end_date")
     joined = lookup_join(used, dim, "concept_id")
     bad = (F.col("_d") > F.col("valid_end_date")) | (F.col("_d") < F.col("valid_start_date"))
     return joined.where(bad).groupBy("concept_id").agg(F.sum("_n").alias("n"))
@@ -94,7 +84,7 @@ def domain_mismatch(facts: DataFrame, concept_col: str, concept: DataFrame, expe
     """T-VOC4: mapped concepts whose domain is not the table's -> (concept_id, domain_id, n)."""
     used = facts.where(F.col(concept_col) != 0).groupBy(F.col(concept_col).alias("concept_id")).agg(
         F.count(F.lit(1)).alias("n"))
-    dim = restrict_to_used(concept.select("concept_id", "domain_id"), "concept_id", used, "concept_id")
+    dim = concept.select("concept_id", "domain_id")
     joined = lookup_join(used, dim, "concept_id", how="left")
     return joined.where(~F.coalesce(F.col("domain_id") == expected_domain, F.lit(False))).select(
         "concept_id", "domain_id", "n")

@@ -17,57 +17,56 @@ OVERVIEW_TABLES = ("person", "observation_period", "visit_occurrence", "conditio
                    "observation", "procedure_occurrence", "drug_exposure")
 
 
-def used_concepts(facts: DataFrame, fact_key: str, concept: DataFrame) -> DataFrame:
-    """The part of ``concept`` whose ids occur in ``facts`` (id, name).
-
-    The distinct-id pass is a partial aggregation (tiny shuffle); the result is bounded by
-    the number of distinct concepts in use, which the lookup join then size-checks.
-    """
-    ids = facts.select(F.col(fact_key).alias("concept_id")).distinct()
-    return concept.select("concept_id", "concept_name").join(ids, "concept_id", "left_semi")
-
-
 def total_persons(person: DataFrame) -> Column:
     """``SELECT COUNT(*) FROM person`` as a scalar subquery (no round trip through the driver)."""
     return person.agg(F.count(F.lit(1)).alias("n")).scalar()
 
 
-def _distinct_persons(approx_rsd: float | None) -> Column:
-    """Exact COUNT(DISTINCT person_id), or HyperLogLog++ with relative error ``approx_rsd``."""
-    return F.count_distinct("person_id") if approx_rsd is None else F.approx_count_distinct("person_id", approx_rsd)
-
-
-def q1_patients_per_diagnosis(cdm: Cdm, approx_rsd: float | None = None) -> DataFrame:
-    """A-Q1: distinct patients per primary diagnosis (``approx_rsd``: the large-data option)."""
+def _primary_facts(cdm: Cdm) -> DataFrame:
+    """(person_id, diagnosis) of the rows of a primary diagnosis; three concepts, so their names are broadcast."""
     ids = list(PRIMARY_DIAGNOSIS_CONCEPTS)
     facts = cdm.condition_occurrence.where(F.col("condition_concept_id").isin(ids)).select(
         "person_id", "condition_concept_id")
     dim = cdm.concept.where(F.col("concept_id").isin(ids)).select("concept_id", "concept_name")
-    joined = lookup_join(facts, dim, facts["condition_concept_id"] == dim["concept_id"])
-    return (joined.groupBy(F.col("concept_name").alias("diagnosis"))
-                  .agg(_distinct_persons(approx_rsd).alias("n_patients"))
-                  .orderBy(F.desc("n_patients"), "diagnosis"))
+    return lookup_join(facts, F.broadcast(dim), facts["condition_concept_id"] == dim["concept_id"]).select(
+        "person_id", F.col("concept_name").alias("diagnosis"))
 
 
-def q2_median_ferritin_by_sex(cdm: Cdm, approx_accuracy: int | None = None) -> DataFrame:
-    """A-Q2: exact median ferritin (1 decimal) and number of measurements per sex.
+def _patients_per_diagnosis(cdm: Cdm, count: Column) -> DataFrame:
+    return (_primary_facts(cdm).groupBy("diagnosis").agg(count.alias("n_patients"))
+            .orderBy(F.desc("n_patients"), "diagnosis"))
 
-    ``approx_accuracy`` switches to ``percentile_approx`` (a mergeable sketch, no sort;
-    returns an observed value instead of the interpolated one) for very large data.
-    """
+
+def q1_patients_per_diagnosis(cdm: Cdm) -> DataFrame:
+    """A-Q1: distinct patients per primary diagnosis."""
+    return _patients_per_diagnosis(cdm, F.count_distinct("person_id"))
+
+
+def approximate_patients_per_diagnosis(cdm: Cdm, rsd: float = 0.05) -> DataFrame:
+    """A-Q1 by HyperLogLog++ with relative error ``rsd``: an estimate, another answer than A-Q1."""
+    return _patients_per_diagnosis(cdm, F.approx_count_distinct("person_id", rsd))
+
+
+def _ferritin(cdm: Cdm) -> DataFrame:
     m = cdm.measurement.where((F.col("measurement_concept_id") == FERRITIN_CONCEPT)
                               & F.col("value_as_number").isNotNull()).select("person_id", "value_as_number")
-    p = cdm.person.select("person_id", F.col("gender_source_value").alias("sex"))
-    joined = m.join(p, "person_id")
-    if approx_accuracy is not None:
-        return joined.groupBy("sex").agg(
-            F.round(F.percentile_approx("value_as_number", 0.5, approx_accuracy), 1).alias("median_ferritin"),
-            F.count(F.lit(1)).alias("n_measurements")).orderBy("sex")
-    med = grouped_percentile_cont(joined, ["sex"], "value_as_number", 0.5, out="_median",
+    return m.join(cdm.person.select("person_id", F.col("gender_source_value").alias("sex")), "person_id")
+
+
+def q2_median_ferritin_by_sex(cdm: Cdm) -> DataFrame:
+    """A-Q2: exact median ferritin (1 decimal) and number of measurements per sex."""
+    med = grouped_percentile_cont(_ferritin(cdm), ["sex"], "value_as_number", 0.5, out="_median",
                                   count_out="n_measurements")
     return med.select("sex", F.round("_median", 1).alias("median_ferritin"), "n_measurements").orderBy("sex")
 
 
+def approximate_median_ferritin_by_sex(cdm: Cdm, accuracy: int = 10_000) -> DataFrame:
+    """A-Q2 by a mergeable sketch without a sort: an observed value near the median, not the interpolated one."""
+    return _ferritin(cdm).groupBy("sex").agg(
+        F.round(F.percentile_approx("value_as_number", 0.5, accuracy), 1).alias("median_ferritin"),
+        F.count(F.lit(1)).alias("n_measurements")).orderBy("sex")
+
+
 def q3_transfusion_by_diagnosis(cdm: Cdm) -> DataFrame:
     """A-Q3: distinct patients per (primary diagnosis, transfusion answer).
 
@@ -76,12 +75,7 @@ def q3_transfusion_by_diagnosis(cdm: Cdm) -> DataFrame:
     status) triple is then unique, so a plain count equals COUNT(DISTINCT person) and the
     second shuffle of a distinct aggregation is not needed.
     """
-    ids = list(PRIMARY_DIAGNOSIS_CONCEPTS)
-    cond = cdm.condition_occurrence.where(F.col("condition_concept_id").isin(ids)).select(
-        "person_id", "condition_concept_id")
-    dim = cdm.concept.where(F.col("concept_id").isin(ids)).select("concept_id", "concept_name")
-    diag = lookup_join(cond, dim, cond["condition_concept_id"] == dim["concept_id"]).select(
-        "person_id", F.col("concept_name").alias("diagnosis")).distinct()
+    diag = _primary_facts(cdm).distinct()
     status = cdm.observation.where((F.col("observation_concept_id") == TRANSFUSION_CONCEPT)
                                    & F.col("value_source_value").isNotNull()).select(
         "person_id", F.col("value_source_value").alias("transfusion_status")).distinct()
@@ -95,8 +89,8 @@ def q4_comorbidity_prevalence(cdm: Cdm) -> DataFrame:
     """A-Q4: patients and share of all persons per non-primary, mapped condition."""
     facts = cdm.condition_occurrence.where(
         ~F.col("condition_concept_id").isin(list(PRIMARY_DIAGNOSIS_CONCEPTS))
-        & (F.col("condition_concept_id") != 0)).select("person_id", "condition_concept_id")
-    dim = used_concepts(facts, "condition_concept_id", cdm.concept)
+        & (F.col("condition_concept_id") != 0)).select("person_id", "condition_concept_id").distinct()
+    dim = cdm.concept.select("concept_id", "concept_name")
     joined = lookup_join(facts, dim, facts["condition_concept_id"] == dim["concept_id"])
     n = F.count_distinct("person_id")
     total = total_persons(cdm.person)
@@ -120,8 +114,8 @@ def q6_measurement_completeness(cdm: Cdm) -> DataFrame:
     Label = concept name, or the source value when the concept has no (or an empty) name.
     """
     facts = cdm.measurement.where(F.col("value_as_number").isNotNull()).select(
-        "person_id", "measurement_concept_id", "value_source_value")
-    dim = used_concepts(facts, "measurement_concept_id", cdm.concept)
+        "person_id", "measurement_concept_id", "value_source_value").distinct()
+    dim = cdm.concept.select("concept_id", "concept_name")
     joined = lookup_join(facts, dim, facts["measurement_concept_id"] == dim["concept_id"], how="left")
     label = F.coalesce(blank_to_null("concept_name"), F.col("value_source_value"))
     n = F.count_distinct("person_id")

@@ -32,7 +32,7 @@ from .sources.sinks import read_cdm, reset_clinical_tables, write_cdm, write_tab
 from .sources.vocabulary import read_vocabulary_file, seed_concepts
 
 Query = Callable[[SparkSession, str], DataFrame]
-_CDM: dict[tuple[int, str], Cdm] = {}
+_CDM: dict[tuple[str, str], Cdm] = {}
 
 
 def registry(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -42,7 +42,7 @@ def registry(spark: SparkSession, sf_dir: str) -> DataFrame:
 def cdm(spark: SparkSession, sf_dir: str) -> Cdm:
     """The loaded CDM for ``sf_dir``: loaded once per session and written under the shared
     checkpoint root; the questions then read stored Parquet (filters reach the scans)."""
-    key = (id(spark.sparkContext), os.path.abspath(sf_dir))
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
     if key not in _CDM:
         root = stage_path(spark, "cdm")
         # L-STG as in the job: the registry is staged as the import table, then keyed with its

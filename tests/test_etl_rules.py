@@ -142,16 +142,17 @@ def test_rule_table_shape(spark):
 
 
 def test_large_data_options(spark):
-    from cdmflow.plans.analytics import q1_patients_per_diagnosis, q2_median_ferritin_by_sex
+    from cdmflow.plans.analytics import (approximate_median_ferritin_by_sex, approximate_patients_per_diagnosis,
+                                         q2_median_ferritin_by_sex)
     from cdmflow.plans.etl import run_etl
     rows = [reg_row(i, gender="Male" if i % 2 else "Female", orpha_code_id="Beta-thalassemia",
                     ferritin_result=float(i)) for i in range(1, 201)]
     c = run_etl(registry(spark, rows), concept=seed_concepts(spark))
     exact = {r["sex"]: r["median_ferritin"] for r in q2_median_ferritin_by_sex(c).collect()}
-    approx = {r["sex"]: r["median_ferritin"] for r in q2_median_ferritin_by_sex(c, approx_accuracy=10000).collect()}
+    approx = {r["sex"]: r["median_ferritin"] for r in approximate_median_ferritin_by_sex(c).collect()}
     assert exact == {"Female": 101.0, "Male": 100.0}
     assert all(abs(approx[k] - exact[k]) <= 2 for k in exact)
-    n = q1_patients_per_diagnosis(c, approx_rsd=0.01).first()["n_patients"]
+    n = approximate_patients_per_diagnosis(c, 0.01).first()["n_patients"]
     assert abs(n - 200) <= 10
 
 

@@ -141,9 +141,9 @@ FIXTURE_EXPRS: dict[str, str] = {
     "iron_result": "CASE WHEN o_custkey % 5 <> 2 THEN c_acctbal / 10 END",
 }
 BAD_DATE_EXPR = "o_orderkey % 101 = 100"
-DOB_SPARK = (f"CASE WHEN {BAD_DATE_EXPR} THEN '31/02/2000' ELSE date_format(date_add(DATE'1930-01-01', "
+DOB_SPARK = (f"CASE WHEN {BAD_DATE_EXPR} THEN '31/02/2000' ELSE date_format(date_add(DATE'1925-06-01', "
              "CAST(o_orderkey * 37 % 30000 AS INT)), 'dd/MM/yyyy') END")
-DOB_DUCKDB = (f"CASE WHEN {BAD_DATE_EXPR} THEN '31/02/2000' ELSE strftime(DATE '1930-01-01' + "
+DOB_DUCKDB = (f"CASE WHEN {BAD_DATE_EXPR} THEN '31/02/2000' ELSE strftime(DATE '1925-06-01' + "
               "CAST(o_orderkey * 37 % 30000 AS INTEGER), '%d/%m/%Y') END")
 
 

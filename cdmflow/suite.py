@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -162,6 +163,22 @@ def vocab_specificity(spark: SparkSession, sf: str) -> DataFrame:
     return V.less_specific_use(G.used_codes(spark, sf), "concept_id", G.geo_ancestors(spark, sf))
 
 
+def damaged(spark: SparkSession, sf: str) -> Cdm:
+    """The load with persons and visits missing, condition rows stored twice and mandatory values blanked."""
+    c = cdm(spark, sf)
+
+    def blank(column: str, key: str, every: int):
+        return F.when(F.col(key) % every != 0, F.col(column)).alias(column)
+
+    again = c.condition_occurrence.where(F.col("condition_occurrence_id") % 90 == 0)
+    return replace(
+        c, person=c.person.where(F.col("person_id") % 50 != 0).withColumn(
+            "gender_concept_id", blank("gender_concept_id", "person_id", 40)),
+        visit_occurrence=c.visit_occurrence.where(F.col("visit_occurrence_id") % 60 != 0),
+        condition_occurrence=c.condition_occurrence.unionByName(again),
+        measurement=c.measurement.withColumn("measurement_date", blank("measurement_date", "measurement_id", 80)))
+
+
 def reset_counts(spark: SparkSession, sf: str) -> DataFrame:
     """L-RST / O-SNK7: a copy of the whole load is reset; its eight clinical tables then count zero."""
     root = stage_path(spark, "reset")
@@ -208,6 +225,9 @@ QUERIES: dict[str, Query] = {
     "dq_orphans": _question(Q.dq_orphans),
     "dq_duplicate_ids": _question(Q.dq_duplicate_ids),
     "dq_mandatory_nulls": _question(Q.dq_mandatory_nulls),
+    "dq_orphans_damaged": lambda spark, sf: Q.dq_orphans(damaged(spark, sf)),
+    "dq_duplicate_ids_damaged": lambda spark, sf: Q.dq_duplicate_ids(damaged(spark, sf)),
+    "dq_mandatory_nulls_damaged": lambda spark, sf: Q.dq_mandatory_nulls(damaged(spark, sf)),
     "dq_bad_dates": bad_dates,
     "dq_registry_nulls": _registry_check(lambda r: QO.null_counts(r)),
     "dq_duplicate_keys": duplicate_line_keys,
@@ -333,7 +353,52 @@ _ORPHAN_PARTS = [
     WHERE v.visit_occurrence_id = e.visit_occurrence_id)) AS orphan_visit_rows"""
     for t in Q.EVENT_CONCEPT_SOURCE]
 
+_DAMAGED = """
+, some_person AS (
+  SELECT * REPLACE (CASE WHEN person_id % 40 <> 0 THEN gender_concept_id END AS gender_concept_id)
+  FROM person WHERE person_id % 50 <> 0),
+some_visit AS (SELECT * FROM visit_occurrence WHERE visit_occurrence_id % 60 <> 0),
+more_condition AS (
+  SELECT * FROM condition_occurrence
+  UNION ALL SELECT * FROM condition_occurrence WHERE condition_occurrence_id % 90 = 0),
+some_measurement AS (
+  SELECT * REPLACE (CASE WHEN measurement_id % 80 <> 0 THEN measurement_date END AS measurement_date) FROM measurement)"""
+# The mandatory columns of the data model that the load fills.
+_MANDATORY_SQL = {
+    "person": ("some_person", "person_id gender_concept_id race_concept_id ethnicity_concept_id"),
+    "condition_occurrence": ("more_condition", "condition_occurrence_id person_id condition_concept_id "
+                             "condition_start_date condition_type_concept_id"),
+    "observation": ("observation", "observation_id person_id observation_concept_id observation_date "
+                    "observation_type_concept_id"),
+    "measurement": ("some_measurement", "measurement_id person_id measurement_concept_id measurement_date "
+                    "measurement_type_concept_id"),
+    "procedure_occurrence": ("procedure_occurrence", "procedure_occurrence_id person_id procedure_concept_id "
+                             "procedure_date procedure_type_concept_id"),
+}
+
 ORACLE.update({
+    "dq_orphans_damaged": O.with_ctes(_DAMAGED + """,
+refs AS (
+  SELECT 'condition_occurrence' AS table_name, person_id, visit_occurrence_id FROM more_condition
+  UNION ALL SELECT 'observation', person_id, visit_occurrence_id FROM observation
+  UNION ALL SELECT 'measurement', person_id, visit_occurrence_id FROM some_measurement
+  UNION ALL SELECT 'procedure_occurrence', person_id, visit_occurrence_id FROM procedure_occurrence)
+SELECT table_name, count(*) - count(p.person_id) AS orphan_person_rows,
+       count(*) - count(v.visit_occurrence_id) AS orphan_visit_rows
+FROM refs LEFT JOIN some_person p USING (person_id) LEFT JOIN some_visit v USING (visit_occurrence_id)
+GROUP BY table_name""", *_EVENTS),
+    "dq_duplicate_ids_damaged": O.with_ctes(_DAMAGED + """,
+ids AS (
+  SELECT 'person' AS table_name, person_id AS id FROM some_person
+  UNION ALL SELECT 'condition_occurrence', condition_occurrence_id FROM more_condition
+  UNION ALL SELECT 'observation', observation_id FROM observation
+  UNION ALL SELECT 'measurement', measurement_id FROM some_measurement
+  UNION ALL SELECT 'procedure_occurrence', procedure_occurrence_id FROM procedure_occurrence)
+SELECT table_name, count(*) FILTER (uses > 1) AS duplicate_ids
+FROM (SELECT table_name, id, count(*) AS uses FROM ids GROUP BY ALL) GROUP BY table_name""", *_EVENTS),
+    "dq_mandatory_nulls_damaged": O.with_ctes(_DAMAGED + " " + _union_sql([
+        f"SELECT '{t}' AS table_name, '{c}' AS column_name, count(*) - count({c}) AS n_null FROM {frame}"
+        for t, (frame, cols) in _MANDATORY_SQL.items() for c in cols.split()]), *_EVENTS),
     "preview_registry": O.with_ctes("SELECT * FROM reg ORDER BY record_id LIMIT 5", "reg"),
     "catalog_counts": O.with_ctes(_union_sql([
         f"SELECT 'global_temp' AS table_schema, '{t}' AS table_name, COUNT(*) AS row_count FROM {t}"

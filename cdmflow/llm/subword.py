@@ -29,7 +29,10 @@ _EDGE = re.compile(r"^[\W\d_]+|[\W\d_]+$")
 
 def clean(token: str) -> str:
     """The token without non-letters at its ends; empty if it has no letter."""
-    return token if token.isalpha() else _EDGE.sub("", token)
+    if token.isalpha():
+        return token
+    inner = _EDGE.sub("", token)
+    return inner if any(c.isalpha() for c in inner) else ""
 
 
 def batches(texts: Sequence[str | None]) -> Iterator[tuple[list[str], np.ndarray, np.ndarray]]:

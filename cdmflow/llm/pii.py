@@ -30,7 +30,7 @@ _EDGE, _END = r"(?<![0-9A-Za-z])", r"(?![0-9A-Za-z])"
 _SECRET = r"(?i:passwords?|passwd|pwd|secret|token|api_?key)[=:][^\s,;]+"
 _EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
 _ACCESS = r"(?:AKIA|ASIA)[0-9A-Z]{16}"
-_HEX = r"(?=[0-9a-f]*[a-f])(?=[0-9a-f]*[0-9])[0-9a-f]{32,64}"
+_HEX = r"(?=[0-9]*[a-f])(?=[a-f]*[0-9])[0-9a-f]{32,64}|(?=[0-9]*[A-F])(?=[A-F]*[0-9])[0-9A-F]{32,64}"
 _IBAN = r"[A-Z]{2}[0-9]{2}(?: ?[0-9]{4}){3,7}(?: ?[0-9]{1,3})?"
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])"
 _IP = rf"{_OCTET}(?:\.{_OCTET}){{3}}(?!\.[0-9])"
@@ -142,6 +142,12 @@ def _phone(key: str, value: Column) -> Column:
     return F.concat(code, _in_format(rest, permuted_digits(key, "phone", F.regexp_replace(rest, "[^0-9]", ""))))
 
 
+def _token(key: str, value: Column) -> Column:
+    """Both cases of one hexadecimal token get the same pseudonym, each in its own case."""
+    made = _digest(key, "hex", F.lower(value)).substr(F.lit(1), F.length(value))
+    return F.when(value == F.upper(value), F.upper(made)).otherwise(made)
+
+
 def pseudonym(value: Column, key: str) -> Column:
     """The pseudonym of one match of the pattern; the value itself if it does not validate."""
     digits = F.regexp_replace(value, "[^0-9]", "")
@@ -150,7 +156,7 @@ def pseudonym(value: Column, key: str) -> Column:
     return (F.when(_whole(_SECRET, value), F.concat(name, F.substring(_digest(key, "secret", value), 1, 18)))
             .when(_whole(_EMAIL, value), F.concat(F.lit("u"), F.substring(_digest(key, "email", F.lower(value)), 1, 12), F.lit("@mail.invalid")))
             .when(_whole(_ACCESS, value), F.concat(F.substring(value, 1, 4), F.upper(F.substring(_digest(key, "access", value), 1, 16))))
-            .when(_whole(_HEX, value), F.substring(F.concat(_digest(key, "hex", value)), 1, 64).substr(F.lit(1), F.length(value)))
+            .when(_whole(_HEX, value), _token(key, value))
             .when(_whole(_IP, value), _address(key, value))
             .when(_whole(_DATE, value), F.when(_date_of(value).between(F.to_date(F.lit(_FIRST_DAY)), F.to_date(F.lit("2099-12-31"))),
                                                _date(key, value)).otherwise(value))

@@ -4,9 +4,11 @@ A text is read in stretches of ``STRETCH`` words; each stretch is the average of
 softmax, and the text's score is that of its most toxic stretch, put on a probability scale by a logistic
 curve. One insult in a very long text therefore weighs as much as in a short one.
 
-Labels belong to whole texts, so training selects the stretches: every toxic text gives its most toxic
-stretch, every other text its ``HARD`` most toxic ones (they must all be clean). The first selection is by
-the log-odds of the words between the two classes, later ones by the model itself.
+Labels belong to whole texts, so training selects the stretches. Every toxic text gives the stretch whose words
+have the highest log-odds between the classes; the ``NOISE`` share of the toxic texts whose best stretch is
+least telling is left out as mislabelled. Every other text gives its ``HARD`` most toxic stretches (they must
+all be clean), first by the log-odds, then by the model itself; each round adds to those of the rounds
+before, so what was learnt to be clean stays clean.
 
 The classifier is fitted on the driver on a bounded sample: at most about ``max_per_class`` labelled texts
 of a class (chosen by a hash of the id, times ``CLEAN_SHARE`` for the clean class), none longer than
@@ -32,8 +34,10 @@ from pyspark.sql import types as T
 from cdmflow.llm import subword
 from cdmflow.llm.common import learnable
 
-STRETCH = 4
-HARD = 3
+STRETCH = 1
+HARD = 8
+NOISE = 0.1
+TOXIC_WEIGHT = 6.0
 CLEAN_SHARE = 2.5
 THRESHOLD = 0.3
 
@@ -72,7 +76,7 @@ def _folded(model: subword.Model):
     return lambda words: slim.word_logits(words)[:, 0]
 
 
-def fit(texts: list[str], labels: np.ndarray, *, rounds: int = 2, bits: int = 18,
+def fit(texts: list[str], labels: np.ndarray, *, rounds: int = 3, bits: int = 18,
         sizes: tuple[int, ...] = (3, 4, 5, 6)) -> subword.Model | None:
     """The trained model with its logistic curve; None without both classes."""
     split = [stretches([w for w in map(subword.clean, t.lower().split()) if w]) for t in texts]
@@ -87,15 +91,19 @@ def fit(texts: list[str], labels: np.ndarray, *, rounds: int = 2, bits: int = 18
     odds = {w: np.log((seen[1][w] + 0.5) / (size[1] + 1)) - np.log((seen[0][w] + 0.5) / (size[0] + 1))
             for w in seen[0] | seen[1]}
     value = [np.array([max(odds[w] for w in s) for s in t]) for t in split]
-    model = None
+    telling = [v.max() for v, y in zip(value, labels) if y]
+    least = np.sort(telling)[int(len(telling) * NOISE)]
+    bags = [t[int(v.argmax())] for t, v, y in zip(split, value, labels) if y and v.max() >= least]
+    toxic = len(bags)
+    taken = set()
     for _ in range(rounds):
-        bags, marks = [], []
         for t, v, y in zip(split, value, labels):
-            for j in np.argsort(-v, kind="stable")[:1 if y else HARD]:
-                bags.append(t[j])
-                marks.append(int(y))
-        marks = np.array(marks)
-        model = subword.train(bags, marks, [0, 1], bits=bits, sizes=sizes, weight=np.where(marks == 1, 2.0, 1.0))
+            for j in np.argsort(-v, kind="stable")[:0 if y else HARD]:
+                if tuple(t[j]) not in taken:
+                    taken.add(tuple(t[j]))
+                    bags.append(t[j])
+        marks = (np.arange(len(bags)) < toxic).astype(int)
+        model = subword.train(bags, marks, [0, 1], bits=bits, sizes=sizes, weight=np.where(marks == 1, TOXIC_WEIGHT, 1.0))
         value = _margins(model, split)
     best = np.array([v.max() for v in value])
     model.platt = subword.fit_platt(best, labels.astype(float))

@@ -218,6 +218,10 @@ def test_pii(spark, docs, empty):
     assert len(phones) == 2 and phones[0] == phones[1] and "+1 (" in new
     y, m, d = map(int, re.search(r"Born (\d{4})-(\d\d)-(\d\d)", new).groups())
     assert date(1900, 1, 1) <= date(y, m, d) <= date(2099, 12, 31)
+    token = "9233a8ecf7c5b09fe5949719b6b82bc439e9329b"
+    tokens = spark.createDataFrame([(1, f'TOKEN = "{token.upper()}"'), (2, f'token = "{token}"'), (3, "A" * 40)], "doc_id long, text string")
+    made = {r["doc_id"]: r["text"] for r in pii.pseudonymise(tokens, "k").collect()}
+    assert token not in made[2] and made[1] == made[2].upper() and made[3] == "A" * 40
     other = pii.pseudonymise(df, "another key").filter("doc_id = 1").first()["text"]
     assert other != new
     assert pii.pseudonymise(docs, "k").columns == docs.columns and pii.pseudonymise(empty, "k").count() == 0
@@ -300,6 +304,19 @@ def test_language_edge_cases(docs, empty):
     assert {r["lang_pred"] for r in langid.predict(docs, langid.trained(empty)).collect()} == {"und"}
 
 
+def test_words_without_a_letter():
+    assert [subword.clean(w) for w in ("½", "x²", "12²3", "«Wort»", "4.5", "a1b")] == ["", "x²", "", "Wort", "", "a1b"]
+
+
+def test_toxicity_of_a_few_mislabelled_texts():
+    clean = [f"green {w} meadow" for w in ("ab", "cd", "ef", "gh") for _ in range(30)]
+    texts = clean + ["green ab meadow moron"] * 27 + ["green ab meadow"] * 3
+    model = toxicity.fit(texts, np.array([0] * 120 + [1] * 30))
+    margin = toxicity.text_margins(["meadow ab", "what a moron"], lambda w: model.word_logits(w)[:, 1] - model.word_logits(w)[:, 0])
+    score = 1 / (1 + np.exp(-(model.platt[0] * margin + model.platt[1])))
+    assert score[0] < toxicity.THRESHOLD <= score[1]
+
+
 def test_toxicity_learns_words_and_their_misspellings():
     rng = np.random.default_rng(1)
     texts, marks = [], []

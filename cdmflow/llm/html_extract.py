@@ -3,18 +3,19 @@
 All pages of a host are merged into one tree: its nodes are the element paths (tag and class) under which
 blocks of text stand. A node's importance is the entropy of what the host's pages show there: contents
 spread evenly over the pages carry information (towards 1), the same content on every page does not
-(towards 0). Below ``LEAST_PAGES`` pages a node counts as important, since nothing can be said yet.
+(towards 0). Every branch of every page enters the tree, presentation and marked articles included. On a host
+of fewer than ``LEAST_PAGES`` pages, or for a node on fewer than ``LEAST_SHOWN``, nothing can be said yet.
 
 From each page go: branches that are presentation by their nature (menus, headers, footers, sidebars,
 notices, adverts, forms, comments, scripts, styles; by tag, role, class or id), and branches whose
-importance is below ``least``. Where a page marks its article (``article``, ``main``), only the branches
-inside stand for the page, and their importance is not lowered for being repeated: copies of an article on
-many pages of a host are still articles.
+importance is below ``least``. Where a page marks its article (``article``, ``main``), the branches inside stand
+for the page, whatever their importance (copies of an article on many pages of a host are still articles), and
+of the others those whose importance is known and reaches ``least``.
 
 On Spark: two parsing passes in ``mapInPandas`` around one aggregation. Contents enter the tree as 64-bit
 hashes; (host, path, content) counts are summed before the shuffle and again to (host, path), so a host
-with a third of all pages is no hot group, and no page text is shuffled for the tree. The branches to drop
-are joined to the pages by page; that table is broadcast only below ``BROADCAST`` rows.
+with a third of all pages is no hot group, and no page text is shuffled for the tree. The nodes are joined to
+the branches, and the branches to change to the pages by page; both are broadcast only up to ``BROADCAST`` rows.
 
 Defined cases: a null or empty page has an empty text; a null URL belongs to the host ''; broken markup
 (unclosed elements, stray ends) closes at the next block; repeated rows are extracted one by one; an empty
@@ -38,6 +39,7 @@ from pyspark.sql import types as T
 from cdmflow.llm.common import stage
 
 LEAST_PAGES = 8
+LEAST_SHOWN = 3
 BROADCAST = 100_000
 
 # Elements of HTML.
@@ -142,34 +144,39 @@ def blocks(page: str | None) -> list[tuple[str, str, bool, bool]]:
     return out
 
 
-def main_text(page: str | None, dropped: frozenset = frozenset()) -> str:
-    """The text of a page without presentation and without the branches ``dropped``."""
+def _marked(found: list) -> bool:
+    return any(article and not noise for _, _, noise, article in found)
+
+
+def main_text(page: str | None, changed: frozenset = frozenset()) -> str:
+    """The text of a page; ``changed`` has the branches where the tree decides against the page's own marking."""
     found = blocks(page)
-    if any(article and not noise for _, _, noise, article in found):
-        found = [b for b in found if b[3]]
-    return " ".join(text for path, text, noise, article in found if not noise and (article or path not in dropped))
+    marked = _marked(found)
+    return " ".join(text for path, text, noise, article in found
+                    if not noise and (marked and not article) == (path in changed))
 
 
 def tree_rows(pages: DataFrame, html_col: str, url_col: str) -> DataFrame:
-    """(page, host, path, content) of every undecided branch of every page; ``content`` hashes its texts."""
-    schema = "page long, host string, path string, content long"
+    """(page, host, path, content, open) of every branch of every page, and one row with a null path per page;
+    ``content`` hashes the branch's texts; ``open`` is what importance may change: 'drop', 'keep' or null."""
+    schema = "page long, host string, path string, content long, open string"
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             rows = []
             for key, url, page in zip(pdf["page"], pdf["url"], pdf["html"]):
                 found = blocks(page if isinstance(page, str) else None)
-                if any(article and not noise for _, _, noise, article in found):
-                    continue  # the article is marked: nothing to decide by the tree
-                seen: dict[str, list[str]] = {}
-                for path, text, noise, _ in found:
-                    if not noise:
-                        seen.setdefault(path, []).append(text)
+                marked = _marked(found)
+                seen: dict[tuple, list[str]] = {}
+                for path, text, noise, article in found:
+                    way = None if noise or marked and article else "keep" if marked else "drop"
+                    seen.setdefault((path, way), []).append(text)
                 host = host_of(url if isinstance(url, str) else None)
-                for path, texts in seen.items():
+                rows.append((key, host, None, 0, None))
+                for (path, way), texts in seen.items():
                     value = xxhash.xxh64_intdigest("\n".join(texts).encode("utf-8", "replace"))
-                    rows.append((key, host, path, np.uint64(value).astype(np.int64)))
-            yield pd.DataFrame(rows, columns=["page", "host", "path", "content"])
+                    rows.append((key, host, path, np.uint64(value).astype(np.int64), way))
+            yield pd.DataFrame(rows, columns=["page", "host", "path", "content", "open"])
 
     return pages.select(_page_key(html_col, url_col), F.col(url_col).cast("string").alias("url"),
                         F.col(html_col).cast("string").alias("html")).mapInPandas(run, schema)
@@ -180,23 +187,36 @@ def _page_key(html_col: str, url_col: str):
 
 
 def importance(rows: DataFrame) -> DataFrame:
-    """(host, path, pages, importance): the entropy of a node's contents over the host's pages, scaled to 1."""
+    """(host, path, pages, importance): the entropy of a node's contents over the host's pages, scaled to 1; null
+    while nothing can be said."""
     counts = rows.groupBy("host", "path", "content").agg(F.count(F.lit(1)).cast("double").alias("c"))
     node = counts.groupBy("host", "path").agg(F.sum("c").alias("pages"), F.sum(F.col("c") * F.log("c")).alias("s"))
     entropy = (F.log("pages") - F.col("s") / F.col("pages")) / F.log("pages")
-    return node.select("host", "path", "pages", F.when(F.col("pages") >= LEAST_PAGES, entropy).otherwise(1.0).alias("importance"))
+    hosts = node.filter(F.col("path").isNull()).select("host", F.col("pages").alias("_host_pages"))
+    known = (F.col("_host_pages") >= LEAST_PAGES) & (F.col("pages") >= LEAST_SHOWN)
+    return (node.filter(F.col("path").isNotNull()).join(hosts, "host")
+            .select("host", "path", "pages", F.when(known, entropy).alias("importance")))
+
+
+def changes(rows: DataFrame, least: float) -> DataFrame:
+    """(page, _change: the branches where the tree decides against the page's own marking)."""
+    nodes = stage(importance(rows).filter(F.col("importance").isNotNull())
+                  .select("host", "path", (F.col("importance") < least).alias("_poor")), "style-nodes")
+    nodes = F.broadcast(nodes) if nodes.count() <= BROADCAST else nodes
+    against = ((F.col("open") == "drop") & F.col("_poor")) | ((F.col("open") == "keep") & ~F.col("_poor"))
+    return (rows.filter(F.col("open").isNotNull()).join(nodes, ["host", "path"]).filter(against)
+            .groupBy("page").agg(F.collect_set("path").alias("_change")))
 
 
 def extract(pages: DataFrame, *, id_col: str = "page_id", html_col: str = "html", url_col: str = "url",
             least: float = 0.2) -> DataFrame:
     """(id, url, text) of every page."""
     rows = stage(tree_rows(pages, html_col, url_col), "style-tree")
-    poor = importance(rows).filter(F.col("importance") < least).select("host", "path")
-    dropped = stage(rows.join(poor, ["host", "path"]).groupBy("page").agg(F.collect_set("path").alias("_drop")), "dropped")
+    changed = stage(changes(rows, least), "changed")
     key = _page_key(html_col, url_col)
     taken = pages.select(F.col(id_col).alias(id_col), F.col(url_col).cast("string").alias("url"),
                          F.col(html_col).cast("string").alias("_html"), key)
-    side = F.broadcast(dropped) if dropped.count() <= BROADCAST else dropped
+    side = F.broadcast(changed) if changed.count() <= BROADCAST else changed
     joined = taken.join(side, "page", "left").drop("page")
     schema = T.StructType([T.StructField(id_col, pages.schema[id_col].dataType), T.StructField("url", T.StringType()),
                            T.StructField("text", T.StringType())])
@@ -204,7 +224,7 @@ def extract(pages: DataFrame, *, id_col: str = "page_id", html_col: str = "html"
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             texts = [main_text(p if isinstance(p, str) else None, frozenset(d) if isinstance(d, (list, np.ndarray)) else frozenset())
-                     for p, d in zip(pdf["_html"], pdf["_drop"])]
-            yield pdf.drop(columns=["_html", "_drop"]).assign(text=texts)
+                     for p, d in zip(pdf["_html"], pdf["_change"])]
+            yield pdf.drop(columns=["_html", "_change"]).assign(text=texts)
 
     return joined.mapInPandas(run, schema)

@@ -282,6 +282,20 @@ def test_html(spark):
     assert html_extract.extract(df.limit(0)).count() == 0
 
 
+def test_html_tree_over_marked_and_unmarked_pages(spark):
+    bar = "<div class=x><p>Our best offers</p></div>"
+    pages = [(k, f"http://h.com/{k}", f"<body>{bar}<div class=lead><p>lead {k}</p></div><article><p>same</p></article><nav>n{k}</nav></body>")
+             for k in range(12)]
+    pages += [(k, f"http://h.com/{k}", f"<body>{bar}<div class=y><p>story {k}</p></div></body>") for k in range(20, 24)]
+    pages += [(30, "http://few.com/", "<body><div class=lead>lead</div><article>text</article></body>")]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    nodes = {r["path"]: (r["pages"], r["importance"]) for r in html_extract.importance(
+        html_extract.tree_rows(df, "html", "url")).filter("host = 'h.com'").collect()}
+    assert nodes["/body/div.x/p"] == (16.0, 0.0) and nodes["/body/article/p"] == (12.0, 0.0) and nodes["/body/nav"][0] == 12.0
+    got = {r["page_id"]: r["text"] for r in html_extract.extract(df).collect()}
+    assert got[5] == "lead 5 same" and got[22] == "story 22" and got[30] == "text"
+
+
 def test_html_against_the_marked_articles(spark):
     import html
     got = {r["page_id"]: r["text"] for r in queries.op4_html(spark, SF).collect()}

@@ -58,7 +58,8 @@ NOISE = set("ad ads advert adverts advertisement advertising banner banners spon
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)"
-    r"|<(?P<raw>script|style|noscript|template|textarea|svg|math|iframe|object|select|title|canvas|audio|video)\b"
+    r"|<(?:svg|math)(?=[\s/])(?:[^>\"']|\"[^\"]*\"|'[^']*')*/>"
+    r"|<(?P<raw>script|style|noscript|template|textarea|svg|math|iframe|object|select|title|canvas|audio|video)(?=[\s/>])"
     r"(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=raw)\s*>|$)"
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S | re.I)
 _ATTR = re.compile(r"(class|id|role|style|aria-hidden|hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+)))?", re.I)

@@ -282,6 +282,13 @@ def test_html(spark):
     assert html_extract.extract(df.limit(0)).count() == 0
 
 
+def test_html_text_after_raw_elements_stays():
+    for page in ('<p>a</p><video-player src="x"></video-player><p>rest</p>', '<p>a <svg class="i"/></p><p>rest</p>',
+                 '<p>a</p><math/><p>rest</p>', "<p>a</p><svg-icon></svg-icon><select-box/><title-bar></title-bar><p>rest</p>",
+                 '<p>a</p><svg viewBox="0 0 1 1"><path d="x"/><text>no</text></svg><video src="x">no</video><p>rest</p>'):
+        assert html_extract.main_text(page) == "a rest", page
+
+
 def test_html_tree_over_marked_and_unmarked_pages(spark):
     bar = "<div class=x><p>Our best offers</p></div>"
     pages = [(k, f"http://h.com/{k}", f"<body>{bar}<div class=lead><p>lead {k}</p></div><article><p>same</p></article><nav>n{k}</nav></body>")

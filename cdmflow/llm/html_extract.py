@@ -10,7 +10,8 @@ From each page go: branches that are presentation by their nature (menus, header
 notices, adverts, forms, comments, scripts, styles; by tag, role, class or id), and branches whose
 importance is below ``least``. Where a page marks its article (``article``, ``main``), the branches inside stand
 for the page, whatever their importance (copies of an article on many pages of a host are still articles), and
-of the others those whose importance is known and reaches ``least``.
+of the others those whose importance is known and reaches ``least``. Class words count as whole words or known
+prefixes; other words that hold one (``entry-comments``) leave their branch inside an article to its importance.
 
 On Spark: two parsing passes in ``mapInPandas`` around one aggregation. Contents enter the tree as 64-bit
 hashes; (host, path, content) counts are summed before the shuffle and again to (host, path), so a host
@@ -49,12 +50,19 @@ INLINE = set("a abbr acronym b bdi bdo big cite code data del dfn em font i ins
 UNSEEN = set("script style noscript template textarea svg math iframe object select title head canvas audio video".split())
 BOILERPLATE = set("nav header footer aside form menu dialog button".split())
 ARTICLE = {"article", "main"}
-# Words of class, id and role that mark presentation.
+# Whole words of class, id and role that mark presentation.
 NOISE = set("ad ads advert adverts advertisement advertising banner banners sponsor sponsored promo promotion menu nav "
             "navbar navigation breadcrumb breadcrumbs sidebar side widget widgets related recommended share sharing social "
             "cookie cookies consent notice notices popup modal overlay newsletter subscribe subscription signup login "
             "header masthead footer toolbar pagination pager comment comments respond replies disqus contentinfo "
             "complementary search".split())
+# Of these, the ones that mark it as the first part of a word too (``ad-slot``), unless a part of
+# STATE makes the word a condition of the page (``comments-open``, ``side-by-side``).
+PREFIXES = set("ad ads advert adverts advertisement advertising banner banners sponsor sponsored menu nav navbar navigation "
+               "breadcrumb breadcrumbs sidebar widget widgets share sharing social cookie cookies consent popup modal overlay "
+               "newsletter subscribe subscription masthead footer toolbar pagination pager comment comments respond replies "
+               "disqus related recommended".split())
+STATE = set("has no not with without by is on off open opened closed close enabled disabled hidden less free none".split())
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)"
@@ -63,7 +71,7 @@ _TOKEN = re.compile(
     r"(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=raw)\s*>|$)"
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S | re.I)
 _ATTR = re.compile(r"(class|id|role|style|aria-hidden|hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+)))?", re.I)
-_WORD = re.compile(r"[a-z]+")
+_PART = re.compile(r"[^a-z]+")
 
 
 def host_of(url: str | None) -> str:
@@ -71,44 +79,74 @@ def host_of(url: str | None) -> str:
     return re.split(r"[/?#]", rest, maxsplit=1)[0].lower() if found else ""
 
 
-def _described(tag: str, attrs: str) -> tuple[str, bool]:
-    """(path step, is presentation) of an element."""
-    step, noise = tag, tag in BOILERPLATE
+def _word_says(word: str, in_article: bool) -> str | None:
+    """'noise', 'doubt' or None of one whole word of a class or id."""
+    if word in NOISE:
+        return None if word == "header" and in_article else "noise"
+    parts = [x for x in _PART.split(word) if x]
+    if len(parts) > 1 and parts[0] in PREFIXES and STATE.isdisjoint(parts):
+        return "noise"
+    found = NOISE.intersection(parts)
+    return "doubt" if found and not (in_article and found == {"header"}) else None
+
+
+def _described(tag: str, attrs: str, in_article: bool = False) -> tuple[str, bool, set]:
+    """(path step, is presentation by tag, role or style, what its class and id say) of an element."""
+    step, noise, says = tag, tag in BOILERPLATE, set()
     if attrs and not attrs.isspace():
         for name, a, b, c in _ATTR.findall(attrs):
             name, value = name.lower(), (a or b or c).lower()
-            if name in ("class", "id", "role"):
-                noise |= not NOISE.isdisjoint(_WORD.findall(value))
-                if name != "role":
-                    step += "." + value.strip()
+            if name == "role":
+                noise |= not NOISE.isdisjoint(value.split())
+            elif name in ("class", "id"):
+                says.update(_word_says(w, in_article) for w in value.split())
+                step += "." + value.strip()
             elif name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and "display:none" in value.replace(" ", ""):
                 noise = True
-    return step, noise
+    return step, noise, says
 
 
-def blocks(page: str | None) -> list[tuple[str, str, bool, bool]]:
-    """(path, text, presentation, in an article) of the blocks of a page in order; no empty texts."""
-    out: list[tuple[str, str, bool, bool]] = []
-    stack: list[tuple[str, str, bool, bool]] = []  # tag, path, presentation, in an article
+def blocks(page: str | None) -> list[tuple[str, str, bool, bool | None]]:
+    """(path, text, presentation, in an article; None if in a doubtful branch of one) of the blocks of a page in
+    order; no empty texts.
+
+    Class words never condemn the page's article, nor a branch that holds it: branches condemned by class words
+    are taken back if they hold an article and no article stands outside them."""
+    out: list[tuple[str, str, bool, bool | None, tuple]] = []
+    stack: list[tuple[str, str, bool, bool | None, tuple]] = []  # tag, path, presentation, in an article, condemned by class
+    root = ("", "", False, False, ())
     parts: list[str] = []
+    holders: set[int] = set()  # elements condemned by class words that hold an article
+    number, free = 0, False
 
     def flush():
         if parts:
             text = " ".join(html.unescape("".join(parts)).split())
             parts.clear()
             if text:
-                _, path, noise, article = stack[-1] if stack else ("", "", False, False)
-                out.append((path, text, noise, article))
+                _, path, noise, article, words = stack[-1] if stack else root
+                out.append((path, text, noise, article, words))
 
     def open_element(tag, attrs):
-        _, path, noise, article = stack[-1] if stack else ("", "", False, False)
-        if tag in ("header", "footer") and article and tag == "header":
-            step, own = _described("div", attrs)  # the heading of an article belongs to it
-        else:
-            step, own = _described(tag, attrs)
+        nonlocal number, free
+        _, path, noise, article, words = stack[-1] if stack else root
+        inside = article is not False
+        # the heading of an article belongs to it
+        step, own, says = _described("div" if tag == "header" and inside else tag, attrs, inside)
         if tag == "body":
-            own = False
-        stack.append((tag, f"{path}/{step}", noise or own, article or tag in ARTICLE))
+            own, says = False, set()
+        elif tag in ARTICLE and not inside:
+            says = set()
+            if not noise and not own:
+                holders.update(words)
+                free |= not words
+            article = True
+        if "noise" in says:
+            number += 1
+            words = (*words, number)
+        elif "doubt" in says and inside:
+            article = None
+        stack.append((tag, f"{path}/{step}", noise or own, article, words))
 
     at, text = 0, page or ""
     for m in _TOKEN.finditer(text):
@@ -133,7 +171,7 @@ def blocks(page: str | None) -> list[tuple[str, str, bool, bool]]:
             while stack and stack[-1][0] in ("p", "h1", "h2", "h3", "h4", "h5", "h6") or stack and stack[-1][0] == tag and tag in ("li", "td", "th", "tr", "dt", "dd", "option"):
                 stack.pop()
             if tag == "head":
-                stack.append((tag, "/head", True, False))
+                stack.append((tag, "/head", True, False, ()))
             elif tag == "body":
                 stack.clear()
                 open_element(tag, m["attrs"])
@@ -142,11 +180,12 @@ def blocks(page: str | None) -> list[tuple[str, str, bool, bool]]:
     if at < len(text):
         parts.append(text[at:])
     flush()
-    return out
+    taken_back = set() if free else holders
+    return [(path, text, noise or not taken_back.issuperset(words), article) for path, text, noise, article, words in out]
 
 
 def _marked(found: list) -> bool:
-    return any(article and not noise for _, _, noise, article in found)
+    return any(article is not False and not noise for _, _, noise, article in found)
 
 
 def main_text(page: str | None, changed: frozenset = frozenset()) -> str:
@@ -154,7 +193,7 @@ def main_text(page: str | None, changed: frozenset = frozenset()) -> str:
     found = blocks(page)
     marked = _marked(found)
     return " ".join(text for path, text, noise, article in found
-                    if not noise and (marked and not article) == (path in changed))
+                    if not noise and (marked and article is False) == (path in changed))
 
 
 def tree_rows(pages: DataFrame, html_col: str, url_col: str) -> DataFrame:
@@ -170,7 +209,7 @@ def tree_rows(pages: DataFrame, html_col: str, url_col: str) -> DataFrame:
                 marked = _marked(found)
                 seen: dict[tuple, list[str]] = {}
                 for path, text, noise, article in found:
-                    way = None if noise or marked and article else "keep" if marked else "drop"
+                    way = None if noise or marked and article else "keep" if marked and article is False else "drop"
                     seen.setdefault((path, way), []).append(text)
                 host = host_of(url if isinstance(url, str) else None)
                 rows.append((key, host, None, 0, None))

@@ -289,6 +289,20 @@ def test_html_text_after_raw_elements_stays():
         assert html_extract.main_text(page) == "a rest", page
 
 
+def test_html_class_words_do_not_condemn_the_article(spark):
+    inner = "<header class='entry-header'><h1>T</h1></header><p>one</p><div class='comments'>c</div><div class='ad-slot'>a</div>"
+    for page in (f'<main class="has-sidebar">{inner}</main>', f'<div id="page" class="no-header"><article>{inner}</article></div>',
+                 f'<article class="post comments-open">{inner}</article>', f'<div class="side-by-side"><article>{inner}</article></div>',
+                 f'<div class="search"><main class="widget"><article>{inner}</article></main></div>',
+                 f'<article>{inner}</article><div class="related"><article>other</article></div>',
+                 "<div class='has-sidebar'><h1>T</h1><p>one</p></div><div class='sidebar-left'>s</div>"):
+        assert html_extract.main_text(page) == "T one", page
+    assert html_extract.main_text('<article><header class="header">T</header>x</article>') == "T x"
+    pages = [(k, "http://h.com/", f"<article><p>story {k}</p><div class='entry-share'>Tell your friends</div></article>") for k in range(9)]
+    got = html_extract.extract(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()
+    assert {r["page_id"]: r["text"] for r in got} == {k: f"story {k}" for k in range(9)}
+
+
 def test_html_tree_over_marked_and_unmarked_pages(spark):
     bar = "<div class=x><p>Our best offers</p></div>"
     pages = [(k, f"http://h.com/{k}", f"<body>{bar}<div class=lead><p>lead {k}</p></div><article><p>same</p></article><nav>n{k}</nav></body>")

@@ -1,16 +1,17 @@
 r"""Personal data replaced by format-preserving pseudonyms, in DataFrame operations only.
 
 Found and validated: e-mail addresses, IPv4 addresses (octets to 255), calendar dates (``1999-12-31``,
-``31/12/1999``, ``31.12.1999``; impossible dates are no dates), card numbers of 13 to 19 digits (Luhn), other
-numbers of that length, IBAN, social security and telephone numbers, access keys, long hexadecimal tokens and
-``password=`` values.
+``31/12/1999``, ``12/31/1999``, ``31.12.1999``, with or without leading zeros; impossible dates are no dates), card
+numbers of 13 to 19 digits (Luhn), IBAN (length by country, mod 97) and social security numbers (no part zero).
+By their notation alone, as they have no check digits: telephone numbers, access keys, long hexadecimal tokens and
+``password=`` or ``password: `` values. What does not validate stays as it is.
 
 Numbers pass a keyed Feistel network over their own digits: two halves of the digit string, ``ROUNDS`` rounds
 that add SHA-256(key, class, length, round, other half) to one half modulo its power of ten. This permutes
 the numbers of one class and length, so equal values get equal pseudonyms in every document, and different
 values different ones. Separators stay in place. Cards permute all digits but the last, which becomes the
-new Luhn digit; addresses permute their 32 bits; dates their day number within 1900-2099, walking the cycle
-until it falls in the range. Letters (e-mail names, keys, tokens) are replaced by keyed digests of the value.
+new Luhn digit; IBAN the digits of the account, with new check digits; addresses permute their 32 bits; dates their
+day number within 1900-2099 (or another such 200 years), walking the cycle until it falls in the range. Letters (e-mail names, keys, tokens) are replaced by keyed digests of the value.
 
 A text is split at the matches and put together again with their pseudonyms, row by row: no shuffle, so no
 skew. Without the key the pseudonyms cannot be computed; it is a parameter and never stored.
@@ -27,21 +28,35 @@ from pyspark.sql import functions as F
 
 ROUNDS = 10
 _EDGE, _END = r"(?<![0-9A-Za-z])", r"(?![0-9A-Za-z])"
-_SECRET = r"(?i:passwords?|passwd|pwd|secret|token|api_?key)[=:][^\s,;]+"
 _EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
 _ACCESS = r"(?:AKIA|ASIA)[0-9A-Z]{16}"
 _HEX = r"(?=[0-9]*[a-f])(?=[a-f]*[0-9])[0-9a-f]{32,64}|(?=[0-9]*[A-F])(?=[A-F]*[0-9])[0-9A-F]{32,64}"
-_IBAN = r"[A-Z]{2}[0-9]{2}(?: ?[0-9]{4}){3,7}(?: ?[0-9]{1,3})?"
+# IBAN length by country; a country not listed is read when written without spaces.
+_IBAN_SIZES = {
+    15: "NO", 16: "BE", 18: "DK FI FO GL NL", 19: "MK SI", 20: "AT BA EE KZ LT LU XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+    26: "IS TR", 27: "FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU",
+    31: "MT SC", 32: "LC"}
+_IBAN = "(?=[A-Z]{2}[0-9]{2})(?:" + "|".join(
+    f"(?:{names.replace(' ', '|')})[0-9]{{2}}(?: ?[0-9A-Z]{{4}}){{{(n - 4) // 4}}}" + (f"(?: ?[0-9A-Z]{{{n % 4}}})" if n % 4 else "")
+    for n, names in _IBAN_SIZES.items()) + f"|(?!{'|'.join(' '.join(_IBAN_SIZES.values()).split())})[A-Z]{{2}}[0-9]{{2}}[0-9A-Z]{{11,30}})"
+_VALUE = rf"(?![\"']?(?:{_HEX}){_END})[^\s,;]+"
+_SPACED = r"(?:[ \t]+[=:][ \t]*|[=:][ \t]+)"
+_SECRET = (r"(?:(?i:passwords?|passwd|pwd|secret|token|api_?key)[=:][^\s,;]+"
+           rf"|(?i:password|passwd|pwd|api_?key){_SPACED}{_VALUE}"
+           rf"|(?i:passwords|secret|token){_SPACED}(?=[^\s,;]*[0-9]){_VALUE})")  # the words stand in prose too
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])"
 _IP = rf"{_OCTET}(?:\.{_OCTET}){{3}}(?!\.[0-9])"
-_DATE = r"[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4}"
+_DATE = r"[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}|[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}|[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4}"
 _PHONE = r"(?:\+[0-9]{1,3}[ .-]?)?\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}|(?:\+[0-9]{1,3}[ .-])?[0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4}|\+[0-9]{8,15}"
-_SSN = r"[0-9]{3}-[0-9]{2}-[0-9]{4}"
-_NUMBER = r"[0-9](?:[ -]?[0-9]){12,18}"
+_SSN = r"(?!000|666)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}"
+# bare, 4-6-4 or 4-6-5, or groups of four with a shorter last one
+_SHORT = r"[ -][0-9]{1,3}(?![ -]?[0-9])"
+_NUMBER = (rf"[0-9]{{13,19}}|[0-9]{{4}}[ -][0-9]{{6}}[ -][0-9]{{4,5}}"
+           rf"|[0-9]{{4}}(?:(?:[ -][0-9]{{4}}){{3,}}(?:{_SHORT})?|(?:[ -][0-9]{{4}}){{2}}{_SHORT})")
 _ALL = (rf"{_EDGE}(?:{_SECRET}|{_EMAIL}|(?:{_ACCESS}|{_HEX}|{_IBAN}|{_IP}|{_DATE}|{_SSN}|{_NUMBER}){_END})"
         rf"|(?<![0-9A-Za-z+])(?:{_PHONE}){_END}")
 _MAYBE = "[0-9@=:]"
-_FIRST_DAY, _DAYS = "1900-01-01", 73049
 
 
 def _mix(key: str, kind: str, n: Column, i: Column, half: Column) -> Column:
@@ -104,6 +119,51 @@ def _card(key: str, digits: Column) -> Column:
     return _let(body, lambda b: F.concat(b, F.pmod(10 - _luhn_sum(b, 0) % 10, F.lit(10)).cast("string")))
 
 
+def _cards(key: str, value: Column) -> Column:
+    """Every card number in a run of digit groups becomes its pseudonym: from the left, four groups with a short
+    fifth, or four, whose digits pass Luhn; a bare number or three groups only as a whole. Other digits stay."""
+    digits = lambda w: F.regexp_replace(w, "[^0-9]", "")
+    valid = lambda w: F.length(digits(w)).between(13, 19) & luhn_valid(digits(w)) & ~w.rlike("^(?:(?:19|20)[0-9]{2}[ -]?)+$")
+    made = lambda w: _in_format(w, _card(key, digits(w)))
+
+    def walk(groups):
+        def add(acc, i):
+            five, four = (F.array_join(F.slice(groups, i, n), "") for n in (5, 4))
+            whole = lambda n: i + n - 1 <= F.size(groups)
+            took = F.when(i < acc["next"], 0).when(whole(5) & valid(five), 5).when(whole(4) & valid(four), 4).otherwise(1)
+            return _let(took, lambda n: F.struct(
+                F.concat(acc["out"], F.when(n == 0, F.lit("")).when(n == 5, made(five)).when(n == 4, made(four))
+                         .otherwise(F.element_at(groups, i))).alias("out"),
+                F.when(n == 0, acc["next"]).otherwise(i + n).alias("next")))
+        return F.aggregate(F.sequence(F.lit(1), F.size(groups)), F.struct(F.lit("").alias("out"), F.lit(1).alias("next")), add,
+                           lambda acc: acc["out"])
+
+    run = F.regexp_extract_all(value, F.lit("[0-9]+[ -]?"), F.lit(0))
+    return F.when(F.size(run) > 3, _let(run, walk)).when(valid(value), made(value)).otherwise(value)
+
+
+def _mod97(text: Column) -> Column:
+    """The remainder of an IBAN's letters and digits, country and check digits last."""
+    def add(acc, c):
+        digit = c.rlike("^[0-9]$")
+        return F.when(digit, (acc * 10 + F.ascii(c) - 48) % 97).otherwise((acc * 100 + F.ascii(c) - 55) % 97)
+    return F.aggregate(F.split(text, ""), F.lit(0), add)
+
+
+def iban_valid(value: Column) -> Column:
+    plain = F.replace(value, F.lit(" "))
+    return _mod97(F.concat(F.substr(plain, F.lit(5)), F.substring(plain, 1, 4))) == 1
+
+
+def _iban(key: str, value: Column) -> Column:
+    """Country and bank letters stay, the digits of the account are permuted, the check digits follow."""
+    rest = F.substr(value, F.lit(5))
+    digits = F.regexp_replace(rest, "[^0-9]", "")
+    made = F.when(F.length(digits) > 1, _in_format(rest, permuted_digits(key, "iban", digits))).otherwise(rest)
+    check = lambda b: F.lpad((98 - _mod97(F.concat(F.replace(b, F.lit(" ")), F.substring(value, 1, 2), F.lit("00")))).cast("string"), 2, "0")
+    return _let(made, lambda b: F.concat(F.substring(value, 1, 2), check(b), b))
+
+
 def _address(key: str, value: Column) -> Column:
     return _let(F.transform(F.split(value, r"\."), lambda o: o.cast("long")), lambda o: _let(
         _feistel(key, "ip", F.lit(4), o[0] * 256 + o[1], o[2] * 256 + o[3], F.lit(65536).cast("long"), F.lit(65536).cast("long")),
@@ -112,19 +172,40 @@ def _address(key: str, value: Column) -> Column:
 
 
 def _date_of(value: Column) -> Column:
-    pattern = F.when(value.contains("-"), F.lit("yyyy-MM-dd")).when(value.contains("/"), F.lit("dd/MM/yyyy")).otherwise(F.lit("dd.MM.yyyy"))
-    return F.to_date(F.try_to_timestamp(value, pattern))
+    """struct(d, p): the calendar date and its notation; with slashes the day comes first unless it cannot."""
+    padded = value.rlike("^[0-9]{2}[/.][0-9]{2}[/.]|^[0-9]{4}-[0-9]{2}-[0-9]{2}$")
+    read = lambda loose, full: _let(F.to_date(F.try_to_timestamp(value, F.lit(loose))), lambda d: F.when(
+        d.isNotNull(), F.struct(d.alias("d"), F.when(padded, F.lit(full)).otherwise(F.lit(loose)).alias("p"))))
+    return (F.when(value.contains("-"), read("yyyy-M-d", "yyyy-MM-dd")).when(value.contains("."), read("d.M.yyyy", "dd.MM.yyyy"))
+            .otherwise(F.coalesce(read("d/M/yyyy", "dd/MM/yyyy"), read("M/d/yyyy", "MM/dd/yyyy"))))
+
+
+def _notation(date: Column) -> Column:
+    patterns = ["yyyy-MM-dd", "yyyy-M-d", "dd.MM.yyyy", "d.M.yyyy", "dd/MM/yyyy", "d/M/yyyy", "MM/dd/yyyy"]
+    out = F.date_format(date["d"], "M/d/yyyy")
+    for p in patterns:
+        out = F.when(date["p"] == p, F.date_format(date["d"], p)).otherwise(out)
+    return out
 
 
 def _date(key: str, value: Column) -> Column:
-    """A date of 1900-2099 in the same notation; other dates are left to ``permuted_digits``."""
-    pattern = lambda d: (F.when(value.contains("-"), F.date_format(d, "yyyy-MM-dd"))
-                         .when(value.contains("/"), F.date_format(d, "dd/MM/yyyy")).otherwise(F.date_format(d, "dd.MM.yyyy")))
+    """A date of the same 200 years (1900-2099, 1700-1899, ...) in the same notation; no calendar date: the value."""
     step = lambda x: _let(_feistel(key, "date", F.lit(5), F.floor(x / 1000), x % 1000, F.lit(100).cast("long"), F.lit(1000).cast("long")),
                           lambda p: p["l"] * 1000 + p["r"])
-    day = F.datediff(_date_of(value), F.to_date(F.lit(_FIRST_DAY))).cast("long")
-    walked = F.aggregate(F.sequence(F.lit(1), F.lit(40)), step(day), lambda x, i: F.when(x < _DAYS, x).otherwise(step(x)))
-    return _let(walked, lambda x: pattern(F.date_add(F.to_date(F.lit(_FIRST_DAY)), F.pmod(x, F.lit(_DAYS)).cast("int"))))
+
+    def moved(date, first, days):
+        day = F.datediff(date["d"], first).cast("long")
+        walked = F.aggregate(F.sequence(F.lit(1), F.lit(40)), step(day), lambda x, i: F.when(x < days, x).otherwise(step(x)))
+        return _notation(F.struct(F.date_add(first, F.pmod(walked, days).cast("int")).alias("d"), date["p"].alias("p")))
+
+    def within(date):
+        start = (F.floor((F.year(date["d"]) - 100) / 200) * 200 + 100).cast("int")
+        first = F.make_date(F.greatest(start, F.lit(1)), F.lit(1), F.lit(1))
+        last = F.make_date(F.least(start + 199, F.lit(9999)), F.lit(12), F.lit(31))
+        return _let(F.struct(first.alias("first"), (F.datediff(last, first) + 1).cast("long").alias("days")),
+                    lambda b: moved(date, b["first"], b["days"]))
+
+    return _let(_date_of(value), lambda d: F.when(d.isNull(), value).otherwise(within(d)))
 
 
 def _digest(key: str, kind: str, value: Column) -> Column:
@@ -152,18 +233,16 @@ def pseudonym(value: Column, key: str) -> Column:
     """The pseudonym of one match of the pattern; the value itself if it does not validate."""
     digits = F.regexp_replace(value, "[^0-9]", "")
     permuted = lambda kind: _in_format(value, permuted_digits(key, kind, digits))
-    name = F.regexp_extract(value, "^([^=:]*[=:])", 1)
+    name = F.regexp_extract(value, "^([^=:]*[=:][ \t]*)", 1)
     return (F.when(_whole(_SECRET, value), F.concat(name, F.substring(_digest(key, "secret", value), 1, 18)))
             .when(_whole(_EMAIL, value), F.concat(F.lit("u"), F.substring(_digest(key, "email", F.lower(value)), 1, 12), F.lit("@mail.invalid")))
             .when(_whole(_ACCESS, value), F.concat(F.substring(value, 1, 4), F.upper(F.substring(_digest(key, "access", value), 1, 16))))
             .when(_whole(_HEX, value), _token(key, value))
             .when(_whole(_IP, value), _address(key, value))
-            .when(_whole(_DATE, value), F.when(_date_of(value).between(F.to_date(F.lit(_FIRST_DAY)), F.to_date(F.lit("2099-12-31"))),
-                                               _date(key, value)).otherwise(value))
-            .when(_whole(_IBAN, value), permuted("iban"))
+            .when(_whole(_DATE, value), _date(key, value))
+            .when(_whole(_IBAN, value), F.when(iban_valid(value), _iban(key, value)).otherwise(value))
             .when(_whole(_SSN, value), permuted("ssn"))
-            .when(_whole(_NUMBER, value) & luhn_valid(digits), _in_format(value, _card(key, digits)))
-            .when(_whole(_NUMBER, value), permuted("number"))
+            .when(_whole(_NUMBER, value), _cards(key, value))
             .otherwise(_phone(key, value)))
 
 
@@ -175,10 +254,12 @@ def pseudonymise(df: DataFrame, key: str, *, text_col: str = "text", count_col:
     some = text.rlike(_MAYBE)
     matches = F.when(some, F.regexp_extract_all(text, F.lit(_ALL), F.lit(0))).otherwise(F.array().cast("array<string>"))
     marked = df.withColumn("_matches", matches)
+    marked = marked.withColumn("_renamed", F.transform("_matches", lambda m: pseudonym(m, key)))
     between = F.split(text, _ALL, -1)
-    renamed = F.concat(F.transform("_matches", lambda m: pseudonym(m, key)), F.array(F.lit("")))
+    renamed = F.concat("_renamed", F.array(F.lit("")))
     joined = F.array_join(F.zip_with(between, renamed, lambda a, b: F.concat(a, b)), "")
     out = marked.withColumn(text_col, F.when(F.size("_matches") > 0, joined).otherwise(text))
     if count_col:
-        out = out.withColumn(count_col, F.coalesce(F.size("_matches"), F.lit(0)))
-    return out.drop("_matches")
+        changed = F.filter(F.zip_with("_matches", "_renamed", lambda a, b: a != b), lambda x: x)
+        out = out.withColumn(count_col, F.coalesce(F.size(changed), F.lit(0)))
+    return out.drop("_matches", "_renamed")

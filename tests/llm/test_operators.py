@@ -227,6 +227,37 @@ def test_pii(spark, docs, empty):
     assert pii.pseudonymise(docs, "k").columns == docs.columns and pii.pseudonymise(empty, "k").count() == 0
 
 
+def test_pii_leaves_what_does_not_validate(spark):
+    clean = ["10 20 30 40 50 60 70", "2019 2020 2021 2022", "1990 1991 1992 1994 1995 1996 2010 2020", "ISBN 978-3-16-148410-0", "1700000000000",
+             "4539578763621487", "4539 5787 6362 1487", "GB29NWBK60161331926818", "DE89 3704 0044 0532 0130 01", "31/31/1999", "000-12-3456",
+             "the secret: never give up", "1 2 3 4 5 6 7 8 9 10 11 12"]
+    df = spark.createDataFrame(list(enumerate(clean)), "doc_id long, text string")
+    got = {r["doc_id"]: (r["text"], r["n"]) for r in pii.pseudonymise(df, "k", count_col="n").collect()}
+    assert got == {k: (t, 0) for k, t in enumerate(clean)}
+
+
+def test_pii_notations(spark):
+    rows = ["GB29NWBK60161331926819", "GB29 NWBK 6016 1331 9268 19", "NL91ABNA0417164300 x", "BE68 5390 0754 7034 2021", "DE89370400440532013000",
+            "password: hunter", "password = hunter", "Secret: a1b2", "12/31/1999", "1/2/2020", "1.2.2020", "1850-03-04", "0050-01-01",
+            "2022 4539 5787 6362 1486 and 12 4539578763621486", "3782-822463-10005", "4539578763621486 521-555-1234"]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    got = {rows[r["doc_id"]]: (r["text"], r["n"]) for r in pii.pseudonymise(df, "k", count_col="n").collect()}
+    assert all(t != r and n == (2 if r[-4:] in ("1234", "1486") else 1) for r, (t, n) in got.items()), got
+    text = {r: t for r, (t, _) in got.items()}
+    for r, size in zip(rows, (22, 27, 18, 19, 22)):
+        new = text[r][:size].replace(" ", "")
+        assert new[:2] == r[:2] and int("".join(str(int(c, 36)) for c in new[4:] + new[:4])) % 97 == 1, new
+    assert text[rows[0]] == text[rows[1]].replace(" ", "") and text[rows[3]].endswith(" 2021")
+    assert text["password: hunter"].startswith("password: ") and "hunter" not in text["password = hunter"]
+    m, d, y = map(int, text["12/31/1999"].split("/"))
+    assert date(1900, 1, 1) <= date(y, m, d) <= date(2099, 12, 31) and re.fullmatch(r"[\d/]{10}", text["12/31/1999"])
+    d, m, y = map(int, text["1/2/2020"].split("/"))
+    assert date(1900, 1, 1) <= date(y, m, d) and 1700 <= int(text["1850-03-04"][:4]) < 1900 and text["0050-01-01"] < "0100"
+    cards = re.fullmatch(r"2022 (\d{4} \d{4} \d{4} \d{4}) and 12 (\d{16})", text[rows[13]]).groups()
+    assert cards[0].replace(" ", "") == cards[1] and luhn(cards[1]) and luhn(text[rows[14]].replace("-", ""))
+    assert "4539578763621486" not in text[rows[15]] and "555-1234" not in text[rows[15]]
+
+
 def test_feistel_is_a_permutation(spark):
     n = spark.range(1000).select(F.lpad(F.col("id").cast("string"), 3, "0").alias("d"))
     assert n.select(pii.permuted_digits("k", "t", F.col("d"))).distinct().count() == 1000

@@ -3,7 +3,9 @@ r"""Licence scan by canonical digests, in DataFrame operations only.
 A text is put into canonical form: A-Z lower-cased, copyright lines left out, equivalent spellings made one,
 everything but letters and digits turned into single spaces. The SHA-256 digest of the canonical form is
 hash-joined to the digests of the known licences. Entire texts are looked up: the whole document, every
-paragraph (between blank lines) and every line, so a licence notice inside a document is found too.
+paragraph (between blank lines) and every line, so a licence notice inside a document is found too. The long known
+texts (whole licences and standard notices) are also looked for anywhere inside the canonical form of the documents
+that hold a mark of them, and ``SPDX-License-Identifier`` lines name their licences themselves.
 
 The looked-up side is the documents' units, which are never shuffled as long as the known digests fit a
 checked broadcast (``BROADCAST`` rows); beyond that the join shuffles digests, not texts, and repeated units
@@ -20,9 +22,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cdmflow.llm.common import ascii_lower
+from cdmflow.llm.license_texts import texts
 
 BROADCAST = 100_000
-COPYRIGHT_LINE = r"^[ \t>#*/-]*(copyright|\(c\)|©)"
+# ``copyright`` and a year, (c) or an owner; not a wrapped line of a licence that happens to begin with the word
+COPYRIGHT_LINE = (
+    r"^[ \t>#*/;-]*(copyright[ \t:,]*(\(c\)|©|&copy;|[0-9<\[{]|(?!(notices?|holders?|owners?|laws?|licen[cs]es?|statements?|"
+    r"interests?|treat(y|ies)|rights?|disclaimer|protection|and|or|to|in|of|on|for|is|as|under|the (work|software|program|library))\b)[^\s.,;:)])"
+    r"|\(c\)[ \t]*(copyright|[0-9]{4})|©)")
 # Spellings that licences use for the same thing, the second one kept.
 SPELLINGS = [
     ("licence", "license"),
@@ -33,7 +40,7 @@ SPELLINGS = [
     ("http://", "https://"),
     ("&", " and "),
 ]
-# Known licence notices and short licences.
+# Known licence notices and short licences, and the whole texts of common licences.
 KNOWN = [
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
@@ -43,7 +50,13 @@ KNOWN = [
             "hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
     ("0BSD", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is "
              "hereby granted."),
+    *texts(),
 ]
+# Every known text longer than one line of prose disclaims some warranty, but for the MPL notice, which names its licence.
+_MARKS = r"(?i)warrant|mozilla"
+_WHOLE = 200
+_SPDX_ID = r"\(*[A-Za-z0-9][A-Za-z0-9.+-]*\)*"
+_SPDX = rf"(?i)SPDX-License-Identifier:[ \t]*({_SPDX_ID}(?:[ \t]+(?:AND|OR|WITH)[ \t]+{_SPDX_ID})*)"
 
 
 def canonical(text: Column) -> Column:
@@ -65,6 +78,25 @@ def known_digests(spark: SparkSession, known: list[tuple[str, str]] | DataFrame)
             .groupBy("digest").agg(F.min("license").alias("license")))
 
 
+def _spdx_names(text: Column) -> Column:
+    """The licences named by ``SPDX-License-Identifier`` lines, exceptions left out."""
+    stated = F.transform(F.regexp_extract_all(text, F.lit(_SPDX), F.lit(1)), lambda e: F.regexp_extract_all(
+        F.regexp_replace(e, r"(?i)[ \t]+WITH[ \t]+[(]*[A-Za-z0-9.+-]+", ""), F.lit("[A-Za-z0-9][A-Za-z0-9.+-]*"), F.lit(0)))
+    return F.filter(F.flatten(stated), lambda x: ~F.upper(x).isin("AND", "OR"))
+
+
+def contained(docs: DataFrame, known: list[tuple[str, str]] | DataFrame, id_col: str) -> DataFrame:
+    """(id, _text, unit_license) of the long known texts that stand anywhere in ``t``, however it is wrapped or commented."""
+    table = known if isinstance(known, DataFrame) else docs.sparkSession.createDataFrame(known, "license string, text string")
+    padded = lambda c: F.concat(F.lit(" "), canonical(c), F.lit(" "))
+    long = (table.select(F.col("license").alias("unit_license"), padded(F.col("text")).alias("_known"))
+            .filter((F.length("_known") >= _WHOLE) | F.col("_known").contains("mozilla")).distinct())
+    long = long.filter(F.col("_known").rlike(_MARKS))
+    hay = docs.filter(F.col("t").rlike(_MARKS)).select(id_col, "_text", padded(F.col("t")).alias("_hay"))
+    # the known texts are a fixed list; only documents that hold a mark are compared
+    return hay.join(F.broadcast(long), F.col("_hay").contains(F.col("_known"))).select(id_col, "_text", "unit_license").distinct()
+
+
 def scan(df: DataFrame, known: list[tuple[str, str]] | DataFrame = KNOWN, *, id_col: str = "doc_id",
          text_col: str = "text") -> DataFrame:
     """(id, digest of the whole text, whole_license or null, licenses: sorted names found in any unit)."""
@@ -79,7 +111,12 @@ def scan(df: DataFrame, known: list[tuple[str, str]] | DataFrame = KNOWN, *, id_
     units = (whole.select(id_col, "_text", F.explode("parts").alias("unit")).filter(F.col("unit").rlike("[0-9A-Za-z]"))
              .select(id_col, "_text", digest(F.col("unit")).alias("unit_digest")))
     named = table.select(F.col("digest").alias("unit_digest"), F.col("license").alias("unit_license"))
-    found = (units.join(named, "unit_digest").groupBy(F.col(id_col).alias("_id"), "_text")
+    keyed = docs.select(id_col, F.xxhash64("t").alias("_text"), "t")
+    stated = (keyed.filter(F.col("t").rlike("(?i)SPDX-License-Identifier"))
+              .select(id_col, "_text", F.explode(_spdx_names(F.col("t"))).alias("unit_license")))
+    hits = (units.join(named, "unit_digest").select(id_col, "_text", "unit_license")
+            .unionByName(stated).unionByName(contained(keyed, known, id_col)))
+    found = (hits.groupBy(F.col(id_col).alias("_id"), "_text")
              .agg(F.sort_array(F.collect_set("unit_license")).alias("licenses")).withColumnRenamed("_text", "_found"))
     judged = whole.select(id_col, "_text", "digest").join(
         table.select(F.col("digest").alias("_digest"), F.col("license").alias("whole_license")),

@@ -299,6 +299,28 @@ def test_licenses(docs, empty, spark):
     assert licenses.scan(docs).count() == len(ROWS) and licenses.scan(empty).count() == 0
 
 
+def test_licenses_whole_texts(spark):
+    import textwrap
+
+    from cdmflow.llm import license_texts
+    whole = dict(reversed(license_texts.texts()))  # the first text of each name
+    mit, isc, bsd = whole["MIT"], whole["ISC"], whole["BSD-3-Clause"]
+    wrapped = lambda t, w=72, pre="": textwrap.fill(t, w, initial_indent=pre, subsequent_indent=pre)
+    read = lambda name: open(f"{os.path.dirname(license_texts.__file__)}/{name}.txt", encoding="utf-8").read()
+    isc_file = ("Permission to use, copy, modify, and/or distribute this software for any purpose with or\nwithout fee is hereby granted, "
+                "provided that the above\ncopyright notice and this permission notice appear in all copies.")
+    rows = [(1, "MIT License\n\nCopyright (c) 2020 X\n\n" + wrapped(mit)), (2, "/*\n" + wrapped("Copyright 2020 X. " + "", 72, " * ") + "\n * \n" + wrapped(mit, 60, " * ") + "\n */\ncode();"),
+            (3, "Copyright The Authors\n" + isc_file), (4, "intro\n" + wrapped(isc, 50) + "\nmore"), (5, "# x\n" + wrapped(bsd, 64, "# ")),
+            (6, read("Apache-2.0")), (7, "see\n\n" + read("GPL-3.0") + "\nend"),
+            (8, "// SPDX-License-Identifier: (MIT OR Apache-2.0) AND GPL-2.0-only WITH Classpath-exception-2.0\nx"),
+            (9, wrapped(whole["MPL-2.0"], 60, "// ") + "\nx"), (10, "no warranty at all, mozilla"),
+            (11, "y\n" + read("LGPL-2.1")), (12, "y\n" + read("MPL-2.0"))]
+    got = {r["doc_id"]: (r["whole_license"], r["licenses"]) for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[1] == ("MIT", ["MIT"]) and got[2][1] == ["MIT"] and got[3] == ("ISC", ["ISC"]) and got[4][1] == ["ISC"] and got[5][1] == ["BSD-3-Clause"]
+    assert got[6] == ("Apache-2.0", ["Apache-2.0"]) and "GPL-3.0" in got[7][1] and got[8][1] == ["Apache-2.0", "GPL-2.0-only", "MIT"]
+    assert got[9][1] == ["MPL-2.0"] and got[10] == (None, []) and "LGPL-2.1" in got[11][1] and "MPL-2.0" in got[12][1]
+
+
 def test_html(spark):
     same = "<p>Subscribe now</p>"
     pages = [(k, f"http://h.com/{k}", f"<body><div class=x>{same}</div><div class=y><p>story {k} of &amp; many</p></div></body>") for k in range(12)]

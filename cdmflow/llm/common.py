@@ -26,6 +26,24 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def heavy_join(left: DataFrame, right: DataFrame, keys: list[str], count: str, parts: int = 1024) -> DataFrame:
+    """Inner join with a table that has each key once and its number of left rows in ``count``; no key makes a hot task.
+
+    A key with more than 1/``parts`` of the rows is dealt in pieces by a hash of the left row, and its one right row is
+    repeated per piece. Fewer than ``parts`` keys can be that frequent, so the broadcast list is bounded, and so are the
+    repeats (twice ``parts``).
+    """
+    total = right.agg(F.sum(count)).first()[0] or 0
+    limit = max(total // parts, 100)
+    heavy = right.filter(F.col(count) > limit).select(*keys, F.ceil(F.col(count) / limit).cast("int").alias("_pieces"))
+    dealt = (left.join(F.broadcast(heavy), keys, "left")
+             .withColumn("_piece", F.when(F.col("_pieces").isNull(), 0)
+                         .otherwise(F.pmod(F.hash(*left.columns), F.col("_pieces")))).drop("_pieces"))
+    pieces = F.when(F.col(count) > limit, F.ceil(F.col(count) / limit).cast("int")).otherwise(1)
+    repeated = right.withColumn("_piece", F.explode(F.sequence(F.lit(0), pieces - 1)))
+    return dealt.join(repeated, [*keys, "_piece"]).drop("_piece")
+
+
 def ascii_lower(col: Column) -> Column:
     """Lower-case A-Z only."""
     return F.translate(col, string.ascii_uppercase, string.ascii_lowercase)

@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cdmflow.llm import (
-    decontaminate, html_extract, langid, licenses, packing, pii, quality_rules, simhash, toxicity, url_filter)
+    centroids, decontaminate, hard_negatives, html_extract, langid, licenses, packing, pii, quality_rules, simhash,
+    suffix_dedup, toxicity, url_filter)
 from cdmflow.llm.common import held_out, table
 
 # The rules that the URL query judges by.
@@ -216,6 +217,71 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    every = F.col("vec_id")
+    rows = table(spark, sf_dir, "embeddings").withColumn(
+        "label", F.when(every % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return hard_negatives.mine(rows, every % 100 == 0)
+
+
+OP11_SQL = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS vec_id, a.label = b.label AS same, list_inner_product(a.q, b.q)::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id AND len(a.q) = len(b.q)),
+positive AS (
+  SELECT * FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, p.vec_id AS positive_id,
+       row_number() OVER (PARTITION BY p.anchor_id, p.vec_id ORDER BY n.score DESC, n.vec_id)::INTEGER AS rank,
+       n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM positive p JOIN scored n
+  ON n.anchor_id = p.anchor_id AND NOT n.same AND 80 * p.score <= 100 * n.score AND n.score <= p.score
+QUALIFY rank <= 5
+"""
+
+
+def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = suffix_dedup.remove_repeats(docs, min_length=200, keep_first=False)
+    return found.select("doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).cast("long").alias("n_removed"),
+                        F.size("starts").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(table(spark, sf_dir, "embeddings"), k=8, rounds=10, scale=1024, seed=3)
+
+
+_ROUND = """
+a{i} AS MATERIALIZED (
+  SELECT vec_id, q, arg_min(c, (d, c)) AS c, min(d) AS d
+  FROM (SELECT vec_id, q, c, list_sum(list_transform(list_zip(q, m), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d
+        FROM v, c{i})
+  GROUP BY vec_id, q),
+c{j} AS MATERIALIZED (
+  SELECT c, coalesce(n.m, o.m) AS m
+  FROM c{i} o LEFT JOIN (
+    SELECT c, list(x ORDER BY j) AS m
+    FROM (SELECT c, j, floor(sum(q[j]) / count(*)) AS x FROM a{i}, (SELECT unnest(range(1, 65)) AS j) GROUP BY c, j)
+    GROUP BY c) n USING (c))"""
+OP13_SQL = """
+WITH v AS MATERIALIZED (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS q
+  FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY sha256('3:' || vec_id)) - 1 AS c, q AS m FROM v ORDER BY sha256('3:' || vec_id) LIMIT 8),
+""" + ",".join(_ROUND.format(i=i, j=i + 1) for i in range(11)) + """
+SELECT vec_id, a.c::INTEGER AS cluster, d AS distance, sum(d) OVER (PARTITION BY a.c)::BIGINT AS cluster_inertia,
+       sum(d) OVER ()::BIGINT AS inertia,
+       sha256(array_to_string(list_transform(m, lambda x: x::BIGINT::VARCHAR), ',')) AS centroid_sha256
+FROM a10 a JOIN c10 USING (c)
+"""
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_simhash": op2_simhash,
@@ -227,10 +293,15 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_packing": op9_packing,
     "op10_url_filter": op10_url_filter,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_suffix_dedup": op12_suffix_dedup,
+    "op13_centroids": op13_centroids,
 }
 ORACLE = {
     "op1_quality": OP1_SQL,
     "op5_licenses": OP5_SQL,
     "op6_decontaminate": OP6_SQL,
     "op10_url_filter": OP10_SQL,
+    "op11_hard_negatives": OP11_SQL,
+    "op13_centroids": OP13_SQL,
 }

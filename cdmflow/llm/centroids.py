@@ -2,10 +2,10 @@
 
 Vectors become integers and are carried by their Walsh-Hadamard transform, an exact integer transform that keeps
 squared distances up to the factor of the vector length. A vector and a centroid are compared coefficient by
-coefficient, coarse (few sign changes) to fine. After each step the differences so far, with the norms of the
-coefficients still to come, bound every distance from below and above; centroids whose lower bound exceeds the least
-upper bound are strictly worse and leave. What remains is finished over all coefficients, in integers, so the
-assignment is exact, ties included.
+coefficient, coarse (few sign changes) to fine. After the first step the leading centroid's distance is completed.
+After each step the differences so far, with the norms of the coefficients still to come, bound every distance from
+below; centroids whose bound exceeds the leader's distance are strictly worse and leave. What remains is finished over
+all coefficients, in integers, so the assignment is exact, ties included.
 
 One staged table of transforms is read by every round. A task adds up its vectors per centroid, so a round sends
 (tasks x centroids) rows to the sum and (centroids) rows to the driver, however large a cluster is.
@@ -58,21 +58,21 @@ def nearest(coefficients: np.ndarray, centroids: np.ndarray, step: int = _STEP)
     k = len(centroids)
     row, to = np.repeat(np.arange(n), k), np.tile(np.arange(k), n)
     partial = np.zeros(n * k, np.int64)
-    rest = np.sqrt(np.maximum.accumulate(np.cumsum(coefficients[:, ::-1].astype(float) ** 2, axis=1), axis=1)[:, ::-1])
+    rest = np.sqrt(np.cumsum(coefficients[:, ::-1].astype(float) ** 2, axis=1)[:, ::-1])
     rest_c = np.sqrt(np.cumsum(centroids[:, ::-1].astype(float) ** 2, axis=1)[:, ::-1])
-    read = 0
+    least, read = np.zeros(n), 0
     for at in range(0, size, step):
         gap = coefficients[row, at:at + step] - centroids[to, at:at + step]
         partial += np.einsum("ij,ij->i", gap, gap)
         read += gap.size
+        if at == 0 and k:
+            lead = partial.reshape(n, k).argmin(axis=1)
+            gap = coefficients - centroids[lead]
+            least = np.einsum("ij,ij->i", gap, gap).astype(float) * (1 + 1e-9)
+            read += gap.size
         if at + step < size:
-            a, b = rest[row, at + step], rest_c[to, at + step]
             # a part in 10^9 covers what floats round; the sums themselves are integers
-            worst = (partial + (a + b) ** 2) * (1 + 1e-9) + 1
-            best = (partial + (a - b) ** 2) * (1 - 1e-9) - 1
-            least = np.full(n, np.inf)
-            np.minimum.at(least, row, worst)
-            stay = best <= least[row]
+            stay = (partial + (rest[row, at + step] - rest_c[to, at + step]) ** 2) * (1 - 1e-9) - 1 <= least[row]
             row, to, partial = row[stay], to[stay], partial[stay]
     order = np.lexsort((to, partial, row))
     first = order[np.concatenate([[True], row[order][1:] != row[order][:-1]])] if n else order

@@ -23,7 +23,7 @@ from .plans import analytics as A
 from .plans import quality as Q
 from .plans.etl import (Cdm, append_events, build_spine, load_observation_period, load_person, run_etl,
                         visit_from_period)
-from .sources.dictionary import DICTIONARY_ROWS, dictionary_frame, numeric_ranges, required_fields
+from .sources.dictionary import dictionary_frame
 from .sources.registry import REGISTRY_FIELDS, derived_registry
 from .operators import vocab as V
 from .schemas import CONCEPT
@@ -341,10 +341,43 @@ def _union_sql(parts: list[str]) -> str:
     return "\nUNION ALL ".join(parts)
 
 
-_CHOICE_FIELDS = [r[0] for r in DICTIONARY_ROWS if r[2] in DC.CHOICE_TYPES and r[4] and r[0] in REGISTRY_FIELDS]
-_DICT_VALUES = ", ".join(
-    "({}, {}, {})".format(*["NULL" if v is None else "'" + v.replace("'", "''") + "'" for v in (r[0], r[2], r[4])])
-    for r in DICTIONARY_ROWS)
+# The labels that the dictionary permits, the bounds it states and the fields it requires.
+_CONFIRMED = ["Yes, confirmed", "Clinical suspicion", "No", "Unknown"]
+_YES_NO = ["Yes", "No", "Unknown"]
+_PERMITTED = {
+    "consent_registry": ["Yes"],
+    "gender": ["Male", "Female", "Undetermined", "Foetus (unknown)"],
+    "orpha_code_id": [
+        "Alpha-thalassemia (ORPHA_846)", "Beta-thalassemia (ORPHA_848)",
+        "Constitutional dyserythropoietic anemia (ORPHA_293830)", "Hemoglobin C disease (ORPHA_2132)",
+        "Hemoglobin E disease (ORPHA_2133)", "Hemoglobinopathy with altered affinity (ORPHA_RAD001)",
+        "Hereditary methemoglobinemia (ORPHA_621)",
+        "Rare constitutional hemolytic anemia due to a red cell membrane anomaly (ORPHA_98364)",
+        "Sickle cell disease and related diseases (ORPHA_275752)", "Unstable hemoglobin disease (ORPHA_99139)"],
+    "patient_status": ["Alive", "Dead", "Opted-out", "Lost in follow-up"],
+    "transfusion_status_present": ["Yes (Regular)", "Yes (Occasional)", "No", "Unknown"],
+    "varsid_hbb_a1": ["b+", "b++", "b0"], "varsid_hbb_a2": ["b+", "b++", "b0"],
+    "varsid_hba_a1": ["a+", "a0"], "varsid_hba_a2": ["a+", "a0"],
+    "endo_hypopit": _CONFIRMED, "lkd_ac_vir_hepat": _CONFIRMED, "endo_vit_d_def": _CONFIRMED, "lkd_cirrhosis": _CONFIRMED,
+    "bc_osteoporosis": _CONFIRMED, "bc_osteopenia": _CONFIRMED, "cpd_ac_chest_syn": _CONFIRMED,
+    "chelation_treat": _YES_NO, "hydroxyurea_treatment": _YES_NO, "was_pregnant": _YES_NO,
+    "drug_compliance": ["Excellent (>80% of recommended dose)", "Good (80-60 % of recommended dose)",
+                        "Poor (< 60% of recommended dose)", "Unknown"],
+    "splenectomy": ["Yes, totally", "Yes, partially", "No", "Unknown"],
+}
+_BOUNDS = [("cardiac_t2", 0.0, 100.0), ("liver_mri_t2", 0.0, 100.0), ("ferritin_result", 1.0, 10000.0),
+           ("iron_result", 1.0, 1000.0)]
+_REQUIRED = [
+    "consent_registry", "date_of_birth", "gender", "orpha_code_id", "patient_status", "transfusion_status_present",
+    "endo_hypopit", "chelation_treat", "hydroxyurea_treatment", "was_pregnant", "lkd_ac_vir_hepat", "endo_vit_d_def",
+    "lkd_cirrhosis", "bc_osteoporosis", "bc_osteopenia", "cpd_ac_chest_syn", "ferritin_result", "iron_result", "splenectomy"]
+_CHOICE_FIELDS = ", ".join(_PERMITTED)
+_EVENT_COLUMNS = {
+    "condition_occurrence": ("condition_concept_id", "condition_source_value", "Condition"),
+    "observation": ("observation_concept_id", "value_source_value", "Observation"),
+    "measurement": ("measurement_concept_id", "value_source_value", "Measurement"),
+    "procedure_occurrence": ("procedure_concept_id", "procedure_source_value", "Procedure"),
+}
 _ORPHAN_PARTS = [
     f"""SELECT '{t}' AS table_name,
   (SELECT COUNT(*) FROM {t} e WHERE NOT EXISTS (SELECT 1 FROM person p WHERE p.person_id = e.person_id))
@@ -406,23 +439,18 @@ FROM (SELECT table_name, id, count(*) AS uses FROM ids GROUP BY ALL) GROUP BY ta
                   "measurement", "procedure_occurrence")]
         + ["SELECT 'global_temp', 'drug_exposure', 0"]), *_EVENTS, "observation_period"),
     "append_with_key_continuation": O.with_ctes("""
-SELECT CAST(row_number() OVER (
-         ORDER BY l.record_id > (SELECT (MIN(record_id) + MAX(record_id)) / 2.0 FROM reg), rule_no, r.person_id)
-       AS BIGINT) AS condition_occurrence_id,
-       r.person_id, CAST(concept_id AS INTEGER) AS condition_concept_id,
-       d AS condition_start_date, CAST(d AS TIMESTAMP) AS condition_start_datetime,
-       d AS condition_end_date, CAST(d AS TIMESTAMP) AS condition_end_datetime,
-       CAST(32865 AS INTEGER) AS condition_type_concept_id, r.visit_occurrence_id, src AS condition_source_value
-FROM (""" + O.CONDITION_RULES + """) AS r
-JOIN person p ON p.person_id = r.person_id JOIN reg l ON CAST(l.record_id AS VARCHAR) = p.person_source_value""",
-        "reg", "person", "visit_occurrence"),
+, half AS (SELECT (min(record_id) + max(record_id)) / 2.0 AS "at" FROM reg)
+SELECT row_number() OVER (ORDER BY person_source_value::BIGINT > half."at", rule, who) AS condition_occurrence_id,
+       c.* EXCLUDE (condition_occurrence_id)
+FROM event e JOIN condition_occurrence c ON e.tab = 'condition' AND c.condition_occurrence_id = e.id
+JOIN person p ON p.person_id = e.who, half""", "reg", "person", "event", "condition_occurrence"),
     "dense_keys_lineitem": """
 SELECT *, CAST(row_number() OVER (ORDER BY l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity,
        l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate) AS BIGINT) AS row_id
 FROM lineitem""",
     "dq_unmapped": O.with_ctes(_union_sql([
-        f"SELECT '{t}' AS table_name, {s} AS source_value, COUNT(*) AS n FROM {t} WHERE {c} = 0 GROUP BY {s}"
-        for t, (c, s) in Q.EVENT_CONCEPT_SOURCE.items()]), *_EVENTS),
+        f"SELECT '{t}' AS table_name, {said} AS source_value, count(*) AS n FROM {t} WHERE {concept} = 0 GROUP BY ALL"
+        for t, (concept, said, _) in _EVENT_COLUMNS.items()]), *_EVENTS),
     "dq_coverage": O.with_ctes(_union_sql([
         f"SELECT '{t}' AS table_name, COUNT(DISTINCT person_id) AS n_persons, "
         f"(SELECT COUNT(*) FROM person) AS total_persons, "
@@ -446,29 +474,25 @@ WHERE date_of_birth IS NOT NULL AND try_strptime(date_of_birth, '%d/%m/%Y') IS N
         for c in REGISTRY_FIELDS]), "reg"),
     "dq_duplicate_keys": """
 SELECT l_orderkey, l_linenumber, COUNT(*) AS n FROM lineitem GROUP BY 1, 2 HAVING COUNT(*) > 1""",
-    "dict_ranges": O.with_ctes("SELECT * FROM (" + _union_sql([
-        f"SELECT record_id, '{c}' AS variable, CAST({c} AS DOUBLE) AS value, CAST({lo} AS DOUBLE) AS lo, "
-        f"CAST({hi} AS DOUBLE) AS hi FROM reg" for c, (lo, hi) in numeric_ranges().items()])
-        + ") WHERE value IS NOT NULL AND (value < lo OR value > hi)", "reg"),
+    "dict_ranges": O.with_ctes(f"""
+, bound(variable, lo, hi) AS ({O.values(_BOUNDS)})
+SELECT record_id, variable, value, lo::DOUBLE AS lo, hi::DOUBLE AS hi
+FROM (UNPIVOT (SELECT record_id, {", ".join(b[0] for b in _BOUNDS)} FROM reg) ON * EXCLUDE (record_id)
+      INTO NAME variable VALUE value) JOIN bound USING (variable)
+WHERE value NOT BETWEEN lo AND hi""", "reg"),
     "dict_date_ranges": O.with_ctes("""
 SELECT record_id, 'date_of_birth' AS variable, date_of_birth AS value FROM reg
 WHERE try_strptime(date_of_birth, '%d/%m/%Y') IS NOT NULL
   AND (CAST(try_strptime(date_of_birth, '%d/%m/%Y') AS DATE) < DATE '1930-01-01'
        OR CAST(try_strptime(date_of_birth, '%d/%m/%Y') AS DATE) > current_date)""", "reg"),
     "dict_membership": O.with_ctes(f"""
-, dict AS (SELECT * FROM (VALUES {_DICT_VALUES}) AS t(variable, field_type, choices)),
-parts AS (SELECT variable, unnest(string_split(choices, '|')) AS part FROM dict
-          WHERE field_type IN ('dropdown', 'radio', 'checkbox') AND choices IS NOT NULL),
-choice AS (SELECT variable, trim(substr(part, strpos(part, ',') + 1)) AS label FROM parts
-           WHERE trim(part) <> '' AND strpos(part, ',') > 0),
-answers AS (UNPIVOT (SELECT {", ".join(_CHOICE_FIELDS)} FROM reg) ON {", ".join(_CHOICE_FIELDS)}
-            INTO NAME variable VALUE value)
-SELECT variable, value, COUNT(*) AS n FROM answers a
-WHERE NOT EXISTS (SELECT 1 FROM choice c WHERE c.variable = a.variable AND c.label = a.value)
-GROUP BY 1, 2""".lstrip(), "reg").replace("\n, dict AS", ",\ndict AS"),
-    "dict_required": O.with_ctes(_union_sql([
-        f"SELECT '{c}' AS variable, COUNT(*) FILTER (WHERE {c} IS NULL) AS n_missing FROM reg"
-        for c in required_fields() if c in REGISTRY_FIELDS]), "reg"),
+, permitted(variable, value) AS ({O.values([(v, label) for v, labels in _PERMITTED.items() for label in labels])})
+SELECT variable, value, count(*) AS n
+FROM (UNPIVOT (SELECT {_CHOICE_FIELDS} FROM reg) ON * INTO NAME variable VALUE value) ANTI JOIN permitted USING (variable, value)
+GROUP BY ALL""", "reg"),
+    "dict_required": O.with_ctes(f"""
+, wide AS (SELECT {", ".join(f"count(*) - count({c}) AS {c}" for c in _REQUIRED)} FROM reg)
+UNPIVOT wide ON * INTO NAME variable VALUE n_missing""", "reg"),
     "dict_conditional": O.with_ctes("""
 SELECT record_id, chelation_treat, drug_compliance FROM reg
 WHERE drug_compliance IS NOT NULL AND NOT coalesce(chelation_treat = 'Yes', false)""", "reg"),
@@ -536,10 +560,9 @@ FROM mapped m JOIN geo_concept g ON g.concept_id = m.std
 WHERE m.std <> 0 AND (m.d > g.valid_end_date OR m.d < g.valid_start_date)
 GROUP BY 1"""),
     "vocab_domain_check": O.with_ctes(_union_sql([
-        f"SELECT '{t}' AS table_name, e.{col} AS concept_id, c.domain_id, COUNT(*) AS n FROM {t} e "
-        f"LEFT JOIN concept c ON c.concept_id = e.{col} WHERE e.{col} <> 0 "
-        f"AND NOT COALESCE(c.domain_id = '{dom}', false) GROUP BY 1, 2, 3"
-        for t, (col, dom) in EXPECTED_DOMAIN.items()]), *_EVENTS),
+        f"SELECT '{t}' AS table_name, {concept} AS concept_id, domain_id, count(*) AS n FROM {t} "
+        f"LEFT JOIN concept ON concept_id = {concept} WHERE {concept} <> 0 AND domain_id IS DISTINCT FROM '{domain}' GROUP BY ALL"
+        for t, (concept, _, domain) in _EVENT_COLUMNS.items()]), *_EVENTS),
     "vocab_specificity": _geo("""
 , used AS (SELECT DISTINCT CAST(CASE WHEN c_acctbal < 0 THEN 1000 + n_regionkey ELSE 2000 + c_nationkey END
                                 AS INTEGER) AS x

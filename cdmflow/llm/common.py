@@ -26,6 +26,14 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, or a longer one, that no column of ``df`` has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def heavy_join(left: DataFrame, right: DataFrame, keys: list[str], count: str, parts: int = 1024) -> DataFrame:
     """Inner join with a table that has each key once and its number of left rows in ``count``; no key makes a hot task.
 

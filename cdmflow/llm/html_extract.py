@@ -3,8 +3,9 @@
 All pages of a host are merged into one tree: its nodes are the element paths (tag and class) under which
 blocks of text stand. A node's importance is the entropy of what the host's pages show there: contents
 spread evenly over the pages carry information (towards 1), the same content on every page does not
-(towards 0). Every branch of every page enters the tree, presentation and marked articles included. On a host
-of fewer than ``LEAST_PAGES`` pages, or for a node on fewer than ``LEAST_SHOWN``, nothing can be said yet.
+(towards 0). Every branch of every page enters the tree, presentation and marked articles included. The entropy
+over n pages counts n - 1 times against once what the page's own markup says of the branch (to be kept, or not), so
+that evidence outweighs markup gradually and one page alone decides nothing.
 
 From each page go: branches that are presentation by their nature (menus, headers, footers, sidebars,
 notices, adverts, forms, comments, scripts, styles; by tag, role, class or id), and branches whose
@@ -39,16 +40,14 @@ from pyspark.sql import types as T
 
 from cdmflow.llm.common import stage
 
-LEAST_PAGES = 8
-LEAST_SHOWN = 3
 BROADCAST = 100_000
 
 # Elements of HTML.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = set("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q ruby s samp small "
-             "span strike strong sub sup time tt u var wbr br img".split())
-UNSEEN = set("script style noscript template textarea svg math iframe object select title head canvas audio video".split())
-BOILERPLATE = set("nav header footer aside form menu dialog button".split())
+             "span strike strong sub sup time tt u var wbr br img "
+             "math mi mn mo ms mtext mrow msup msub msubsup mfrac msqrt mroot mstyle semantics".split())
+BOILERPLATE = set("nav header footer aside menu dialog button".split())
 ARTICLE = {"article", "main"}
 # Whole words of class, id and role that mark presentation.
 NOISE = set("ad ads advert adverts advertisement advertising banner banners sponsor sponsored promo promotion menu nav "
@@ -64,12 +63,16 @@ PREFIXES = set("ad ads advert adverts advertisement advertising banner banners s
                "disqus related recommended".split())
 STATE = set("has no not with without by is on off open opened closed close enabled disabled hidden less free none".split())
 
+# A tag ends at the next ``<`` outside quotes, so tags that never close are passed over one by one; the last
+# alternative takes those, and tags with an unclosed quote, for markup without meaning.
+_ATTRS = r"(?:[^<>\"']|\"[^\"<]*+\"|'[^'<]*+'|\"[^\"]{0,2000}+\"|'[^']{0,2000}+')*+"
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)"
-    r"|<(?:svg|math)(?=[\s/])(?:[^>\"']|\"[^\"]*\"|'[^']*')*/>"
-    r"|<(?P<raw>script|style|noscript|template|textarea|svg|math|iframe|object|select|title|canvas|audio|video)(?=[\s/>])"
-    r"(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=raw)\s*>|$)"
-    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S | re.I)
+    rf"|<svg(?=[\s/]){_ATTRS}(?<=/)>"
+    r"|<(?P<raw>script|style|noscript|template|textarea|svg|annotation|iframe|object|select|title|canvas|audio|video)(?=[\s/>])"
+    rf"{_ATTRS}>.*?(?:</(?P=raw)\s*>|$)"
+    rf"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/<>]*)(?P<attrs>{_ATTRS})>"
+    r"|</?[a-zA-Z][^\s<>]*(?:\s[^<>]*)?(?:>|(?=<)|$)", re.S | re.I)
 _ATTR = re.compile(r"(class|id|role|style|aria-hidden|hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+)))?", re.I)
 _PART = re.compile(r"[^a-z]+")
 
@@ -110,13 +113,15 @@ def blocks(page: str | None) -> list[tuple[str, str, bool, bool | None]]:
     """(path, text, presentation, in an article; None if in a doubtful branch of one) of the blocks of a page in
     order; no empty texts.
 
-    Class words never condemn the page's article, nor a branch that holds it: branches condemned by class words
-    are taken back if they hold an article and no article stands outside them."""
+    Class words and forms never condemn the page's article, nor a branch that holds it: branches they condemn are
+    taken back if they hold an article and no article stands outside them. A form that holds all there is to read
+    (pages wrapped in one form) is taken back too."""
     out: list[tuple[str, str, bool, bool | None, tuple]] = []
     stack: list[tuple[str, str, bool, bool | None, tuple]] = []  # tag, path, presentation, in an article, condemned by class
     root = ("", "", False, False, ())
     parts: list[str] = []
     holders: set[int] = set()  # elements condemned by class words that hold an article
+    forms: set[int] = set()
     number, free = 0, False
 
     def flush():
@@ -141,9 +146,11 @@ def blocks(page: str | None) -> list[tuple[str, str, bool, bool | None]]:
                 holders.update(words)
                 free |= not words
             article = True
-        if "noise" in says:
+        if "noise" in says or tag == "form":
             number += 1
             words = (*words, number)
+            if "noise" not in says:
+                forms.add(number)
         elif "doubt" in says and inside:
             article = None
         stack.append((tag, f"{path}/{step}", noise or own, article, words))
@@ -181,6 +188,8 @@ def blocks(page: str | None) -> list[tuple[str, str, bool, bool | None]]:
         parts.append(text[at:])
     flush()
     taken_back = set() if free else holders
+    if all(noise or not taken_back.issuperset(words) for _, _, noise, _, words in out):
+        taken_back = taken_back | forms
     return [(path, text, noise or not taken_back.issuperset(words), article) for path, text, noise, article, words in out]
 
 
@@ -227,23 +236,22 @@ def _page_key(html_col: str, url_col: str):
 
 
 def importance(rows: DataFrame) -> DataFrame:
-    """(host, path, pages, importance): the entropy of a node's contents over the host's pages, scaled to 1; null
-    while nothing can be said."""
+    """(host, path, pages, importance): the entropy of a node's contents over the pages that show it, scaled to 1; null
+    for a node of one page."""
     counts = rows.groupBy("host", "path", "content").agg(F.count(F.lit(1)).cast("double").alias("c"))
     node = counts.groupBy("host", "path").agg(F.sum("c").alias("pages"), F.sum(F.col("c") * F.log("c")).alias("s"))
     entropy = (F.log("pages") - F.col("s") / F.col("pages")) / F.log("pages")
-    hosts = node.filter(F.col("path").isNull()).select("host", F.col("pages").alias("_host_pages"))
-    known = (F.col("_host_pages") >= LEAST_PAGES) & (F.col("pages") >= LEAST_SHOWN)
-    return (node.filter(F.col("path").isNotNull()).join(hosts, "host")
-            .select("host", "path", "pages", F.when(known, entropy).alias("importance")))
+    return (node.filter(F.col("path").isNotNull())
+            .select("host", "path", "pages", F.when(F.col("pages") > 1, entropy).alias("importance")))
 
 
 def changes(rows: DataFrame, least: float) -> DataFrame:
     """(page, _change: the branches where the tree decides against the page's own marking)."""
+    kept = lambda prior: (F.col("importance") * (F.col("pages") - 1) + prior) / F.col("pages") >= least
     nodes = stage(importance(rows).filter(F.col("importance").isNotNull())
-                  .select("host", "path", (F.col("importance") < least).alias("_poor")), "style-nodes")
+                  .select("host", "path", (~kept(1)).alias("_poor"), kept(0).alias("_rich")).filter("_poor OR _rich"), "style-nodes")
     nodes = F.broadcast(nodes) if nodes.count() <= BROADCAST else nodes
-    against = ((F.col("open") == "drop") & F.col("_poor")) | ((F.col("open") == "keep") & ~F.col("_poor"))
+    against = ((F.col("open") == "drop") & F.col("_poor")) | ((F.col("open") == "keep") & F.col("_rich"))
     return (rows.filter(F.col("open").isNotNull()).join(nodes, ["host", "path"]).filter(against)
             .groupBy("page").agg(F.collect_set("path").alias("_change")))
 

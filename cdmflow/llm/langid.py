@@ -1,8 +1,8 @@
 """Language identification by averaged hashed subword embeddings under a linear softmax (``subword``).
 
 The classifier is fitted on the driver on a bounded sample: about ``max_per_class`` texts of each of the at
-most ``max_classes`` most frequent languages (chosen by a hash of the id), none longer than ``max_chars``, of
-each at most ``BAG`` words drawn at random. A quarter of the sample is kept aside to calibrate: a
+most ``max_classes`` most frequent languages (chosen by a hash of the id), of each at most ``BAG`` words drawn at
+random from the whole text. A quarter of the sample is kept aside to calibrate: a
 temperature puts the softmax on a probability scale, and ``accepted`` marks the predictions above the least
 score whose predictions there are right in ``precision`` of the cases. Prediction covers every text whole,
 in one ``mapInPandas`` without a shuffle; language, source and id are no input of it.
@@ -23,23 +23,34 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cdmflow.llm import subword
-from cdmflow.llm.common import learnable
+from cdmflow.llm.common import learnable, text_chunks
 
 UNKNOWN = "und"
 BAG = 200
 
 
-def sample(df: DataFrame, *, id_col: str, text_col: str, lang_col: str, max_per_class: int, max_classes: int,
-           max_chars: int) -> pd.DataFrame:
-    """(text, lang) of a bounded sample of the texts that may be learnt from."""
+def sample(df: DataFrame, *, id_col: str, text_col: str, lang_col: str, max_per_class: int, max_classes: int) -> pd.DataFrame:
+    """(text, lang) of a bounded sample of the texts that may be learnt from; ``text`` has at most ``BAG`` words."""
     known = df.select(F.col(id_col).alias("_id"), F.col(lang_col).cast("string").alias("lang"),
                       F.col(text_col).cast("string").alias("text")).filter(F.col("lang").isNotNull() & learnable(F.col("_id")))
     top = (known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(max_classes)
            .select("lang", (F.lit(float(max_per_class)) / F.col("n")).alias("share")))
     draw = F.pmod(F.xxhash64("_id"), F.lit(1_000_000)) / 1_000_000
-    rows = (known.join(F.broadcast(top), "lang").filter((draw < F.col("share")) & (F.length("text") <= max_chars))
+    rows = (known.join(F.broadcast(top), "lang").filter(draw < F.col("share"))
             .groupBy("_id", "lang").agg(F.min("text").alias("text")))
-    return rows.toPandas().sort_values(["lang", "_id"], ignore_index=True)
+
+    def drawn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            yield pdf.assign(text=[" ".join(draw_words(t)) for t in pdf["text"]])
+
+    return rows.mapInPandas(drawn, rows.schema).toPandas().sort_values(["lang", "_id"], ignore_index=True)
+
+
+def draw_words(text: str | None, seed: int = 11) -> list[str]:
+    """At most ``BAG`` of the words of a text, drawn at random (the same ones every time)."""
+    words = [w for chunk in text_chunks(text or "") for w in map(subword.clean, chunk.lower().split()) if w]
+    rng = np.random.default_rng([seed, len(words)])
+    return words if len(words) <= BAG else [words[i] for i in rng.choice(len(words), BAG, replace=False)]
 
 
 def text_logits(texts: list, model: subword.Model) -> tuple[np.ndarray, np.ndarray]:
@@ -64,10 +75,7 @@ def fit(texts: list[str], langs: list[str], *, precision: float = 0.99, seed: in
     rng = np.random.default_rng(seed)
     number = {c: k for k, c in enumerate(classes)}
     y = np.array([number[v] for v in langs])
-    bags = []
-    for t in texts:
-        words = [w for w in map(subword.clean, t.lower().split()) if w]
-        bags.append(words if len(words) <= BAG else [words[i] for i in rng.choice(len(words), BAG, replace=False)])
+    bags = [draw_words(t) for t in texts]
     aside = rng.random(len(bags)) < 0.25
     if aside.all() or not aside.any():
         aside = np.zeros(len(bags), dtype=bool)
@@ -114,7 +122,7 @@ def predict(df: DataFrame, model: subword.Model | None, *, id_col: str = "doc_id
 
 
 def trained(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-            max_per_class: int = 500, max_classes: int = 200, max_chars: int = 20_000) -> subword.Model | None:
+            max_per_class: int = 500, max_classes: int = 200) -> subword.Model | None:
     rows = sample(df, id_col=id_col, text_col=text_col, lang_col=lang_col, max_per_class=max_per_class,
-                  max_classes=max_classes, max_chars=max_chars)
+                  max_classes=max_classes)
     return fit(rows["text"].tolist(), rows["lang"].tolist())

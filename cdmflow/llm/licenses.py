@@ -56,7 +56,7 @@ KNOWN = [
 _MARKS = r"(?i)warrant|mozilla"
 _WHOLE = 200
 _SPDX_ID = r"\(*[A-Za-z0-9][A-Za-z0-9.+-]*\)*"
-_SPDX = rf"(?i)SPDX-License-Identifier:[ \t]*({_SPDX_ID}(?:[ \t]+(?:AND|OR|WITH)[ \t]+{_SPDX_ID})*)"
+_SPDX = rf"(?i)SPDX-License-Identifier:[ \t]*({_SPDX_ID}(?:[ \t]+(?:AND|OR|WITH)[ \t]+{_SPDX_ID})*+)"  # possessive: read in a loop, however long
 
 
 def canonical(text: Column) -> Column:

@@ -11,7 +11,8 @@ that add SHA-256(key, class, length, round, other half) to one half modulo its p
 the numbers of one class and length, so equal values get equal pseudonyms in every document, and different
 values different ones. Separators stay in place. Cards permute all digits but the last, which becomes the
 new Luhn digit; IBAN the digits of the account, with new check digits; addresses permute their 32 bits; dates their
-day number within 1900-2099 (or another such 200 years), walking the cycle until it falls in the range. Letters (e-mail names, keys, tokens) are replaced by keyed digests of the value.
+day number within 1900-2099 (or another such 200 years), and social security numbers their digits, walking the cycle
+until the format holds again. Letters (e-mail names, keys, tokens) are replaced by keyed digests of the value.
 
 A text is split at the matches and put together again with their pseudonyms, row by row: no shuffle, so no
 skew. Without the key the pseudonyms cannot be computed; it is a parameter and never stored.
@@ -26,9 +27,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cdmflow.llm.common import fresh
+
 ROUNDS = 10
 _EDGE, _END = r"(?<![0-9A-Za-z])", r"(?![0-9A-Za-z])"
-_EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
+# names of mail and domains are bounded as mail bounds them (64 characters, 127 labels): no text makes the search deep or slow
+_EMAIL = r"[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){0,125}\.[A-Za-z]{2,63}"
 _ACCESS = r"(?:AKIA|ASIA)[0-9A-Z]{16}"
 _HEX = r"(?=[0-9]*[a-f])(?=[a-f]*[0-9])[0-9a-f]{32,64}|(?=[0-9]*[A-F])(?=[A-F]*[0-9])[0-9A-F]{32,64}"
 # IBAN length by country; a country not listed is read when written without spaces.
@@ -102,6 +106,16 @@ def _in_format(value: Column, digits: Column) -> Column:
                        put, lambda acc: acc["out"])
 
 
+def _ssn(key: str, digits: Column) -> Column:
+    """Nine digits of the same kind: numbers that begin with 9 among themselves, others among those that are issued."""
+    def walked(kind: str, of: Column, valid: str) -> Column:
+        step = lambda x: permuted_digits(key, kind, x)
+        return F.aggregate(F.sequence(F.lit(1), F.lit(20)), step(of), lambda x, i: F.when(x.rlike(valid), x).otherwise(step(x)))
+    rest = "(?!00)[0-9]{2}(?!0000)[0-9]{4}$"
+    return F.when(digits.startswith("9"), F.concat(F.lit("9"), walked("itin", F.substring(digits, 2, 8), "^[0-9]{2}" + rest))).otherwise(
+        walked("ssn", digits, "^(?!000|666|9)[0-9]{3}" + rest))
+
+
 def _luhn_sum(digits: Column, doubled_first: int) -> Column:
     """Luhn sum from the right; ``doubled_first`` is 0 if the last digit is doubled, 1 if the one before."""
     def add(acc, c):
@@ -241,7 +255,7 @@ def pseudonym(value: Column, key: str) -> Column:
             .when(_whole(_IP, value), _address(key, value))
             .when(_whole(_DATE, value), _date(key, value))
             .when(_whole(_IBAN, value), F.when(iban_valid(value), _iban(key, value)).otherwise(value))
-            .when(_whole(_SSN, value), permuted("ssn"))
+            .when(_whole(_SSN, value), _in_format(value, _ssn(key, digits)))
             .when(_whole(_NUMBER, value), _cards(key, value))
             .otherwise(_phone(key, value)))
 
@@ -253,13 +267,14 @@ def pseudonymise(df: DataFrame, key: str, *, text_col: str = "text", count_col:
     text = F.col(text_col).cast("string")
     some = text.rlike(_MAYBE)
     matches = F.when(some, F.regexp_extract_all(text, F.lit(_ALL), F.lit(0))).otherwise(F.array().cast("array<string>"))
-    marked = df.withColumn("_matches", matches)
-    marked = marked.withColumn("_renamed", F.transform("_matches", lambda m: pseudonym(m, key)))
+    found, named = fresh(df, "_matches"), fresh(df, "_renamed")
+    marked = df.withColumn(found, matches)
+    marked = marked.withColumn(named, F.transform(found, lambda m: pseudonym(m, key)))
     between = F.split(text, _ALL, -1)
-    renamed = F.concat("_renamed", F.array(F.lit("")))
+    renamed = F.concat(named, F.array(F.lit("")))
     joined = F.array_join(F.zip_with(between, renamed, lambda a, b: F.concat(a, b)), "")
-    out = marked.withColumn(text_col, F.when(F.size("_matches") > 0, joined).otherwise(text))
+    out = marked.withColumn(text_col, F.when(F.size(found) > 0, joined).otherwise(text))
     if count_col:
-        changed = F.filter(F.zip_with("_matches", "_renamed", lambda a, b: a != b), lambda x: x)
+        changed = F.filter(F.zip_with(found, named, lambda a, b: a != b), lambda x: x)
         out = out.withColumn(count_col, F.coalesce(F.size(changed), F.lit(0)))
-    return out.drop("_matches", "_renamed")
+    return out.drop(found, named)

@@ -19,6 +19,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import xxhash
 
 from cdmflow.llm.common import text_chunks
 
@@ -35,6 +36,15 @@ def clean(token: str) -> str:
     return inner if any(c.isalpha() for c in inner) else ""
 
 
+def distinct(text: str | None, most: int) -> str:
+    """The distinct lower-cased words of a text in their order; of more than ``most``, those of the least hashes."""
+    words = dict.fromkeys(w for chunk in text_chunks(text or "") for w in chunk.lower().split())
+    if len(words) > most:
+        drawn = set(sorted(words, key=lambda w: xxhash.xxh64_intdigest(w.encode("utf-8", "replace")))[:most])
+        words = [w for w in words if w in drawn]
+    return " ".join(words)
+
+
 def batches(texts: Sequence[str | None]) -> Iterator[tuple[list[str], np.ndarray, np.ndarray]]:
     """(distinct cleaned words, word number of every word, text number of every word), a bounded batch at a time.
 
@@ -80,7 +90,7 @@ def ngrams(words: Sequence[str], bits: int, sizes: Sequence[int]) -> tuple[np.nd
     h = np.zeros(len(chars), dtype=np.uint64)
     for n in range(1, max(sizes) + 1):
         shifted = np.zeros_like(chars)
-        shifted[:len(chars) - n + 1] = chars[n - 1:]
+        shifted[:max(len(chars) - n + 1, 0)] = chars[n - 1:]
         h = (h ^ shifted) * np.uint64(0x100000001B3)
         if n in sizes:
             ok = left >= n
@@ -118,8 +128,11 @@ class Model:
 
 def train(bags: Sequence[Sequence[str]], labels: np.ndarray, classes: list, *, bits: int = 16,
           sizes: tuple[int, ...] = (3, 4, 5), dim: int = 4, epochs: int = 6, rate: float = 0.5,
-          weight: np.ndarray | None = None, seed: int = 7, batch: int = 256) -> Model:
-    """Joint SGD (Adagrad steps) of embeddings and softmax on word bags with class numbers ``labels``."""
+          weight: np.ndarray | None = None, chance: np.ndarray | None = None, seed: int = 7, batch: int = 256) -> Model:
+    """Joint SGD (Adagrad steps) of embeddings and softmax on word bags with class numbers ``labels``.
+
+    ``chance`` is how likely a bag is read in an epoch: Adagrad evens out the size of steps, so a small ``weight``
+    alone would not make a bag count little."""
     rng = np.random.default_rng(seed)
     rows, dims = 1 << bits, dim
     emb = rng.normal(0, 1 / dims, (rows, dims))
@@ -132,7 +145,7 @@ def train(bags: Sequence[Sequence[str]], labels: np.ndarray, classes: list, *, b
     usable = np.array([len(c) > 0 for c in coded], dtype=bool) if coded else np.zeros(0, dtype=bool)
     index, starts = ngrams(list(vocabulary), bits, sizes) if vocabulary else (np.zeros(0, np.int64), np.zeros(1, np.int64))
     for epoch in range(epochs):
-        order = rng.permutation(np.flatnonzero(usable))
+        order = rng.permutation(np.flatnonzero(usable if chance is None else usable & (rng.random(len(usable)) < chance)))
         step = rate * (1 - epoch / epochs)
         for begin in range(0, len(order), batch):
             chosen = order[begin:begin + batch]
@@ -172,15 +185,23 @@ def softmax(logits: np.ndarray) -> np.ndarray:
 
 
 def fit_platt(margin: np.ndarray, label: np.ndarray, rounds: int = 200) -> tuple[float, float]:
-    """(a, b) of the logistic curve sigmoid(a * margin + b) that fits 0/1 labels best (Newton steps, damped)."""
+    """(a, b) of the logistic curve sigmoid(a * margin + b) that fits 0/1 labels best (Newton steps, halved until the
+    loss falls)."""
     x = np.stack([margin, np.ones_like(margin)], 1)
     beta = np.array([1.0, 0.0])
+
+    def loss(b):
+        z = x @ b
+        return (np.logaddexp(0, z) - label * z).sum() + 5e-4 * ((b - [1.0, 0.0]) ** 2).sum()
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
         gradient = x.T @ (p - label) + 1e-3 * (beta - [1.0, 0.0])
         hessian = (x * (p * (1 - p))[:, None]).T @ x + 1e-3 * np.eye(2)
         move = np.linalg.solve(hessian, gradient)
-        beta -= np.clip(move, -1, 1)
-        if np.abs(move).max() < 1e-8:
+        now, part = loss(beta), 1.0
+        while loss(beta - part * move) > now and part > 1e-6:
+            part /= 2
+        beta = beta - part * move
+        if np.abs(part * move).max() < 1e-8:
             break
     return float(beta[0]), float(beta[1])

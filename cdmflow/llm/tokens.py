@@ -3,7 +3,7 @@
 Ids equal those of the ``tokenizers`` library for the vocabulary file; the bulk of the work is done by
 ``tiktoken`` on the same ranks with a bounded cache of space-separated chunks. A single space between two
 non-space characters always starts a new pre-token, so such chunks are encoded independently. Texts that
-hold a special token go through ``tokenizers`` itself.
+hold a special token and chunks of more than ``_LONG`` characters go through ``tokenizers`` itself.
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ _LOOSE = re.compile(r" \s|\s ")
 _BETWEEN_WORDS = re.compile(r"(?<=\S) (?=\S)")
 _SLICE = 1 << 20
 _MOST_CHUNKS = 300_000
+_LONG = 10_000
 _ENCODERS: dict[str, Encoder] = {}
 
 
@@ -62,7 +63,8 @@ class Encoder:
         self.chunks = _Chunks(self._encode)
 
     def _encode(self, text: str) -> bytes:
-        ids = self.bpe.encode_ordinary(text)
+        # tiktoken's pattern search runs out of stack on very long runs of one kind
+        ids = self.bpe.encode_ordinary(text) if len(text) <= _LONG else self.exact.encode(text, add_special_tokens=False).ids
         return struct.pack(f"<{len(ids)}I", *ids)
 
     def _slices(self, text: str) -> Iterator[str]:

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cdmflow.llm import decontaminate, packing, pii, simhash, toxicity
-from cdmflow.llm.common import stage, table
+from cdmflow.llm.common import fresh, stage, table
 
 PII_KEY = "corpus pipeline key, version 1"
 
@@ -19,7 +19,8 @@ PII_KEY = "corpus pipeline key, version 1"
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents scored as toxic go. The classifier learns from the labelled documents among ``docs``."""
     model = toxicity.trained(docs, table(spark, sf_dir, "labels"))
-    return toxicity.score(docs, model, out_col="_toxicity").filter(F.col("_toxicity") < toxicity.THRESHOLD).drop("_toxicity")
+    score = fresh(docs, "_toxicity")
+    return toxicity.score(docs, model, out_col=score).filter(F.col(score) < toxicity.THRESHOLD).drop(score)
 
 
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,10 +34,9 @@ def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     kept = (found.groupBy(group.alias("component"))
             .agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "digest")).alias("first"))
             .select(F.col("first.doc_id").alias("_id"), F.col("first.digest").alias("_digest")))
-    marked = docs.withColumn("_d", digest)
     # the rows of one (id, digest) hold one text: the partial aggregation keeps one per task before the shuffle
-    single = marked.groupBy("doc_id", "_d").agg(F.first(F.struct(*docs.columns)).alias("row"))
-    return (single.join(kept, single["doc_id"].eqNullSafe(kept["_id"]) & (single["_d"] == kept["_digest"]), "left_semi")
+    single = docs.groupBy(F.col("doc_id").alias("_key"), digest.alias("_d")).agg(F.first(F.struct(*docs.columns)).alias("row"))
+    return (single.join(kept, single["_key"].eqNullSafe(kept["_id"]) & (single["_d"] == kept["_digest"]), "left_semi")
             .select("row.*"))
 
 

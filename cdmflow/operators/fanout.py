@@ -47,7 +47,8 @@ def _event_struct(rule: Rule, event_id: Column) -> Column:
         F.lit(TARGET_NO[rule.target]).cast("int").alias("target_no"),
         F.lit(rule.rule_no).cast("int").alias("rule_no"),
         concept.cast("int").alias("concept_id"),
-        F.lit(EVENT_TYPE_CONCEPT[rule.target]).cast("int").alias("type_concept_id"),
+        F.lit(EVENT_TYPE_CONCEPT[rule.target] if rule.type_concept_id is None else rule.type_concept_id)
+        .cast("int").alias("type_concept_id"),
         (to_number(c) if rule.number else F.lit(None)).cast("double").alias("value_as_number"),
         (c.cast("string") if rule.text else F.lit(None)).cast("string").alias("value_as_string"),
         F.lit(rule.unit_concept_id).cast("int").alias("unit_concept_id"),

@@ -6,9 +6,11 @@ table into one pass over the registry; nothing here is code per rule.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # ---------------------------------------------------------------------------
@@ -72,6 +74,7 @@ class Rule:
     text: bool = False
     unit_concept_id: int | None = None
     source: str | None = "answer"
+    type_concept_id: int | None = None  # None: the type of the target table
 
 
 ANSWER = "answer"
@@ -164,8 +167,8 @@ CONCEPT_ROWS: tuple[tuple[int, str, str, str, str], ...] = (
 )
 
 
-def rules_for(target: str) -> tuple[Rule, ...]:
-    return tuple(r for r in RULES if r.target == target)
+def rules_for(target: str, rules: Sequence[Rule] = RULES) -> tuple[Rule, ...]:
+    return tuple(r for r in rules if r.target == target)
 
 
 RULE_SCHEMA = T.StructType([
@@ -191,6 +194,52 @@ def rule_frame(spark: SparkSession):
             r.rule_no, r.rule_id, r.target, r.column, r.when, list(r.match),
             dict(r.concept_map) or None,
             r.default_concept if r.concept_map else r.concept_id,
-            EVENT_TYPE_CONCEPT[r.target], kind, r.unit_concept_id, r.source,
+            EVENT_TYPE_CONCEPT[r.target] if r.type_concept_id is None else r.type_concept_id, kind, r.unit_concept_id, r.source,
         ))
     return spark.createDataFrame(rows, RULE_SCHEMA)
+
+
+def sheet_frame(spark: SparkSession) -> DataFrame:
+    """The rule table as a mapping sheet: every cell is text, lists and value maps are JSON."""
+    rules = rule_frame(spark)
+    return rules.select(*[(F.to_json(f.name) if isinstance(f.dataType, (T.ArrayType, T.MapType)) else F.col(f.name).cast("string")).alias(f.name)
+                          for f in RULE_SCHEMA.fields])
+
+
+def rules_from_frame(mappings: DataFrame, columns: Sequence[str] | None = None) -> tuple[Rule, ...]:
+    """O-SRC4 / T-MAP1: the rules that a mapping table (typed, or a sheet of text cells) states, in ``rule_no`` order.
+
+    A rule that names an unknown table, predicate or value kind, or a registry column that is not in ``columns``, is an
+    error that says which; so are missing columns of the table and a rule number that occurs twice. The table has one
+    row per rule, so it is collected.
+    """
+    lacking = [f.name for f in RULE_SCHEMA.fields if f.name not in mappings.columns]
+    if lacking:
+        raise ValueError(f"the mapping table lacks {', '.join(lacking)}")
+    typed = []
+    for f in RULE_SCHEMA.fields:
+        text = mappings.schema[f.name].dataType == T.StringType()
+        nested = isinstance(f.dataType, (T.ArrayType, T.MapType))
+        typed.append((F.from_json(f.name, f.dataType) if nested and text else F.col(f.name).cast(f.dataType)).alias(f.name))
+    rows = sorted(mappings.select(*typed).collect(), key=lambda r: (r["rule_no"] is None, r["rule_no"]))
+    wrong = []
+    for r, before in zip(rows, [None, *rows]):
+        for what, value, known in (("table", r["target"], EVENT_TARGETS), ("predicate", r["predicate_kind"], ("all", "in", "not_null")),
+                                   ("value kind", r["value_kind"], ("number", "string", "source", "none")),
+                                   ("registry column", r["source_col"], columns if columns is not None else [r["source_col"]])):
+            if value not in known:
+                wrong.append(f"{r['rule_id']}: unknown {what} {value!r}")
+        if r["rule_no"] is None or before is not None and before["rule_no"] == r["rule_no"]:
+            wrong.append(f"{r['rule_id']}: rule_no {r['rule_no']} is missing or used twice")
+    if wrong:
+        raise ValueError("; ".join(wrong))
+    found = []
+    for r in rows:
+        usual = EVENT_TYPE_CONCEPT[r["target"]]
+        found.append(Rule(
+            r["rule_no"], r["rule_id"], r["target"], r["source_col"], r["predicate_kind"], tuple(r["predicate_values"] or ()),
+            concept_id=0 if r["concept_map"] else r["concept_id"] or 0, concept_map=dict(r["concept_map"] or {}),
+            default_concept=(r["concept_id"] or 0) if r["concept_map"] else 0, number=r["value_kind"] == "number",
+            text=r["value_kind"] == "string", unit_concept_id=r["unit_concept_id"], source=r["source_value"],
+            type_concept_id=None if r["type_concept_id"] in (None, usual) else r["type_concept_id"]))
+    return tuple(found)

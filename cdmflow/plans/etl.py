@@ -24,11 +24,12 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..functions.keys import (id_bounds, id_bucket_width, next_key_start, rule_offsets, with_dense_key,
                               with_event_ids)
-from ..functions.values import parse_dmy, value_map
+from ..functions.values import parse_dmy, quoted, value_map
 from ..operators.fanout import fan_out, fires
+from ..operators.lookup import counted_join
 from ..operators.rules import (
     ETHNICITY_CONCEPT, EVENT_TARGETS, RULES, GENDER_DEFAULT, GENDER_MAP, PERIOD_TYPE_CONCEPT, PROXY_DATE,
-    RACE_CONCEPT, VISIT_CONCEPT, VISIT_TYPE_CONCEPT, rules_for,
+    RACE_CONCEPT, VISIT_CONCEPT, VISIT_TYPE_CONCEPT, Rule, rules_for,
 )
 from ..session import stage_path
 
@@ -87,6 +88,39 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+MISSING_ID, REPEATED_ID, KNOWN_ID = "missing record id", "repeated record id", "record id already loaded"
+
+
+def split_records(registry: DataFrame, person: DataFrame | None = None,
+                  file_position: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(records to load, refused records with a ``reason``); together they are all of ``registry``.
+
+    T-DQ6 / O-JN1: a record id names one patient. Rows without an id, all rows of an id that occurs more than once
+    (which of them holds is not known), and rows whose id is stored in ``person`` already are refused, in a fresh load
+    and an append alike. The records to load are a Parquet scan (``file_position``: as ``registry`` is), so they can be
+    keyed by file position. The ids are counted map-side; without any repeated or stored one the records are not joined,
+    and a much repeated one is no hot task.
+    """
+    rid = F.col("record_id").cast("string")
+    source = registry if file_position else staged(registry, "records")
+    counts = source.where(F.col("record_id").isNotNull()).groupBy(rid.alias("_rid")).agg(F.count(F.lit(1)).alias("_times"))
+    doubtful = counts.where(F.col("_times") > 1).withColumn("_why", F.lit(REPEATED_ID))
+    if person is not None:
+        stored = counts.where(F.col("_times") == 1).join(
+            person.select(F.col("person_source_value").alias("_rid")).distinct(), "_rid")
+        doubtful = doubtful.unionByName(stored.withColumn("_why", F.lit(KNOWN_ID)))
+    doubtful = staged(doubtful, "doubtful-ids")
+    if doubtful.isEmpty():
+        reason = F.when(F.col("record_id").isNull(), F.lit(MISSING_ID))
+        return (source.where(F.col("record_id").isNotNull()),
+                source.where(F.col("record_id").isNull()).withColumn("reason", reason))
+    judged = counted_join(source.withColumn("_rid", rid), doubtful, "_rid", "_times", "left").withColumn(
+        "reason", F.when(F.col("record_id").isNull(), F.lit(MISSING_ID)).otherwise(F.col("_why")))
+    judged = staged(judged.select(*[F.col(quoted(c)) for c in source.columns], "reason"), "judged-records")
+    accepted = staged(judged.where(F.col("reason").isNull()).drop("reason"), "accepted-records")
+    return accepted, judged.where(F.col("reason").isNotNull())
+
+
 def load_person(spine: DataFrame) -> DataFrame:
     """L-PER: sex mapped, birth date split (impossible dates -> NULL parts), source values kept."""
     dob = parse_dmy("date_of_birth")
@@ -157,15 +191,16 @@ def spine_from_tables(registry: DataFrame, person: DataFrame, visit: DataFrame)
     return keyed.join(v, "person_id")
 
 
-def event_offsets(spine: DataFrame, targets: Sequence[str], low: int, width: int) -> DataFrame:
+def event_offsets(spine: DataFrame, targets: Sequence[str], low: int, width: int,
+                  known: Sequence[Rule] = RULES) -> DataFrame:
     """First event number of every (rule, person-id bucket) of ``targets``; each target starts at zero."""
-    rules = [r for t in targets for r in rules_for(t)]
+    rules = [r for t in targets for r in rules_for(t, known)]
     restart = [k for k, r in enumerate(rules) if k == 0 or rules[k - 1].target != r.target]
     return rule_offsets(spine, [fires(r) for r in rules], "person_id", low, width, restart)
 
 
 def key_events(spine: DataFrame, target: str, start: int | Column = 1, bounds: tuple[int, int] | None = None,
-               offsets: DataFrame | None = None, first_rule: int = 0) -> DataFrame:
+               offsets: DataFrame | None = None, first_rule: int = 0, known: Sequence[Rule] = RULES) -> DataFrame:
     """Fan-out of the rules of ``target`` with dense ids in (rule, person) order.
 
     The ids are computed on the spine (one shuffle of one narrow row per registry row); the
@@ -173,11 +208,11 @@ def key_events(spine: DataFrame, target: str, start: int | Column = 1, bounds: t
     ``bounds`` are the least and largest person id; ``offsets`` (``event_offsets``) may be shared by
     several targets, ``first_rule`` being the place of this target's first rule in them.
     """
-    rules = rules_for(target)
+    rules = rules_for(target, known)
     low, high = bounds or id_bounds(spine, "person_id")
     width = id_bucket_width(spine.sparkSession, high - low + 1)
     if offsets is None:
-        offsets = event_offsets(spine, (target,), low, width)
+        offsets = event_offsets(spine, (target,), low, width, known)
     narrow = spine.select("person_id", "visit_occurrence_id", "visit_start_date",
                           *dict.fromkeys(r.column for r in rules))
     numbered = with_event_ids(narrow, [fires(r) for r in rules], offsets, "person_id", low, width, start, first_rule)
@@ -243,6 +278,7 @@ class Cdm:
     procedure_occurrence: DataFrame
     drug_exposure: DataFrame
     concept: DataFrame | None = None
+    refused: DataFrame | None = None
 
     def tables(self) -> dict[str, DataFrame]:
         return {n: getattr(self, n) for n in schemas.CLINICAL_TABLES}
@@ -252,10 +288,27 @@ def empty_table(spark: SparkSession, name: str) -> DataFrame:
     return schemas.empty_frame(spark, schemas.ALL_CDM[name])
 
 
-def run_etl(registry: DataFrame, concept: DataFrame | None = None, file_position: bool = False) -> Cdm:
-    """L-ALL: the whole load in dependency order (person -> period -> visit -> events)."""
+def run_etl(registry: DataFrame, concept: DataFrame | None = None, file_position: bool = False,
+            rules: Sequence[Rule] = RULES) -> Cdm:
+    """L-ALL: the whole load in dependency order (person -> period -> visit -> events).
+
+    ``rules`` may come from a mapping table (``rules_from_frame``). ``refused`` of the result holds the records that
+    were not loaded (``split_records``)."""
+    return _load(registry, concept=concept, file_position=file_position, rules=rules)
+
+
+def run_append(registry: DataFrame, stored: Cdm) -> Cdm:
+    """The rows that an export adds to ``stored``, with ids after those of its tables. One period and one visit per
+    person, so their ids go on with the person's."""
+    starts = {t: next_key_start(getattr(stored, t), EVENT_ID[t]) for t in EVENT_TARGETS}
+    return _load(registry, stored.concept, stored.person, next_key_start(stored.person, "person_id"), starts)
+
+
+def _load(registry: DataFrame, concept: DataFrame | None = None, known: DataFrame | None = None, start: int | Column = 1,
+          starts: dict[str, Column] | None = None, file_position: bool = False, rules: Sequence[Rule] = RULES) -> Cdm:
     spark = registry.sparkSession
-    spine = build_spine(registry, file_position=file_position)
+    accepted, refused = split_records(registry, known, file_position)
+    spine = build_spine(accepted, start=start, file_position=True)
     person = load_person(spine)
     period = load_observation_period(person)
     visit = visit_from_period(period)
@@ -263,15 +316,19 @@ def run_etl(registry: DataFrame, concept: DataFrame | None = None, file_position
     bounds = id_bounds(spine, "person_id")
     width = id_bucket_width(spark, bounds[1] - bounds[0] + 1)
     # one counting pass over the spine gives the offsets of all four tables: one row per id bucket
-    offsets = staged(event_offsets(events, EVENT_TARGETS, bounds[0], width), "event-offsets")
+    offsets = staged(event_offsets(events, EVENT_TARGETS, bounds[0], width, rules), "event-offsets")
     loaded, first = {}, 0
     for t in EVENT_TARGETS:
-        loaded[t] = event_table(key_events(events, t, bounds=bounds, offsets=offsets, first_rule=first), t)
-        first += len(rules_for(t))
+        if not rules_for(t, rules):
+            loaded[t] = empty_table(spark, t)
+            continue
+        keyed = key_events(events, t, start=(starts or {}).get(t, 1), bounds=bounds, offsets=offsets, first_rule=first, known=rules)
+        loaded[t] = event_table(keyed, t)
+        first += len(rules_for(t, rules))
     return Cdm(person=person, observation_period=period, visit_occurrence=visit,
                condition_occurrence=loaded["condition_occurrence"], observation=loaded["observation"],
                measurement=loaded["measurement"], procedure_occurrence=loaded["procedure_occurrence"],
-               drug_exposure=empty_table(spark, "drug_exposure"), concept=concept)
+               drug_exposure=empty_table(spark, "drug_exposure"), concept=concept, refused=refused)
 
 
 def append_events(registry: DataFrame, person: DataFrame, visit: DataFrame, existing: DataFrame,

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.quality import bad_dates, bad_numbers
-from ..operators.rules import rule_frame
+from ..operators.rules import RULE_SCHEMA, RULES, rule_frame, rules_from_frame
 from ..sources import sinks
 from ..sources.dictionary import read_dictionary, variables_from_frame
 from ..sources.registry import NUMERIC_FIELDS, read_registry_text, type_registry
@@ -32,7 +32,8 @@ def stage_registry_files(spark: SparkSession, data_dir: str, out_root: str) -> d
     """L-STG: dictionary, mapping sheet and patient export -> ``import`` tables (replaced on every run).
 
     A missing file is reported and skipped (O-SRC6). The mapping sheet is read as CSV
-    (``omop_mappings.csv``); without it the built-in rule table is staged instead.
+    (``omop_mappings.csv``); without it the built-in rule table is staged instead. The load then follows the staged
+    sheet (``rules_from_frame``); a sheet without any column of the rule table is kept for reference only.
     """
     staged: dict[str, DataFrame] = {}
     dict_path = os.path.join(data_dir, "dictionary.csv")
@@ -58,6 +59,11 @@ def stage_registry_files(spark: SparkSession, data_dir: str, out_root: str) -> d
     return staged
 
 
+def states_rules(mappings: DataFrame) -> bool:
+    """Is this a rule table, and not some other mapping sheet?"""
+    return not set(RULE_SCHEMA.fieldNames()).isdisjoint(mappings.columns)
+
+
 def unparsed_values(text: DataFrame) -> DataFrame:
     """T-DQ6: (record_id, raw_value, column_name) of every number or date that typing turns into NULL."""
     present = [c for c in NUMERIC_FIELDS if c in text.columns]
@@ -81,9 +87,12 @@ def run_job(spark: SparkSession, data_dir: str, out_root: str, vocab_dir: str |
         if vocab_dir else {}
     concept = vocab["concept"] if "concept" in vocab else seed_concepts(spark)
     sinks.write_table(cdm_source(spark, source_name), out_root, "cdm_source")
-    cdm = sinks.write_cdm(run_etl(staged["labels"], concept=concept, file_position=True), out_root)
+    rules = rules_from_frame(staged["mappings"], staged["labels"].columns) if states_rules(staged["mappings"]) else RULES
+    loaded = run_etl(staged["labels"], concept=concept, file_position=True, rules=rules)
+    refused = sinks.write_table(loaded.refused, out_root, "refused_records", schema="quarantine")
+    cdm = sinks.write_cdm(loaded, out_root)
     quality = sinks.write_table(quality_report(cdm), out_root, "quality_report", schema="report")
-    reports = {"overview": overview_counts(cdm), "quality": quality}
+    reports = {"overview": overview_counts(cdm), "quality": quality, "refused": refused}
     if "quarantine" in staged:
         reports["quarantine"] = staged["quarantine"]
     return reports

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -60,21 +61,76 @@ def type_registry(raw: DataFrame) -> DataFrame:
     return raw.select(*cols, *[F.col(quoted(c)) for c in extra])
 
 
-def read_registry_text(spark: SparkSession, path: str, labels: dict[str, str] | None = None) -> DataFrame:
-    """Scan a label-headed registry export as text and rename labels to variables.
+_CSV = {"quote": '"', "escape": '"', "encoding": "UTF-8"}
 
-    Everything is read as string (no inference pass over the data), so a dirty value cannot
+
+def profile_export(spark: SparkSession, path: str) -> DataFrame:
+    """(file, first_line, odd_lines) of every file of an export, in one splittable pass.
+
+    ``odd_lines`` counts the lines with an odd number of quotes: where a record begins or ends that spans lines.
+    """
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("place"), "value")
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    return lines.groupBy("file").agg(F.min_by("value", "place").alias("first_line"),
+                                     F.count_if(quotes % 2 == 1).alias("odd_lines"))
+
+
+def read_header(spark: SparkSession, file: str) -> tuple[list[str], list[str]]:
+    """(column names, physical lines) of the header record of one file; the record may span lines.
+
+    Only the record itself is read: the CSV reader stops after it, the lines come from the file's first block.
+    """
+    first = spark.read.options(header=False, multiLine=True, **_CSV).csv(file).limit(1).collect()
+    if not first:
+        return [], []
+    names = [(v or f"_c{i}").lstrip("\ufeff").rstrip("\r") for i, v in enumerate(first[0])]
+    names = [f"{n}{i}" if names.count(n) > 1 else n for i, n in enumerate(names)]
+    size = 1 + sum((v or "").count("\n") for v in first[0])
+    lines = spark.read.text(file).filter("_metadata.file_block_start = 0").limit(size).collect()
+    return names, [r["value"] for r in lines]
+
+
+def _body(spark: SparkSession, files: list[str], names: list[str], head: list[str]) -> DataFrame:
+    """The records below the header, each on a line of its own: the scan splits like any text file."""
+    lines = spark.read.text(files).filter(~F.col("value").isin(head) & (F.trim("value") != ""))
+    schema = ", ".join(f"c{i} string" for i in range(len(names)))
+    return lines.select(F.from_csv("value", schema, _CSV).alias("r")).select("r.*").toDF(*names)
+
+
+def read_registry_text(spark: SparkSession, path: str | list[str], labels: dict[str, str] | None = None,
+                       multiline: bool | None = None) -> DataFrame:
+    """Scan label-headed registry exports (a file, folder or pattern) as text and rename labels to variables.
+
+    Every file is read by its own header, so exports may differ in the order and choice of columns; a column that a
+    file lacks is NULL. Everything is read as string (no inference pass over the data), so a dirty value cannot
     change a column's type; what does not parse can be listed before typing.
+
+    Line breaks inside values make a file unsplittable: one task must read it from its start. With ``multiline``
+    None, a pass over the lines finds out which files hold such records, and only those are read whole; True reads
+    every file whole without looking; False raises an error for a file that would need it.
     """
-    raw = (
-        spark.read.option("header", True)
-        .option("multiLine", True)
-        .option("escape", '"')
-        .option("inferSchema", False)
-        .option("encoding", "UTF-8")
-        .csv(path)
-    )
-    return rename_labels(clean_export(raw), labels)
+    by_header: dict[str, list] = {}
+    for r in profile_export(spark, path).collect():  # one row per file
+        by_header.setdefault(r["first_line"], []).append(r)
+    parts = []
+    for rows in by_header.values():
+        rows.sort(key=lambda r: r["file"])
+        names, head = read_header(spark, rows[0]["file"])
+        in_head = sum(line.count('"') % 2 for line in head)
+        spanning = [r["file"] for r in rows if multiline or r["odd_lines"] > in_head]
+        if spanning and multiline is False:
+            raise ValueError(f"records span lines in {spanning[0]}; read it with multiline=True")
+        plain = [r["file"] for r in rows if r["file"] not in spanning]
+        if plain:
+            parts.append(_body(spark, plain, names, head))
+        if spanning:
+            parts.append(spark.read.options(header=True, multiLine=True, inferSchema=False, **_CSV).csv(spanning).toDF(*names))
+    if not parts:
+        return spark.createDataFrame([], "record_id string")
+    cleaned = [rename_labels(clean_export(p), labels) for p in parts]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), cleaned)
 
 
 def read_registry_csv(spark: SparkSession, path: str, labels: dict[str, str] | None = None) -> DataFrame:

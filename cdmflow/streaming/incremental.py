@@ -21,10 +21,10 @@ from pyspark.sql.streaming import StreamingQuery
 from ..functions.keys import id_bounds
 from ..operators.rules import EVENT_TARGETS
 from ..plans.etl import (EVENT_ID, build_spine, event_spine, event_table, key_events, load_observation_period,
-                         load_person, visit_from_period)
+                         load_person, split_records, visit_from_period)
 from ..session import path_exists
 from ..sources.dictionary import rename_labels
-from ..sources.registry import clean_export, type_registry
+from ..sources.registry import clean_export, read_registry_text, type_registry
 
 BATCH_COL = "_batch"
 
@@ -50,13 +50,24 @@ def _next_id(spark: SparkSession, root: str, table: str, key: str, batch_id: int
 
 
 def load_registry_batch(batch: DataFrame, batch_id: int, root: str) -> None:
-    """Load one export (label-headed text columns) into the batch-partitioned CDM tables."""
-    spark = batch.sparkSession
-    registry = type_registry(rename_labels(clean_export(batch)))
+    """Load one micro-batch (label-headed text columns) into the batch-partitioned CDM tables."""
+    _load(type_registry(rename_labels(clean_export(batch))), batch_id, root)
+
+
+def load_registry_files(spark: SparkSession, files: list[str], batch_id: int, root: str) -> None:
+    """Load export files, each read by its own header."""
+    _load(type_registry(read_registry_text(spark, files)), batch_id, root)
+
+
+def _load(registry: DataFrame, batch_id: int, root: str) -> None:
+    spark = registry.sparkSession
     if registry.isEmpty():
         return
+    earlier = read_batched(spark, root, "person")
+    known = None if earlier is None else earlier.where(F.col(BATCH_COL) < batch_id).select("person_source_value")
+    accepted, refused = split_records(registry, known)
     start = _next_id(spark, root, "person", "person_id", batch_id)
-    spine = build_spine(registry, start=start)
+    spine = build_spine(accepted, start=start, file_position=True)
     person = load_person(spine)
     period = load_observation_period(person)
     tables = {"person": person, "observation_period": period, "visit_occurrence": visit_from_period(period)}
@@ -65,29 +76,32 @@ def load_registry_batch(batch: DataFrame, batch_id: int, root: str) -> None:
     for target in EVENT_TARGETS:
         first = _next_id(spark, root, target, EVENT_ID[target], batch_id)
         tables[target] = event_table(key_events(events, target, start=first, bounds=bounds), target)
+    tables["refused_records"] = refused.select(F.col("record_id").cast("string").alias("record_id"), "reason")
     for name, df in tables.items():
         df.write.mode("overwrite").parquet(batch_path(root, name, batch_id))
 
 
 def start_registry_stream(spark: SparkSession, input_dir: str, root: str, checkpoint: str | None = None,
-                          sample_file: str | None = None, max_files_per_trigger: int | None = None,
-                          available_now: bool = True) -> StreamingQuery:
+                          max_files_per_trigger: int | None = None, available_now: bool = True) -> StreamingQuery:
     """Watch ``input_dir`` for registry CSV exports and load each micro-batch.
 
-    The text schema (label headers) is taken once from ``sample_file`` or the folder's
-    current files; columns stay strings until ``type_registry``.
+    The stream carries only the names of new files: every export is read inside its batch by its own header, so a later
+    export may order, leave out or add columns. Records without an id, with a repeated or an already loaded one are
+    written to ``refused_records``.
     """
-    header_source = sample_file or input_dir
-    schema = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(
-        header_source).schema
-    reader = (spark.readStream.schema(schema).option("header", True).option("multiLine", True)
-              .option("escape", '"'))
+    reader = spark.readStream.format("binaryFile").schema(
+        "path string, modificationTime timestamp, length long, content binary")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    stream = reader.csv(input_dir)
+    stream = reader.load(input_dir).select("path")
     inbox = hashlib.sha256(input_dir.rstrip("/").encode()).hexdigest()[:16]
     cp = checkpoint or os.path.join(root, "_stream_checkpoint", inbox)  # one per (inbox, root)
-    writer = stream.writeStream.foreachBatch(lambda df, bid: load_registry_batch(df, bid, root)).option(
-        "checkpointLocation", cp)
+
+    def load(batch: DataFrame, batch_id: int) -> None:
+        files = [r["path"] for r in batch.collect()]  # the new files of one trigger
+        if files:
+            load_registry_files(batch.sparkSession, files, batch_id, root)
+
+    writer = stream.writeStream.foreachBatch(load).option("checkpointLocation", cp)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()

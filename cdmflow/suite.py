@@ -11,29 +11,33 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import oracle as O
-from .functions.keys import next_key_start, with_dense_key
+from .functions.keys import next_key_start, shuffle_partitions, with_dense_key
+from .functions.values import quoted
 from .operators import dictionary_checks as DC
 from .operators import quality as QO
 from .plans import analytics as A
 from .plans import quality as Q
-from .plans.etl import (Cdm, append_events, build_spine, load_observation_period, load_person, run_etl,
+from .plans.append import append_export
+from .plans.etl import (EVENT_ID, Cdm, append_events, build_spine, load_observation_period, load_person, run_etl,
                         visit_from_period)
-from .sources.dictionary import dictionary_frame
-from .sources.registry import REGISTRY_FIELDS, derived_registry
+from .sources.dictionary import DICTIONARY_COLUMNS, DICTIONARY_ROWS, EXTRA_LABELS, dictionary_frame, read_dictionary
+from .sources.registry import REGISTRY_FIELDS, derived_registry, read_registry_csv
 from .operators import vocab as V
 from .schemas import CONCEPT
 from .sources import standins as G
 from .session import stage_path
-from .sources.sinks import read_cdm, reset_clinical_tables, write_cdm, write_table
+from .sources.sinks import read_cdm, read_table, reset_clinical_tables, save_cdm, write_cdm, write_table
 from .sources.vocabulary import read_vocabulary_file, seed_concepts
 
 Query = Callable[[SparkSession, str], DataFrame]
 _CDM: dict[tuple[str, str], Cdm] = {}
+_DATABASE: dict[tuple[str, str], str] = {}
 
 
 def registry(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,8 +45,9 @@ def registry(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cdm(spark: SparkSession, sf_dir: str) -> Cdm:
-    """The loaded CDM for ``sf_dir``: loaded once per session and written under the shared
-    checkpoint root; the questions then read stored Parquet (filters reach the scans)."""
+    """The loaded CDM for ``sf_dir``: loaded once per session into a catalog database under the shared checkpoint
+    root, its tables bucketed and sorted by person; the questions then read stored tables (filters reach the scans,
+    joins on the person need no exchange)."""
     key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
     if key not in _CDM:
         root = stage_path(spark, "cdm")
@@ -50,10 +55,32 @@ def cdm(spark: SparkSession, sf_dir: str) -> Cdm:
         # file position as the last tie-break
         staged = write_table(registry(spark, sf_dir), root, "labels", schema="import")
         loaded = run_etl(staged, concept=seed_concepts(spark), file_position=True)
-        _CDM[key] = write_cdm(loaded, root)
+        _DATABASE[key] = database = "cdm_" + os.path.basename(root).removeprefix("cdm-")
+        _CDM[key] = save_cdm(loaded, database, location=os.path.join(root, "db"),
+                             buckets=shuffle_partitions(spark) or 200)
     return _CDM[key]
 
 
+def dictionary(spark: SparkSession) -> DataFrame:
+    """The registry's dictionary, scanned from a file in the export's form."""
+    path = stage_path(spark, "dictionary")
+    dictionary_frame(spark).toDF(*DICTIONARY_COLUMNS).coalesce(1).write.options(header=True, escape='"', lineSep="\r\n").csv(path)
+    return read_dictionary(spark, path)
+
+
+def stage_registry_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L-STG / O-SRC1 / O-PRJ2 / D-DICT5: the registry through its export form. It is written as label-headed CSV with
+    CRLF line ends, NA for missing answers and an odd extra column, then scanned, renamed, cleaned and typed."""
+    labels = {r[0]: r[3] for r in DICTIONARY_ROWS} | {v: k for k, v in EXTRA_LABELS.items()}
+    df = registry(spark, sf_dir)
+    path = stage_path(spark, "export")
+    (df.select(*[F.col(c).alias(labels.get(c, c)) for c in df.columns], F.lit('say "x", or .').alias('Note. (`free`, "text")'))
+     .write.options(header=True, escape='"', quote='"', nullValue="NA", lineSep="\r\n").csv(path))
+    staged = read_registry_csv(spark, path)
+    return staged.where(F.col(quoted('Note. (`free`, "text")')) == 'say "x", or .').select(
+        F.col("record_id").cast("long").alias("record_id"), *[c for c in df.columns if c != "record_id"])
+
+
 def _registry_check(fn: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, sf: fn(registry(spark, sf))
 
@@ -63,7 +90,11 @@ def preview_registry(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def not_permitted(spark: SparkSession, sf: str) -> DataFrame:
-    return DC.not_permitted(registry(spark, sf), dictionary_frame(spark))
+    return DC.not_permitted(registry(spark, sf), dictionary(spark))
+
+
+def _dictionary_check(fn: Callable[..., DataFrame]) -> Query:
+    return lambda spark, sf: fn(registry(spark, sf), dictionary=dictionary(spark))
 
 
 def bad_dates(spark: SparkSession, sf: str) -> DataFrame:
@@ -100,12 +131,26 @@ def append_with_key_continuation(spark: SparkSession, sf: str) -> DataFrame:
     return c1.condition_occurrence.unionByName(cond2)
 
 
+def append_four_targets(spark: SparkSession, sf: str) -> DataFrame:
+    """O-SNK2, O-KEY2, O-JN1..3: the registry arrives as two exports, and the second one twice; both are appended to
+    stored tables through the ledger, and all four event tables are read back."""
+    reg = registry(spark, sf)
+    split = reg.agg(((F.min("record_id") + F.max("record_id")) / F.lit(2.0)).alias("s")).scalar()
+    root = stage_path(spark, "appended")
+    second = reg.where(~(F.col("record_id") <= split))
+    for export in (reg.where(F.col("record_id") <= split), second, second):
+        stored = append_export(export, root)
+    parts = [getattr(stored, t).select(F.lit(t).alias("table_name"), F.col(EVENT_ID[t]).alias("event_id"), "person_id",
+                                       F.col(c).alias("concept_id"), F.col(s).alias("source_value"), "visit_occurrence_id")
+             for t, (c, s) in Q.EVENT_CONCEPT_SOURCE.items()]
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
 def catalog_counts(spark: SparkSession, sf: str) -> DataFrame:
-    """A-CAT / O-SRC7 / O-SET2: row count of every table found in the catalog database."""
-    for name, df in cdm(spark, sf).tables().items():
-        df.createOrReplaceGlobalTempView(name)
-    db = spark.conf.get("spark.sql.globalTempDatabase", "global_temp")
-    return A.catalog_counts(spark, db)
+    """A-CAT / O-SRC7 / O-SET2: row count of every table of the load's own catalog database."""
+    cdm(spark, sf)
+    database = _DATABASE[(spark.sparkContext.applicationId, os.path.abspath(sf))]
+    return A.catalog_counts(spark, database).withColumn("table_schema", F.lit("cdm"))
 
 
 def vocab_load(spark: SparkSession, sf: str) -> DataFrame:
@@ -180,11 +225,17 @@ def damaged(spark: SparkSession, sf: str) -> Cdm:
 
 
 def reset_counts(spark: SparkSession, sf: str) -> DataFrame:
-    """L-RST / O-SNK7: a copy of the whole load is reset; its eight clinical tables then count zero."""
+    """L-RST / O-SNK7: a copy of the whole load is reset; its eight clinical tables then count zero, while the staged
+    registry and the vocabulary keep their rows."""
     root = stage_path(spark, "reset")
+    write_table(registry(spark, sf), root, "labels", schema="import")
+    write_table(G.geo_concepts(spark, sf), root, "concept", schema="vocabulary")
     write_cdm(cdm(spark, sf), root)
     reset_clinical_tables(spark, root)
-    return A.overview_counts(read_cdm(spark, root))
+    after = read_cdm(spark, root)
+    kept = {"import.labels": read_table(spark, root, "labels", "import"),
+            "vocabulary.concept": read_table(spark, root, "concept", "vocabulary")}
+    return A.labelled_counts({t: getattr(after, t) for t in A.OVERVIEW_TABLES} | kept)
 
 
 def _table(name: str) -> Query:
@@ -197,6 +248,8 @@ def _question(fn: Callable[[Cdm], DataFrame]) -> Query:
 
 QUERIES: dict[str, Query] = {
     "stage_registry": registry,
+    "stage_registry_csv": stage_registry_csv,
+    "append_four_targets": append_four_targets,
     "load_person": _table("person"),
     "load_observation_period": _table("observation_period"),
     "load_visit_occurrence": _table("visit_occurrence"),
@@ -231,12 +284,12 @@ QUERIES: dict[str, Query] = {
     "dq_bad_dates": bad_dates,
     "dq_registry_nulls": _registry_check(lambda r: QO.null_counts(r)),
     "dq_duplicate_keys": duplicate_line_keys,
-    "dict_ranges": _registry_check(DC.out_of_range),
-    "dict_date_ranges": _registry_check(DC.dates_out_of_range),
+    "dict_ranges": _dictionary_check(DC.out_of_range),
+    "dict_date_ranges": _dictionary_check(DC.dates_out_of_range),
     "dict_membership": not_permitted,
-    "dict_required": _registry_check(DC.missing_required),
+    "dict_required": _dictionary_check(DC.missing_required),
     "dict_conditional": _registry_check(DC.branching_violations),
-    "dict_deidentify": _registry_check(DC.deidentify),
+    "dict_deidentify": _dictionary_check(DC.deidentify),
     "vocab_load": vocab_load,
     "vocab_descendants": vocab_descendants,
     "vocab_map_to_standard": vocab_map_to_standard,
@@ -246,11 +299,56 @@ QUERIES: dict[str, Query] = {
     "vocab_specificity": vocab_specificity,
 }
 
+_GEO = """
+geo_concept AS (
+  SELECT CAST(1000 + r_regionkey AS INTEGER) AS concept_id, r_name AS concept_name, 'Region' AS concept_class_id,
+         CASE WHEN r_regionkey <> 4 THEN 'S' END AS standard_concept, DATE '1970-01-01' AS valid_start_date,
+         CASE WHEN r_regionkey = 3 THEN DATE '1995-06-30' ELSE DATE '2099-12-31' END AS valid_end_date FROM region
+  UNION ALL SELECT CAST(2000 + n_nationkey AS INTEGER), n_name, 'Nation', NULL, DATE '1970-01-01',
+         DATE '2099-12-31' FROM nation
+  UNION ALL SELECT CAST(1000000 + c_custkey AS INTEGER), c_name, 'Customer', 'S', DATE '1970-01-01',
+         DATE '2099-12-31' FROM customer),
+geo_rel AS (SELECT CAST(2000 + n_nationkey AS INTEGER) AS src, CAST(1000 + n_regionkey AS INTEGER) AS dst,
+                   n_nationkey = 24 AS deprecated FROM nation),
+edges1 AS (SELECT CAST(1000 + n_regionkey AS INTEGER) AS p, CAST(2000 + n_nationkey AS INTEGER) AS c FROM nation),
+edges2 AS (SELECT CAST(2000 + c_nationkey AS INTEGER) AS p, CAST(1000000 + c_custkey AS INTEGER) AS c FROM customer),
+nodes AS (SELECT p AS x FROM edges1 UNION SELECT c FROM edges1 UNION SELECT p FROM edges2 UNION SELECT c FROM edges2),
+geo_anc AS (
+  SELECT x AS ancestor_concept_id, x AS descendant_concept_id, 0 AS min_levels_of_separation FROM nodes
+  UNION ALL SELECT p, c, 1 FROM edges1
+  UNION ALL SELECT p, c, 1 FROM edges2
+  UNION ALL SELECT e1.p, e2.c, 2 FROM edges1 e1 JOIN edges2 e2 ON e2.p = e1.c),
+mapped AS (
+  SELECT CAST(o.o_orderdate AS DATE) AS d, CAST(COALESCE(r.dst, 0) AS INTEGER) AS std
+  FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey
+  LEFT JOIN geo_rel r ON r.src = 2000 + c.c_nationkey AND NOT r.deprecated)
+"""
+
+
+def _geo(body: str) -> str:
+    return "WITH " + _GEO.strip() + "\n" + body
+
+
 _EVENTS = ("person", "visit_occurrence", "condition_occurrence", "observation", "measurement",
            "procedure_occurrence", "concept")
 
 ORACLE: dict[str, str] = {
     "stage_registry": O.with_ctes("SELECT * FROM reg", "reg"),
+    "stage_registry_csv": O.with_ctes("SELECT * FROM reg", "reg"),
+    "append_four_targets": O.with_ctes("""
+, half AS (SELECT (min(record_id) + max(record_id)) / 2.0 AS "at" FROM reg),
+place AS (
+  SELECT tab, e.id, row_number() OVER (
+           PARTITION BY tab ORDER BY person_source_value::BIGINT > half."at", rule, who) AS event_id
+  FROM event e JOIN person p ON p.person_id = e.who, half),
+said AS (
+  SELECT 'condition' AS tab, condition_occurrence_id AS id, condition_source_value AS source_value FROM condition_occurrence
+  UNION ALL SELECT 'observation', observation_id, value_source_value FROM observation
+  UNION ALL SELECT 'measurement', measurement_id, value_source_value FROM measurement
+  UNION ALL SELECT 'procedure', procedure_occurrence_id, procedure_source_value FROM procedure_occurrence)
+SELECT CASE WHEN tab IN ('condition', 'procedure') THEN tab || '_occurrence' ELSE tab END AS table_name, event_id,
+       who AS person_id, concept AS concept_id, source_value, who AS visit_occurrence_id
+FROM event JOIN place USING (tab, id) JOIN said USING (tab, id)""", *_EVENTS),
     "load_person": O.with_ctes("SELECT * FROM person", "person"),
     "load_observation_period": O.with_ctes("SELECT * FROM observation_period", "observation_period"),
     "load_visit_occurrence": O.with_ctes("SELECT * FROM visit_occurrence", "visit_occurrence"),
@@ -321,9 +419,11 @@ FROM tally, cohort""", *_EVENTS),
          (SELECT count(*) FROM procedure_occurrence) AS procedure_occurrence,
          CAST(0 AS BIGINT) AS drug_exposure)
 UNPIVOT sizes ON COLUMNS(*) INTO NAME table_name VALUE row_count""", *_EVENTS, "observation_period"),
-    "reset_counts": "\nUNION ALL ".join(
-        f"SELECT '{t}' AS table_name, CAST(0 AS BIGINT) AS row_count" for t in A.OVERVIEW_TABLES)
-        + "\nORDER BY table_name",
+    "reset_counts": _geo("""
+SELECT 'import.labels' AS table_name, (SELECT count(*) FROM orders JOIN customer ON c_custkey = o_custkey) AS row_count
+UNION ALL SELECT 'vocabulary.concept', count(*) FROM geo_concept
+UNION ALL SELECT unnest(['person', 'observation_period', 'visit_occurrence', 'condition_occurrence', 'observation',
+                         'measurement', 'procedure_occurrence', 'drug_exposure']), 0"""),
     "verify_condition": O.with_ctes("""
 SELECT condition_concept_id, condition_source_value, count(*) AS n FROM condition_occurrence GROUP BY ALL""",
                                     "condition_occurrence"),
@@ -434,10 +534,10 @@ FROM (SELECT table_name, id, count(*) AS uses FROM ids GROUP BY ALL) GROUP BY ta
         for t, (frame, cols) in _MANDATORY_SQL.items() for c in cols.split()]), *_EVENTS),
     "preview_registry": O.with_ctes("SELECT * FROM reg ORDER BY record_id LIMIT 5", "reg"),
     "catalog_counts": O.with_ctes(_union_sql([
-        f"SELECT 'global_temp' AS table_schema, '{t}' AS table_name, COUNT(*) AS row_count FROM {t}"
+        f"SELECT 'cdm' AS table_schema, '{t}' AS table_name, COUNT(*) AS row_count FROM {t}"
         for t in ("person", "observation_period", "visit_occurrence", "condition_occurrence", "observation",
                   "measurement", "procedure_occurrence")]
-        + ["SELECT 'global_temp', 'drug_exposure', 0"]), *_EVENTS, "observation_period"),
+        + ["SELECT 'cdm', 'drug_exposure', 0"]), *_EVENTS, "observation_period"),
     "append_with_key_continuation": O.with_ctes("""
 , half AS (SELECT (min(record_id) + max(record_id)) / 2.0 AS "at" FROM reg)
 SELECT row_number() OVER (ORDER BY person_source_value::BIGINT > half."at", rule, who) AS condition_occurrence_id,
@@ -500,36 +600,6 @@ WHERE drug_compliance IS NOT NULL AND NOT coalesce(chelation_treat = 'Yes', fals
 })
 
 
-_GEO = """
-geo_concept AS (
-  SELECT CAST(1000 + r_regionkey AS INTEGER) AS concept_id, r_name AS concept_name, 'Region' AS concept_class_id,
-         CASE WHEN r_regionkey <> 4 THEN 'S' END AS standard_concept, DATE '1970-01-01' AS valid_start_date,
-         CASE WHEN r_regionkey = 3 THEN DATE '1995-06-30' ELSE DATE '2099-12-31' END AS valid_end_date FROM region
-  UNION ALL SELECT CAST(2000 + n_nationkey AS INTEGER), n_name, 'Nation', NULL, DATE '1970-01-01',
-         DATE '2099-12-31' FROM nation
-  UNION ALL SELECT CAST(1000000 + c_custkey AS INTEGER), c_name, 'Customer', 'S', DATE '1970-01-01',
-         DATE '2099-12-31' FROM customer),
-geo_rel AS (SELECT CAST(2000 + n_nationkey AS INTEGER) AS src, CAST(1000 + n_regionkey AS INTEGER) AS dst,
-                   n_nationkey = 24 AS deprecated FROM nation),
-edges1 AS (SELECT CAST(1000 + n_regionkey AS INTEGER) AS p, CAST(2000 + n_nationkey AS INTEGER) AS c FROM nation),
-edges2 AS (SELECT CAST(2000 + c_nationkey AS INTEGER) AS p, CAST(1000000 + c_custkey AS INTEGER) AS c FROM customer),
-nodes AS (SELECT p AS x FROM edges1 UNION SELECT c FROM edges1 UNION SELECT p FROM edges2 UNION SELECT c FROM edges2),
-geo_anc AS (
-  SELECT x AS ancestor_concept_id, x AS descendant_concept_id, 0 AS min_levels_of_separation FROM nodes
-  UNION ALL SELECT p, c, 1 FROM edges1
-  UNION ALL SELECT p, c, 1 FROM edges2
-  UNION ALL SELECT e1.p, e2.c, 2 FROM edges1 e1 JOIN edges2 e2 ON e2.p = e1.c),
-mapped AS (
-  SELECT CAST(o.o_orderdate AS DATE) AS d, CAST(COALESCE(r.dst, 0) AS INTEGER) AS std
-  FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey
-  LEFT JOIN geo_rel r ON r.src = 2000 + c.c_nationkey AND NOT r.deprecated)
-"""
-
-
-def _geo(body: str) -> str:
-    return "WITH " + _GEO.strip() + "\n" + body
-
-
 _PART = G.PART_CONCEPT_TEXT
 ORACLE.update({
     "vocab_load": f"""

@@ -4,16 +4,19 @@ Every text gets counts (words, symbols, repeated lines, repeated three-word wind
 values between 0 and 1. A rule rejects a text whose value exceeds its cutoff. The cutoffs are selected per
 stratum on labelled holdout texts:
 
-* For every stratum, rule and cutoff of a fixed grid, ``k`` of the ``n`` good texts would be rejected. The
-  cutoff is certified if the exact binomial tail P(Bin(n, alpha / rules) <= k) is at most
-  delta / (strata x rules x cutoffs): the Clopper-Pearson bound on the false rejection rate lies below
-  alpha / rules, at a level corrected (Bonferroni) for every hypothesis tested.
-* Among the certified cutoffs, the one with the best balance of rejected bad texts against rejected good
-  ones (weighted by ``cost``) is taken, the mildest on ties; without a certified cutoff the rule is off.
+* One half of the labelled texts (by a digest of the id) proposes: per stratum and rule the cutoff of a fixed grid
+  with the best balance of rejected bad texts against rejected good ones (weighted by ``cost``), the mildest on ties;
+  the rules with a positive balance, best first, make a growing sequence of rule sets.
+* The other half decides: the sets of a stratum are tested in this order, each against the undivided ``alpha``. A set
+  that rejects ``k`` of the ``n`` good texts by any of its rules is certified if the exact binomial tail
+  P(Bin(n, alpha) <= k) is at most delta / strata: the Clopper-Pearson bound on its false rejection rate lies below
+  alpha. The first failure ends the sequence, so its tests need no further correction (fixed-sequence testing), and the
+  strata are corrected by Bonferroni. The last certified set is used; without one the stratum has no rules.
 
 So with probability 1 - delta at least, in no stratum are more than ``alpha`` of the good texts rejected by
-all rules together. Strata are the listed languages and one for the rest, so the threshold table has a
-bounded number of rows and is broadcast; counts per (stratum, rule, cutoff) are summed before the shuffle.
+all rules together: about 90 good texts of the deciding half without a false rejection suffice. Strata are the listed
+languages and one for the rest, so the threshold table has a bounded number of rows and is broadcast; counts per
+(stratum, rule, cutoff) and per (stratum, place in the sequence) are summed before the shuffle.
 
 Words are runs of ``[^\x20\x09-\x0D]``. Defined cases: null text is text without words; it and every text of
 fewer than 50 words fail the base rules; a null language falls in the rest stratum; a text labelled twice
@@ -116,30 +119,48 @@ def log_binomial_tail(k: Column, n: Column, p: float) -> Column:
     return first + F.log(total)
 
 
+def proposes(doc_id: Column) -> Column:
+    """Does a labelled text propose cutoffs (or decide on them)? Half of the ids, by their SHA-256."""
+    return F.substring(F.sha2(doc_id.cast("string").cast("binary"), 256), 1, 1) < "8"
+
+
 def thresholds(measured: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", label_col: str = "quality",
                alpha: float = 0.05, delta: float = 0.05, cost: float = 10.0) -> DataFrame:
-    """(stratum, one cutoff per rule): null where no cutoff of the rule is certified."""
+    """(stratum, one cutoff per rule): null where the rule is not in the certified set."""
     marked = (labels.filter(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
               .groupBy(F.col(id_col).alias("_id")).agg((F.min(label_col) > 0).alias("good")))
-    values = F.array(*[F.struct(F.lit(r).alias("rule"), v.alias("value")) for r, v in rule_values().items()])
-    holdout = (measured.filter(~base_failed()).select(F.col(id_col).alias("_id"), "stratum", values.alias("values"))
-               .join(marked, "_id").select("stratum", "good", F.inline("values")))
+    values = F.array(*[F.struct(F.lit(-i).alias("order"), F.lit(r).alias("rule"), v.alias("value")) for i, (r, v) in enumerate(rule_values().items())])
+    holdout = stage(measured.filter(~base_failed()).select(F.col(id_col).alias("_id"), "stratum", values.alias("values"))
+                    .join(marked, "_id").select("stratum", "good", "values", proposes(F.col("_id")).alias("proposes")), "quality-holdout")
     above = sum((F.col("value") > c).cast("int") for c in CUTOFFS)  # the number of cutoffs that reject the text
-    tally = holdout.groupBy("stratum", "rule", above.alias("above")).agg(
+    tally = holdout.filter("proposes").select("stratum", "good", F.inline("values")).groupBy("stratum", "order", "rule", above.alias("above")).agg(
         F.count_if("good").alias("good"), F.count_if(~F.col("good")).alias("bad"))
-    rows = tally.groupBy("stratum", "rule").agg(
-        F.sum("good").alias("n"), F.collect_list(F.struct("above", "good", "bad")).alias("tally"))  # at most 13 entries
+    rows = tally.groupBy("stratum", "order", "rule").agg(
+        F.collect_list(F.struct("above", "good", "bad")).alias("tally"))  # at most 13 entries
     grid = F.array(*[F.struct(F.lit(j + 1).alias("at"), F.lit(c).alias("cutoff")) for j, c in enumerate(CUTOFFS)])
     hits = lambda name: F.aggregate("tally", F.lit(0).cast("long"), lambda acc, x: acc + F.when(x["above"] >= F.col("at"), x[name]).otherwise(0))
-    tests = rows.select("stratum", "rule", "n", "tally", F.inline(grid)).select(
-        "stratum", "rule", "n", "cutoff", hits("good").alias("k"), hits("bad").alias("caught"))
-    p = alpha / len(RULES)
-    level = delta / ((len(STRATA) + 1) * len(RULES) * len(CUTOFFS))
-    certified = tests.filter((F.col("k") < F.col("n") * p) & (log_binomial_tail(F.col("k"), F.col("n"), p) <= F.log(F.lit(level))))
-    best = certified.groupBy("stratum", "rule").agg(
-        F.max(F.struct((F.col("caught") - cost * F.col("k")).alias("balance"), "cutoff")).alias("best"))
-    return best.groupBy("stratum").agg(*[
-        F.max(F.when((F.col("rule") == r) & (F.col("best.balance") > 0), F.col("best.cutoff"))).alias(r) for r in RULES])
+    balance = (hits("bad") - cost * hits("good")).alias("balance")
+    best = (rows.select("stratum", "order", "rule", "tally", F.inline(grid)).select("stratum", "order", "rule", balance, "cutoff")
+            .filter("balance > 0").groupBy("stratum", "order", "rule").agg(F.max(F.struct("balance", "cutoff")).alias("best")))
+    sets = best.groupBy("stratum").agg(F.reverse(F.sort_array(F.collect_list(  # at most one entry per rule
+        F.struct("best.balance", "order", "rule", "best.cutoff")))).alias("sequence"))
+
+    # the first rule of the sequence that rejects a deciding text: sets from there on reject it
+    cutoff_of = lambda v: F.filter("sequence", lambda x: x["rule"] == v["rule"])
+    places = F.transform(F.filter("values", lambda v: F.coalesce(v["value"] > F.get(cutoff_of(v), F.lit(0))["cutoff"], F.lit(False))),
+                         lambda v: F.array_position(F.transform("sequence", lambda x: x["rule"]), v["rule"]))
+    decided = (holdout.filter("NOT proposes AND good").join(F.broadcast(sets), "stratum")  # one row per stratum
+               .groupBy("stratum", F.array_min(places).alias("place")).agg(F.count(F.lit(1)).alias("c")))
+    counted = decided.groupBy("stratum").agg(F.sum("c").alias("n"), F.collect_list(F.struct("place", "c")).alias("tally"))
+    tests = counted.join(sets, "stratum").select("stratum", "n", "tally", F.posexplode("sequence").alias("i", "x")).select(
+        "stratum", "n", (F.col("i") + 1).alias("size"), F.col("x.rule").alias("rule"), F.col("x.cutoff").alias("cutoff"),
+        F.aggregate("tally", F.lit(0).cast("long"), lambda acc, t: acc + F.when(t["place"] <= F.col("i") + 1, t["c"]).otherwise(0)).alias("k"))
+    level = delta / (len(STRATA) + 1)
+    passed = (F.col("k") < F.col("n") * alpha) & (log_binomial_tail(F.col("k"), F.col("n"), alpha) <= F.log(F.lit(level)))
+    judged_sets = tests.select("stratum", "size", "rule", "cutoff", F.coalesce(passed, F.lit(False)).alias("passed"))
+    ends = judged_sets.groupBy("stratum").agg(F.min(F.when(~F.col("passed"), F.col("size"))).alias("end"))
+    certified = judged_sets.join(ends, "stratum").filter(F.col("end").isNull() | (F.col("size") < F.col("end")))
+    return certified.groupBy("stratum").agg(*[F.max(F.when(F.col("rule") == r, F.col("cutoff"))).alias(r) for r in RULES])
 
 
 def judged(df: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",

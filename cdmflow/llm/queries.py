@@ -87,20 +87,31 @@ v AS (
                  {'rule': 5, 'value': if(n_lines > 0, n_dup_lines / n_lines, 0)}], recursive := true)
   FROM b),
 l AS (SELECT doc_id, min(quality) AS quality FROM labels WHERE quality IS NOT NULL GROUP BY doc_id),
+h AS (
+  SELECT v.doc_id, stratum, rule, value, quality > 0 AS good, substr(sha256(v.doc_id::VARCHAR), 1, 1) < '8' AS proposes
+  FROM v JOIN l USING (doc_id) WHERE NOT base_failed),
+balance AS (
+  SELECT stratum, rule, c, count(*) FILTER (NOT good AND value > c) - 10 * count(*) FILTER (good AND value > c) AS balance
+  FROM h, (SELECT unnest([0.02, 0.05, 0.08, 0.12, 0.16, 0.2, 0.25, 0.3, 0.4, 0.5, 0.65, 0.8])::DOUBLE AS c)
+  WHERE proposes GROUP BY stratum, rule, c),
+proposed AS (
+  SELECT stratum, rule, c, row_number() OVER (PARTITION BY stratum ORDER BY balance DESC, rule) AS place
+  FROM (SELECT * FROM balance WHERE balance > 0
+        QUALIFY row_number() OVER (PARTITION BY stratum, rule ORDER BY balance DESC, c DESC) = 1)),
+hit AS (
+  SELECT doc_id, stratum, min(place) FILTER (value > c) AS place
+  FROM h LEFT JOIN proposed USING (stratum, rule) WHERE good AND NOT proposes GROUP BY doc_id, stratum),
 tests AS (
-  SELECT stratum, rule, c, count(*) FILTER (quality > 0) AS n,
-         count(*) FILTER (quality > 0 AND value > c) AS k, count(*) FILTER (quality <= 0 AND value > c) AS caught
-  FROM v JOIN l USING (doc_id),
-       (SELECT unnest([0.02, 0.05, 0.08, 0.12, 0.16, 0.2, 0.25, 0.3, 0.4, 0.5, 0.65, 0.8])::DOUBLE AS c)
-  WHERE NOT base_failed GROUP BY stratum, rule, c),
-certified AS (
-  SELECT * FROM tests
-  WHERE n > 0 AND k < n * 0.01 AND
+  SELECT p.stratum, p.rule, p.c, p.place, count(*) AS n, count(*) FILTER (hit.place <= p.place) AS k
+  FROM proposed p JOIN hit USING (stratum) GROUP BY ALL),
+verdict AS (
+  SELECT *, k < n * 0.05 AND
         list_sum(list_transform(range(0, k + 1), lambda i:
-          exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln(0.01) + (n - i) * ln(0.99)))) <= 0.05 / 300),
+          exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln(0.05) + (n - i) * ln(0.95)))) <= 0.05 / 5 AS passed
+  FROM tests),
 best AS (
-  SELECT stratum, rule, c FROM certified WHERE caught - 10 * k > 0
-  QUALIFY row_number() OVER (PARTITION BY stratum, rule ORDER BY caught - 10 * k DESC, c DESC) = 1),
+  SELECT stratum, rule, c FROM verdict
+  QUALIFY coalesce(min(place) FILTER (NOT passed) OVER (PARTITION BY stratum) > place, true)),
 rejected AS (SELECT DISTINCT doc_id FROM v JOIN best USING (stratum, rule) WHERE value > c)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND doc_id NOT IN (SELECT doc_id FROM rejected) AS kept

@@ -183,14 +183,15 @@ def rule_offsets(rows: DataFrame, fires: Sequence[Column], id_col: str, low: int
 
 
 def with_event_ids(rows: DataFrame, fires: Sequence[Column], offsets: DataFrame, id_col: str, low: int, width: int,
-                   start: int | Column = 1, first_rule: int = 0, out: str = "_event_ids") -> DataFrame:
+                   start: int | Column | Sequence[int | Column] = 1, first_rule: int = 0,
+                   out: str = "_event_ids") -> DataFrame:
     """Add the array ``out``: for each rule, the dense id that its event for this row gets.
 
     Ids follow (rule, ``id_col``) order. The rank inside an id bucket is a running count of the predicate,
     so only the narrow rows are shuffled (once, by bucket); events are made afterwards, already numbered.
     A bucket spans ``width`` ids, so none is hot while ids are unique. Rows that share an id are ordered by
     their content. ``offsets`` has one row per bucket (four per shuffle partition), so it is broadcast;
-    ``first_rule`` is the place of ``fires[0]`` in its arrays.
+    ``first_rule`` is the place of ``fires[0]`` in its arrays. ``start`` may differ from rule to rule.
     """
     columns = list(rows.columns)
     ties = [F.col(quoted(c)) for c in columns if c != id_col]
@@ -198,8 +199,9 @@ def with_event_ids(rows: DataFrame, fires: Sequence[Column], offsets: DataFrame,
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     tagged = rows.withColumn("_kb", _bucket(id_col, low, width))
     ranked = tagged.select("*", *[F.count_if(f).over(upto).alias(f"_r{i}") for i, f in enumerate(fires)])
-    start_col = start if isinstance(start, Column) else F.lit(start).cast("long")
-    ids = F.array(*[start_col + F.col("_offs")[first_rule + i] + F.col(f"_r{i}") - F.lit(1)
+    starts = list(start) if isinstance(start, Sequence) else [start] * len(fires)
+    starts = [s if isinstance(s, Column) else F.lit(s).cast("long") for s in starts]
+    ids = F.array(*[starts[i] + F.col("_offs")[first_rule + i] + F.col(f"_r{i}") - F.lit(1)
                     for i in range(len(fires))])
     return ranked.join(F.broadcast(offsets), "_kb").select(*[F.col(quoted(c)) for c in columns], ids.alias(out))
 

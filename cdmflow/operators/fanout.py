@@ -59,14 +59,14 @@ def _event_struct(rule: Rule, event_id: Column) -> Column:
 
 def fan_out(spine: DataFrame, target: str | None = None,
             carry: Sequence[str] = ("person_id", "visit_occurrence_id", "visit_start_date"),
-            rules: Sequence[Rule] | None = None, ids: str | None = None) -> DataFrame:
+            rules: Sequence[Rule] | None = None, ids: str | None = None, first_id: int = 0) -> DataFrame:
     """One row per (registry row, rule that fires) for the rules of ``target`` (or the given rules).
 
-    ``ids`` names an array column that holds the event id of each rule, in their order.
+    ``ids`` names an array column that holds the event id of each rule, in their order, from place ``first_id`` on.
     Output columns: ``carry`` + ``EVENT_FIELDS`` + ``event_id``.
     """
     rs = tuple(rules) if rules is not None else rules_for(target)
     if not rs:
         raise ValueError(f"no rules for {target}")
-    events = F.filter(F.array(*[_event_struct(r, F.col(ids)[i] if ids else F.lit(None)) for i, r in enumerate(rs)]), lambda e: e["keep"])
+    events = F.filter(F.array(*[_event_struct(r, F.col(ids)[first_id + i] if ids else F.lit(None)) for i, r in enumerate(rs)]), lambda e: e["keep"])
     return spine.select(*carry, F.inline(events)).drop("keep")

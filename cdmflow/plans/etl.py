@@ -315,16 +315,18 @@ def _load(registry: DataFrame, concept: DataFrame | None = None, known: DataFram
     events = event_spine(spine)
     bounds = id_bounds(spine, "person_id")
     width = id_bucket_width(spark, bounds[1] - bounds[0] + 1)
-    # one counting pass over the spine gives the offsets of all four tables: one row per id bucket
+    # One counting pass over the spine gives the offsets of all four tables (one row per id bucket), one shuffle of it the
+    # ids of every event; the numbered spine is staged, and each table is a scan of its rules' columns and a fan-out.
+    ordered = [r for t in EVENT_TARGETS for r in rules_for(t, rules)]
     offsets = staged(event_offsets(events, EVENT_TARGETS, bounds[0], width, rules), "event-offsets")
+    narrow = events.select("person_id", "visit_occurrence_id", "visit_start_date", *dict.fromkeys(r.column for r in ordered))
+    numbered = staged(with_event_ids(narrow, [fires(r) for r in ordered], offsets, "person_id", bounds[0], width,
+                                     [(starts or {}).get(r.target, 1) for r in ordered]), "numbered-spine")
     loaded, first = {}, 0
     for t in EVENT_TARGETS:
-        if not rules_for(t, rules):
-            loaded[t] = empty_table(spark, t)
-            continue
-        keyed = key_events(events, t, start=(starts or {}).get(t, 1), bounds=bounds, offsets=offsets, first_rule=first, known=rules)
-        loaded[t] = event_table(keyed, t)
-        first += len(rules_for(t, rules))
+        own = rules_for(t, rules)
+        loaded[t] = event_table(fan_out(numbered, rules=own, ids="_event_ids", first_id=first), t) if own else empty_table(spark, t)
+        first += len(own)
     return Cdm(person=person, observation_period=period, visit_occurrence=visit,
                condition_occurrence=loaded["condition_occurrence"], observation=loaded["observation"],
                measurement=loaded["measurement"], procedure_occurrence=loaded["procedure_occurrence"],

@@ -24,6 +24,7 @@ from .operators import quality as QO
 from .plans import analytics as A
 from .plans import quality as Q
 from .plans.append import append_export
+from .plans.estimates import estimates, store_sketches
 from .plans.etl import (EVENT_ID, Cdm, append_events, build_spine, load_observation_period, load_person, run_etl,
                         visit_from_period)
 from .sources.dictionary import DICTIONARY_COLUMNS, DICTIONARY_ROWS, EXTRA_LABELS, dictionary_frame, read_dictionary
@@ -146,6 +147,18 @@ def append_four_targets(spark: SparkSession, sf: str) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
+def estimates_over_batches(spark: SparkSession, sf: str) -> DataFrame:
+    """O-AGG3 / O-AGG5 for very large data: the load arrives in two batches by person, each is sketched once, and the
+    answers come from the merged sketches. Estimates have no SQL; the tests hold them against their error bounds."""
+    c = cdm(spark, sf)
+    root = stage_path(spark, "estimates")
+    for batch in (0, 1):
+        mine = F.col("person_id") % 2 == batch
+        store_sketches(replace(c, person=c.person.where(mine), condition_occurrence=c.condition_occurrence.where(mine),
+                               measurement=c.measurement.where(mine)), root, f"batch-{batch}")
+    return estimates(spark, root)
+
+
 def catalog_counts(spark: SparkSession, sf: str) -> DataFrame:
     """A-CAT / O-SRC7 / O-SET2: row count of every table of the load's own catalog database."""
     cdm(spark, sf)
@@ -271,6 +284,7 @@ QUERIES: dict[str, Query] = {
     "verify_observation": _question(A.verify_observation),
     "preview_registry": preview_registry,
     "catalog_counts": catalog_counts,
+    "estimates_over_batches": estimates_over_batches,
     "append_with_key_continuation": append_with_key_continuation,
     "dense_keys_lineitem": dense_keys_lineitem,
     "dq_unmapped": _question(Q.dq_unmapped),

@@ -9,7 +9,7 @@ import uuid
 from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 
-_LOCAL_STAGE: dict[int, str] = {}
+_LOCAL_STAGE: dict[str, str] = {}
 
 
 def build_session(
@@ -58,16 +58,27 @@ def checkpoint_root(spark: SparkSession) -> str:
         raise RuntimeError(
             "spark.checkpoint.dir is not set; point it at a folder shared by all executors"
         )
-    key = id(spark.sparkContext)
+    key = spark.sparkContext.applicationId
     if key not in _LOCAL_STAGE:
         _LOCAL_STAGE[key] = tempfile.mkdtemp(prefix="cdmflow-ckpt-")
         spark.sparkContext.setCheckpointDir(_LOCAL_STAGE[key])
     return _LOCAL_STAGE[key]
 
 
+def stage_root(spark: SparkSession) -> str:
+    """The folder of this application's lineage cuts under the checkpoint root."""
+    return os.path.join(checkpoint_root(spark), "cdmflow-stage", spark.sparkContext.applicationId)
+
+
 def stage_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the checkpoint root for one lineage cut."""
-    return os.path.join(checkpoint_root(spark), "cdmflow-stage", f"{name}-{uuid.uuid4().hex}")
+    return os.path.join(stage_root(spark), f"{name}-{uuid.uuid4().hex}")
+
+
+def drop_stages(spark: SparkSession) -> None:
+    """Remove this application's stage folders, once no result reads them any more."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(stage_root(spark))
+    root.getFileSystem(spark._jsc.hadoopConfiguration()).delete(root, True)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:

@@ -141,3 +141,43 @@ def used_codes(spark: SparkSession, sf: str) -> DataFrame:
     return j.select(F.col("c_custkey").alias("person_id"),
                     F.when(F.col("c_acctbal") < 0, F.lit(REGION_BASE) + F.col("n_regionkey"))
                      .otherwise(F.lit(NATION_BASE) + F.col("c_nationkey")).cast("int").alias("concept_id"))
+
+
+# The other eight vocabulary files as text (file: table it derives from, column expressions), with impossible dates,
+# numbers that do not parse, missing names and a lone quote; expressions valid in Spark SQL and DuckDB alike.
+VOCABULARY_TEXT: dict[str, tuple[str, dict[str, str]]] = {
+    "CONCEPT_RELATIONSHIP.csv": ("nation", {
+        "CONCEPT_ID_1": "2000 + n_nationkey", "CONCEPT_ID_2": "1000 + n_regionkey", "RELATIONSHIP_ID": "'Maps to'",
+        "VALID_START_DATE": "'19700101'", "VALID_END_DATE": "CASE WHEN n_nationkey % 5 = 3 THEN '20001301' ELSE '20991231' END",
+        "INVALID_REASON": "CASE WHEN n_nationkey = 24 THEN 'D' END"}),
+    "CONCEPT_ANCESTOR.csv": ("customer", {
+        "ANCESTOR_CONCEPT_ID": "2000 + c_nationkey", "DESCENDANT_CONCEPT_ID": "1000000 + c_custkey",
+        "MIN_LEVELS_OF_SEPARATION": "1", "MAX_LEVELS_OF_SEPARATION": "CASE WHEN c_custkey % 7 = 0 THEN 'two' ELSE '2' END"}),
+    "CONCEPT_SYNONYM.csv": ("customer", {
+        "CONCEPT_ID": "1000000 + c_custkey", "LANGUAGE_CONCEPT_ID": "4180186",
+        "CONCEPT_SYNONYM_NAME": "CASE WHEN c_custkey % 11 = 0 THEN NULL WHEN c_custkey % 11 = 1 THEN c_name || ' \"' ELSE c_name END"}),
+    "CONCEPT_CLASS.csv": ("part", {
+        "CONCEPT_CLASS_ID": "p_brand", "CONCEPT_CLASS_NAME": "p_type", "CONCEPT_CLASS_CONCEPT_ID": "p_partkey"}),
+    "DOMAIN.csv": ("region", {"DOMAIN_ID": "r_name", "DOMAIN_NAME": "lower(r_name)", "DOMAIN_CONCEPT_ID": "1000 + r_regionkey"}),
+    "DRUG_STRENGTH.csv": ("part", {
+        "DRUG_CONCEPT_ID": "p_partkey", "INGREDIENT_CONCEPT_ID": "p_size",
+        "AMOUNT_VALUE": "CASE WHEN p_size % 4 = 0 THEN 'n/a' WHEN p_size % 4 = 1 THEN NULL ELSE CAST(p_size AS STRING) || '.5' END",
+        "VALID_START_DATE": "CAST(20000101 + p_size AS STRING)", "VALID_END_DATE": "'20991231'",
+        "INVALID_REASON": "CASE WHEN p_size > 40 THEN 'U' END"}),
+    "RELATIONSHIP.csv": ("nation", {
+        "RELATIONSHIP_ID": "n_name", "RELATIONSHIP_NAME": "n_name || ' of'", "IS_HIERARCHICAL": "'1'", "DEFINES_ANCESTRY": "'0'",
+        "REVERSE_RELATIONSHIP_ID": "NULL", "RELATIONSHIP_CONCEPT_ID": "2000 + n_nationkey"}),
+    "VOCABULARY.csv": ("region", {
+        "VOCABULARY_ID": "r_name", "VOCABULARY_NAME": "r_name || ' names'", "VOCABULARY_CONCEPT_ID": "1000 + r_regionkey",
+        "VOCABULARY_REFERENCE": "NULL", "VOCABULARY_VERSION": "'v1'"}),
+}
+
+
+def write_vocabulary_files(spark: SparkSession, sf: str) -> str:
+    """Write the files of ``VOCABULARY_TEXT`` (tab-separated, header, no quoting); returns the folder."""
+    folder = stage_path(spark, "vocabulary")
+    for name, (source, columns) in VOCABULARY_TEXT.items():
+        text = _t(spark, sf, source).select(*[F.expr(e).cast("string").alias(c) for c, e in columns.items()])
+        (text.write.option("sep", "\t").option("header", True).option("quote", "")
+             .option("emptyValue", "").option("nullValue", "").csv(os.path.join(folder, name)))
+    return folder

@@ -34,7 +34,7 @@ from .schemas import CONCEPT
 from .sources import standins as G
 from .session import stage_path
 from .sources.sinks import read_cdm, read_table, reset_clinical_tables, save_cdm, write_cdm, write_table
-from .sources.vocabulary import read_vocabulary_file, seed_concepts
+from .sources.vocabulary import load_vocabulary, read_vocabulary_file, seed_concepts
 
 Query = Callable[[SparkSession, str], DataFrame]
 _CDM: dict[tuple[str, str], Cdm] = {}
@@ -172,6 +172,33 @@ def vocab_load(spark: SparkSession, sf: str) -> DataFrame:
     return read_vocabulary_file(spark, os.path.join(folder, "CONCEPT.csv"), CONCEPT)
 
 
+# (table, id, text, number, start, end) of each vocabulary table as one list of rows.
+VOCABULARY_CELLS = {
+    "concept_relationship": ("concept_id_1", ("concept_id_2", "relationship_id", "invalid_reason"), None, True),
+    "concept_ancestor": ("ancestor_concept_id", ("descendant_concept_id", "min_levels_of_separation"), "max_levels_of_separation", False),
+    "concept_synonym": ("concept_id", ("concept_synonym_name",), "language_concept_id", False),
+    "concept_class": ("concept_class_concept_id", ("concept_class_id", "concept_class_name"), None, False),
+    "domain": ("domain_concept_id", ("domain_id", "domain_name"), None, False),
+    "drug_strength": ("drug_concept_id", ("ingredient_concept_id", "invalid_reason"), "amount_value", True),
+    "relationship": ("relationship_concept_id", ("relationship_id", "relationship_name", "is_hierarchical", "defines_ancestry",
+                                                 "reverse_relationship_id"), None, False),
+    "vocabulary": ("vocabulary_concept_id", ("vocabulary_id", "vocabulary_name", "vocabulary_reference", "vocabulary_version"), None, False),
+}
+
+
+def vocab_files(spark: SparkSession, sf: str) -> DataFrame:
+    """L-VOC / O-PRJ13..15: the other eight vocabulary files written as text, loaded together and read back."""
+    loaded = load_vocabulary(spark, G.write_vocabulary_files(spark, sf), stage_path(spark, "vocabulary-tables"), mode="overwrite")
+    parts = []
+    for table, (key, text, number, dated) in VOCABULARY_CELLS.items():
+        date = lambda c: F.col(c) if dated else F.lit(None).cast("date")  # noqa: B023, E731
+        parts.append(loaded[table].select(
+            F.lit(table).alias("table_name"), F.col(key).alias("id"), F.concat_ws("|", *text).alias("said"),
+            (F.col(number) if number else F.lit(None)).cast("double").alias("number"),
+            date("valid_start_date").alias("starts"), date("valid_end_date").alias("ends")))
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
 def vocab_descendants(spark: SparkSession, sf: str) -> DataFrame:
     """T-VOC1: orders and customers under every region and nation concept."""
     concepts = G.geo_concepts(spark, sf)
@@ -305,6 +332,7 @@ QUERIES: dict[str, Query] = {
     "dict_conditional": _registry_check(DC.branching_violations),
     "dict_deidentify": _dictionary_check(DC.deidentify),
     "vocab_load": vocab_load,
+    "vocab_files": vocab_files,
     "vocab_descendants": vocab_descendants,
     "vocab_map_to_standard": vocab_map_to_standard,
     "vocab_standard_check": vocab_standard_check,
@@ -623,6 +651,23 @@ SELECT CAST(p_partkey AS INTEGER) AS concept_id, COALESCE({_PART["CONCEPT_NAME"]
        CAST(try_strptime(CAST(20000101 + p_size AS VARCHAR), '%Y%m%d') AS DATE) AS valid_start_date,
        DATE '2099-12-31' AS valid_end_date, '' AS invalid_reason
 FROM part""",
+    "vocab_files": """
+WITH rows(table_name, id, said, number, starts, ends) AS (
+  SELECT 'concept_relationship', 2000 + n_nationkey,
+         concat(1000 + n_regionkey, '|Maps to|', CASE WHEN n_nationkey = 24 THEN 'D' ELSE '' END), NULL, DATE '1970-01-01',
+         CASE WHEN n_nationkey % 5 <> 3 THEN DATE '2099-12-31' END FROM nation
+  UNION ALL SELECT 'concept_ancestor', 2000 + c_nationkey, concat(1000000 + c_custkey, '|1'),
+         CASE WHEN c_custkey % 7 <> 0 THEN 2 END, NULL, NULL FROM customer
+  UNION ALL SELECT 'concept_synonym', 1000000 + c_custkey,
+         CASE c_custkey % 11 WHEN 0 THEN '' WHEN 1 THEN c_name || ' "' ELSE c_name END, 4180186, NULL, NULL FROM customer
+  UNION ALL SELECT 'concept_class', p_partkey, p_brand || '|' || p_type, NULL, NULL, NULL FROM part
+  UNION ALL SELECT 'domain', 1000 + r_regionkey, r_name || '|' || lower(r_name), NULL, NULL, NULL FROM region
+  UNION ALL SELECT 'drug_strength', p_partkey, concat(p_size, '|', CASE WHEN p_size > 40 THEN 'U' ELSE '' END),
+         CASE WHEN p_size % 4 IN (2, 3) THEN p_size + 0.5 END,
+         CASE WHEN p_size < 31 THEN DATE '2000-01-01' + p_size::INTEGER END, DATE '2099-12-31' FROM part
+  UNION ALL SELECT 'relationship', 2000 + n_nationkey, n_name || '|' || n_name || ' of|1|0|', NULL, NULL, NULL FROM nation
+  UNION ALL SELECT 'vocabulary', 1000 + r_regionkey, r_name || '|' || r_name || ' names||v1', NULL, NULL, NULL FROM region)
+SELECT table_name, id::INTEGER AS id, said, number::DOUBLE AS number, starts::DATE AS starts, ends::DATE AS ends FROM rows""",
     "vocab_descendants": _geo("""
 SELECT a.ancestor_concept_id, COUNT(*) AS n_records, COUNT(DISTINCT o.o_custkey) AS n_persons
 FROM orders o JOIN geo_anc a ON a.descendant_concept_id = 1000000 + o.o_custkey

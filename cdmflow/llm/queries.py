@@ -140,33 +140,46 @@ def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "digest", "whole_license", F.array_join("licenses", ",").alias("licenses"))
 
 
-OP5_SQL = r"""
-WITH known(license, text) AS (VALUES
-  ('CC-BY-NC-4.0', 'licensed under cc by nc 4 0'),
-  ('GPL-3.0', 'this work is licensed under the gnu general public license version 3'),
-  ('Apache-2.0', 'licensed under the apache license version 2 0'),
-  ('MIT', 'released under the mit license'),
-  ('ISC', 'permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies'),
-  ('0BSD', 'permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted')),
-units AS (
-  SELECT doc_id, text AS unit, true AS entire FROM documents UNION ALL
-  SELECT doc_id, unnest(regexp_split_to_array(text, '\n[ \t]*\n')), false FROM documents UNION ALL
-  SELECT doc_id, unnest(string_split(text, chr(10))), false FROM documents),
+_COPYRIGHT = r"^[ \t>#*/;-]*"
+OP5_SQL = rf"""
+WITH known(license, raw) AS (VALUES {", ".join("('" + n + "', '" + t.replace("'", "''") + "')" for n, t in licenses.KNOWN)}),
+unit AS (
+  SELECT 'doc' AS kind, doc_id, NULL AS license, 0 AS part, coalesce(text, '') AS u FROM documents
+  UNION ALL SELECT 'doc', doc_id, NULL, 1, unnest(regexp_split_to_array(coalesce(text, ''), '\n[ \t]*\n')) FROM documents
+  UNION ALL SELECT 'doc', doc_id, NULL, 2, unnest(string_split(coalesce(text, ''), chr(10))) FROM documents
+  UNION ALL SELECT 'known', NULL, license, 0, raw FROM known),
 plain AS (
-  SELECT doc_id, entire, array_to_string(list_filter(string_split(translate(coalesce(unit, ''),
-           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), chr(10)),
-           lambda x: NOT regexp_matches(x, '^[ \t>#*/-]*(copyright|\(c\)|©)')), chr(10)) AS c
-  FROM units),
+  SELECT kind, doc_id, license, part, array_to_string(list_filter(string_split(translate(u, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), chr(10)), lambda x: NOT (
+             regexp_matches(x, '{_COPYRIGHT}(copyright[ \t:,]*(\(c\)|©|&copy;|[0-9<\[{{])|\(c\)[ \t]*(copyright|[0-9]{{4}})|©)')
+             OR regexp_matches(x, '{_COPYRIGHT}copyright[ \t:,]*[^\s.,;:)]')
+                AND NOT regexp_matches(x, '{_COPYRIGHT}copyright[ \t:,]*(notices?|holders?|owners?|laws?|licen[cs]es?|statements?|interests?|treat(y|ies)|rights?|disclaimer|protection|and|or|to|in|of|on|for|is|as|under|the (work|software|program|library))\b'))),
+           chr(10)) AS c
+  FROM unit),
 form AS (
-  SELECT doc_id, entire, trim(regexp_replace(replace(replace(replace(replace(replace(replace(replace(c,
+  SELECT kind, doc_id, license, part, trim(regexp_replace(replace(replace(replace(replace(replace(replace(replace(c,
            'licence', 'license'), 'licenced', 'licensed'), 'sub-license', 'sublicense'),
            'non-commercial', 'noncommercial'), 'merchantibility', 'merchantability'), 'http://', 'https://'),
            '&', ' and '), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+', ' ', 'g'), ' ') AS c
-  FROM plain)
-SELECT doc_id, max(sha256(c)) FILTER (entire) AS digest, max(license) FILTER (entire) AS whole_license,
-       coalesce(string_agg(DISTINCT license, ',' ORDER BY license), '') AS licenses
-FROM form LEFT JOIN known ON form.c = known.text
-GROUP BY doc_id
+  FROM plain),
+text AS (SELECT c, min(license) AS license FROM form WHERE kind = 'known' AND c <> '' GROUP BY c),
+stated AS (
+  SELECT doc_id, unnest(regexp_extract_all(regexp_replace(e, '(?i)[ \t]+WITH[ \t]+[(]*[A-Za-z0-9.+-]+', '', 'g'),
+                                           '[A-Za-z0-9][A-Za-z0-9.+-]*')) AS license
+  FROM (SELECT doc_id, unnest(regexp_extract_all(text,
+          '(?i)SPDX-License-Identifier:[ \t]*(\(*[A-Za-z0-9][A-Za-z0-9.+-]*\)*(?:[ \t]+(?:AND|OR|WITH)[ \t]+\(*[A-Za-z0-9][A-Za-z0-9.+-]*\)*)*)',
+          1)) AS e FROM documents)),
+inside AS (
+  SELECT DISTINCT doc_id, text.c, text.license FROM form JOIN text ON contains(' ' || form.c || ' ', ' ' || text.c || ' ')
+  WHERE kind = 'doc' AND part = 0),
+hit AS (
+  SELECT doc_id, text.license FROM form JOIN text USING (c) WHERE kind = 'doc'
+  UNION SELECT doc_id, license FROM inside i WHERE NOT EXISTS (
+    FROM inside j WHERE j.doc_id = i.doc_id AND length(j.c) > length(i.c) AND contains(' ' || j.c || ' ', ' ' || i.c || ' '))
+  UNION SELECT doc_id, license FROM stated WHERE upper(license) NOT IN ('AND', 'OR')),
+named AS (SELECT doc_id, string_agg(license, ',' ORDER BY license) AS licenses FROM hit GROUP BY doc_id)
+SELECT doc_id, sha256(form.c) AS digest, text.license AS whole_license, coalesce(licenses, '') AS licenses
+FROM form LEFT JOIN text USING (c) LEFT JOIN named USING (doc_id) WHERE kind = 'doc' AND part = 0
 """
 
 

@@ -109,3 +109,14 @@ def test_long_texts_are_learnt_from(spark):
     df = spark.createDataFrame(texts, "doc_id long, text string, toxic int")
     assert toxicity.trained(df.drop("toxic"), df.drop("text")) is not None
     assert langid.draw_words("a b", 1) == ["a", "b"] and len(langid.draw_words("wort " * 5000)) == langid.BAG
+
+
+def test_a_callers_own_texts_are_found_anywhere(spark):
+    known = [("House-1.0", "Use it freely inside this house."), ("Tiny", "Do as you like."), ("Empty", "--")]
+    rows = [(1, "intro text. Use it\n # freely inside\n\nthis house. more"), (2, "You may do as you LIKE, always"), (3, "use it freely inside that house"),
+            (4, "x\n\x01 do as\tyou like\x01y"), (5, None)]
+    got = {r["doc_id"]: r["licenses"] for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string"), known).collect()}
+    assert got == {1: ["House-1.0"], 2: ["Tiny"], 3: [], 4: ["Tiny"], 5: []}
+    assert licenses.scan(spark.createDataFrame(rows, "doc_id long, text string"), []).filter("size(licenses) > 0").count() == 0
+    words = licenses.marks(["alpha betagamma", "betagamma delta", "x"])
+    assert words[0] == "betagamma" and set(words) == {"betagamma", "x"}

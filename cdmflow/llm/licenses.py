@@ -23,6 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cdmflow.llm.common import stage
 from cdmflow.llm.license_texts import texts
 
 BROADCAST = 100_000
@@ -109,7 +110,7 @@ def _spdx_names(text: Column) -> Column:
 
 
 def contained(docs: DataFrame, known: DataFrame, id_col: str) -> DataFrame:
-    """(id, _text, unit_license) of the known texts that stand anywhere in the canonical form ``c``, however wrapped;
+    """(id, _text, unit_license) of the known texts that stand anywhere in the form ``f`` of a text, however wrapped;
     not of those that are a part of a longer one found there.
 
     ``known`` has canonical texts and fits on the driver (``BROADCAST`` rows); only documents that hold a mark of a
@@ -120,9 +121,9 @@ def contained(docs: DataFrame, known: DataFrame, id_col: str) -> DataFrame:
     words = marks([f for _, f in rows])
     by_mark = [(next(w for w in words if w in f.split()), name, f" {f} ") for name, f in rows]
     table = docs.sparkSession.createDataFrame(by_mark, "mark string, unit_license string, form string")
-    held = F.filter(F.array(*map(F.lit, words)), lambda w: F.col("c").contains(w))
-    hay = (docs.filter(F.greatest(*[F.col("c").contains(w) for w in words], F.lit(False)))
-           .select(id_col, "_text", F.concat(F.lit(" "), "c", F.lit(" ")).alias("hay"), F.explode(held).alias("mark")))
+    held = F.filter(F.array(*map(F.lit, words)), lambda w: F.col("f").contains(w))
+    hay = (docs.filter(F.greatest(*[F.col("f").contains(w) for w in words], F.lit(False)))
+           .select(id_col, "_text", F.concat(F.lit(" "), _flat(F.col("f")), F.lit(" ")).alias("hay"), F.explode(held).alias("mark")))
     found = (hay.join(F.broadcast(table), "mark").filter(F.col("hay").contains(F.col("form")))
              .groupBy(id_col, "_text").agg(F.collect_set(F.struct("unit_license", "form")).alias("all")))  # known texts at most
     longest = F.filter("all", lambda x: ~F.exists("all", lambda y: (F.length(y["form"]) > F.length(x["form"])) & y["form"].contains(x["form"])))
@@ -141,11 +142,12 @@ def scan(df: DataFrame, known: list[tuple[str, str]] | DataFrame = KNOWN, *, id_
     table = F.broadcast(table) if few else table
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     keyed = df.select(F.col(id_col).alias(id_col), F.xxhash64(text).alias("_text"), text.alias("t"))
-    formed = keyed.select(id_col, "_text", _lines_in_form(F.col("t")).alias("f")).select(id_col, "_text", "f", _flat(F.col("f")).alias("c"))
+    # staged, so that the form is made once for all that reads it
+    formed = stage(keyed.select(id_col, "_text", _lines_in_form(F.col("t")).alias("f")), "license-forms")
     sha = lambda c: F.sha2(c.cast("binary"), 256)
     parts = F.transform(F.concat(F.split("f", _GAP), F.split("f", "\n")), _flat)
-    units = F.filter(F.array_distinct(F.concat(F.array("c"), parts)), lambda x: x.rlike("[0-9a-z]"))
-    whole = formed.select(id_col, "_text", sha(F.col("c")).alias("digest"))
+    units = F.filter(F.array_distinct(F.concat(F.array(_flat(F.col("f"))), parts)), lambda x: x.rlike("[0-9a-z]"))
+    whole = formed.select(id_col, "_text", sha(_flat(F.col("f"))).alias("digest"))
     units = formed.select(id_col, "_text", F.explode(F.transform(units, sha)).alias("unit_digest"))
     named = table.select(F.col("digest").alias("unit_digest"), F.col("license").alias("unit_license"))
     stated = (keyed.filter(F.col("t").rlike("(?i)SPDX-License-Identifier"))
